@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import simhash
+from lotwise.llm import lm, quality, secrets, simhash
 from lotwise.llm.common import read
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier selects, with their expected grade and tail probability."""
+    graded = quality.grade(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return graded.where("accepted").withColumnRenamed("id", "doc_id")
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_components(read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_classifier, op7_lm_scoring, op9_simhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
