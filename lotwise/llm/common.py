@@ -27,19 +27,27 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns ``rid`` (unique long, in the order of ids, ties by text), ``id`` and ``text``.
+def with_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with a column ``__rid``: a unique long, in the order of ids, ties by text.
 
     Ids that are unique and not null are their own keys. Otherwise (repeated rows,
     null ids) rows are numbered in the order (id, nulls first, then text), and the
     numbering is checkpointed so that every later pass sees the same keys.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
+    if "__rid" in df.columns:
+        return df
+    key = F.col(id_col).cast("long")
+    odd = df.groupBy(key.alias("id")).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
     if odd.isEmpty():
-        return rows.select(F.col("id").alias("rid"), "id", "text")
-    rows = rows.orderBy(F.col("id").asc_nulls_first(), "text").withColumn("rid", F.monotonically_increasing_id())
-    return checkpoint(rows.select("rid", "id", "text"))
+        return df.withColumn("__rid", key)
+    return checkpoint(df.orderBy(key.asc_nulls_first(), F.col(text_col).asc_nulls_first()).withColumn("__rid", F.monotonically_increasing_id()))
+
+
+def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Columns ``rid`` (as of ``with_key``), ``id`` (long) and ``text`` (empty for null)."""
+    kept = [id_col, text_col] + ["__rid"] * ("__rid" in df.columns)
+    rows = with_key(df.select(*kept), id_col, text_col)
+    return rows.select(F.col("__rid").alias("rid"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def raw_bytes(column: pa.Array) -> list[bytes]:

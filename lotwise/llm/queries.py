@@ -5,14 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import lm, quality, secrets, simhash
+from lotwise.llm import decontam, html, lm, packing, passages, quality, secrets, simhash, substrings, topk
 from lotwise.llm.common import read
 
 
+def vocabulary() -> str:
+    """The tokenizer file of op8, from the installed package of public vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each near-duplicate passage of a document; documents without one have none."""
+    return passages.near_passages(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that leaks into it; clean documents have none."""
+    found = decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "start", "similarity")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier selects, with their expected grade and tail probability."""
     graded = quality.grade(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -23,10 +50,47 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), vocabulary()).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_components(read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_classifier, op7_lm_scoring, op9_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_near_passages,
+        op2_suffix_dedup,
+        op3_secret_scan,
+        op4_html_extraction,
+        op5_decontamination,
+        op6_quality_classifier,
+        op7_lm_scoring,
+        op8_best_fit_packing,
+        op9_simhash_near_dedup,
+        op10_exact_top_k,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    # Integer scores make the sums exact; zeros fill nothing as all vectors have one length.
+    "op10_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT * FROM r WHERE rank <= 20
+    """,
+}
