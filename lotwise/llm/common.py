@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,35 +20,72 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names; a folder of its own only where none is set."""
-    sc = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the folder the session names; a folder of its own only where none is set."""
+    _folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stash(df: DataFrame) -> DataFrame:
+    """As ``checkpoint``, but as a compressed table in that folder: for intermediate results of many rows."""
+    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows up to which a counted side of a join is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if a count of it shows that it is small; a larger one is shuffled."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def split_copies(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(docs without exact copies, copies): of equal texts of at least ``least`` bytes the first row stays.
+
+    Copies: rid, first (the row that stays), n_bytes. Texts are compared by SHA-256;
+    counting combines before the shuffle, so a group may hold any share of the rows.
+    """
+    bodies = checkpoint(docs.where(F.octet_length("text") >= least).select("rid", F.unhex(F.sha2("text", 256)).alias("body"), F.octet_length("text").cast("long").alias("n_bytes")))
+    firsts = bodies.groupBy("body").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = checkpoint(bodies.join(firsts, "body").where("rid > first").select("rid", "first", "n_bytes"))
+    return docs.join(small(copies.select("rid")), "rid", "left_anti"), copies
+
+
+#: Column of the row key, named so that no table's column clashes.
+KEY = "__lotwise_row_key"
+
+
 def with_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``df`` with a column ``__rid``: a unique long, in the order of ids, ties by text.
+    """``df`` with a column ``KEY``: a unique long, in the order of ids, ties by text.
 
     Ids that are unique and not null are their own keys. Otherwise (repeated rows,
     null ids) rows are numbered in the order (id, nulls first, then text), and the
     numbering is checkpointed so that every later pass sees the same keys.
     """
-    if "__rid" in df.columns:
+    if KEY in df.columns:
         return df
     key = F.col(id_col).cast("long")
     odd = df.groupBy(key.alias("id")).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
     if odd.isEmpty():
-        return df.withColumn("__rid", key)
-    return checkpoint(df.orderBy(key.asc_nulls_first(), F.col(text_col).asc_nulls_first()).withColumn("__rid", F.monotonically_increasing_id()))
+        return df.withColumn(KEY, key)
+    return checkpoint(df.orderBy(key.asc_nulls_first(), F.col(text_col).asc_nulls_first()).withColumn(KEY, F.monotonically_increasing_id()))
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns ``rid`` (as of ``with_key``), ``id`` (long) and ``text`` (empty for null)."""
-    kept = [id_col, text_col] + ["__rid"] * ("__rid" in df.columns)
+    kept = [id_col, text_col] + [KEY] * (KEY in df.columns)
     rows = with_key(df.select(*kept), id_col, text_col)
-    return rows.select(F.col("__rid").alias("rid"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.select(F.col(KEY).alias("rid"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def raw_bytes(column: pa.Array) -> list[bytes]:

@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpoint, keyed, with_key
+from lotwise.llm.common import KEY, checkpoint, keyed, small, with_key
 
 SIZE = 5
 SIMILARITY = 0.8
@@ -15,8 +15,6 @@ SIMILARITY = 0.8
 RADIUS = 23
 #: Blocks of the fingerprint; of RADIUS differing bits some block has at most RADIUS // BLOCKS.
 BLOCKS, WIDTH = 8, 8
-#: Rows up to which a counted side is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 500_000
 LANES = sum(1 << (16 * i) for i in range(4))
 
 
@@ -34,15 +32,15 @@ def fingerprint(hashes: Column) -> Column:
     """A bit is one if more than half of the hashes have it; sixteen sums of four 16-bit counters each."""
     lanes = lambda h: F.array(*(F.shiftrightunsigned(h, b).bitwiseAND(F.lit(LANES)) for b in range(16)))
     zero = F.array(*([F.lit(0).cast("long")] * 16))
-    sums = F.aggregate(hashes, zero, lambda acc, h: F.zip_with(acc, lanes(h), lambda a, b: a + b))
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(63)),
-        lambda i: F.when(
-            F.call_function("shiftrightunsigned", F.get(sums, F.pmod(i, F.lit(16))), F.floor(i / 16).cast("int") * 16).bitwiseAND(F.lit(0xFFFF)) * 2 > F.size(hashes),
-            F.call_function("shiftleft", F.lit(1).cast("long"), i),
-        ).otherwise(F.lit(0).cast("long")),
-    )
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    def bits(sums: Column) -> Column:
+        def set_(acc: Column, i: Column) -> Column:
+            count = F.call_function("shiftrightunsigned", F.get(sums, F.pmod(i, F.lit(16))), F.floor(i / 16).cast("int") * 16).bitwiseAND(F.lit(0xFFFF))
+            return F.when(count * 2 > F.size(hashes), acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(acc)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), set_)
+
+    return F.aggregate(hashes, zero, lambda acc, h: F.zip_with(acc, lanes(h), lambda a, b: a + b), bits)
 
 
 def block(fp: Column, at: int) -> Column:
@@ -55,11 +53,6 @@ def shared(window: Column, item: Column) -> Column:
     return F.aggregate(F.array_distinct(F.array_intersect(window, item)), F.lit(0), lambda a, h: a + F.least(count(window, h), count(item, h)))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, broadcast if a count of it shows that it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, item_id, n, size, h): the items with words; ``size`` words in a shingle, all of them where there are fewer than SIZE."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
@@ -73,8 +66,8 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """(rid, key, at): a shingle of the document at which the item's shingles of that size put the item's first word."""
     mine = items.where(F.col("size") == size).select("key", F.posexplode("h").alias("i", "h"))
-    own = docs.select("rid", F.posexplode(grams(words(F.col("text")), size)).alias("p", "h"))
-    return own.join(_small(mine), "h").select("rid", "key", (F.col("p") - F.col("i")).alias("at")).distinct()
+    own = docs.select("rid", words(F.col("text")).alias("w")).select("rid", F.posexplode(grams(F.col("w"), size)).alias("p", "h"))
+    return own.join(small(mine), "h").select("rid", "key", (F.col("p") - F.col("i")).alias("at")).distinct()
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -99,9 +92,9 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
         part = _hits(docs, items, size)
         hits = part if hits is None else hits.unionByName(part)
     sized = items.select("key", "n", "size")
-    hits = checkpoint(hits.join(_small(sized), "key").select("rid", "at", "n", "size").distinct())
+    hits = checkpoint(hits.join(small(sized), "key").select("rid", "at", "n", "size").distinct())
     at = hits.groupBy("rid").agg(F.collect_list(F.struct("at", "n", "size")).alias("windows"))
-    rows = docs.join(_small(at), "rid").withColumn("w", words(F.col("text"))).select("rid", "id", "windows", F.size("w").alias("len"), *(grams(F.col("w"), s).alias(f"h{s}") for s in sorted(sizes) or [SIZE]))
+    rows = docs.join(small(at), "rid").withColumn("w", words(F.col("text"))).select("rid", "id", "windows", F.size("w").alias("len"), *(grams(F.col("w"), s).alias(f"h{s}") for s in sorted(sizes) or [SIZE]))
 
     def window(x: Column) -> Column:
         start = F.greatest(F.lit(0), F.least(x["at"], F.col("len") - x["n"]))
@@ -121,9 +114,9 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     index = table.select("key", "item_n", near.alias("near"), cells("item_fp").alias("e"))
     index = index.select("key", F.col("item_n").alias("n"), "e.b", F.col("e.v").alias("own"), F.explode("near").alias("flip")).select("key", "n", "b", F.col("own").bitwiseXOR(F.col("flip")).alias("v"))
     looked = found.select("rid", "id", "start", "n", "h", "fp", cells("fp").alias("e")).select("rid", "id", "start", "n", "h", "fp", "e.*")
-    met = looked.join(_small(checkpoint(index)), ["n", "b", "v"]).select("rid", "id", "start", "h", "fp", "key")
+    met = looked.join(small(checkpoint(index)), ["n", "b", "v"]).select("rid", "id", "start", "h", "fp", "key")
     pairs = met.groupBy("rid", "start", "key").agg(F.first("id").alias("id"), F.first("h").alias("h"), F.first("fp").alias("fp"))
-    full = pairs.join(_small(table), "key").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    full = pairs.join(small(table), "key").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     both = full.withColumn("both", shared(F.col("h"), F.col("item_h")))
     scored = both.withColumn("similarity", F.col("both") / (F.size("h") + F.size("item_h") - F.col("both"))).where(F.col("similarity") >= similarity)
     best = scored.groupBy("rid", "key").agg(F.first("id").alias("id"), F.first("item_id").alias("item_id"), F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("x"))
@@ -133,5 +126,5 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` without a leak, with all their columns."""
     rows = with_key(df, id_col, text_col)
-    bad = checkpoint(leaks(rows, benchmark, id_col, text_col).select(F.col("rid").alias("__rid")).distinct())
-    return rows.join(_small(bad), "__rid", "left_anti").select(*df.columns)
+    bad = checkpoint(leaks(rows, benchmark, id_col, text_col).select(F.col("rid").alias(KEY)).distinct())
+    return rows.join(small(bad), KEY, "left_anti").select(*df.columns)
