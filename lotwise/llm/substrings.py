@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import CHUNK_BYTES, checkpoint, keyed, mix, slices
+from lotwise.llm.common import CHUNK_BYTES, keyed, mix, slices, split_copies, stash
 from lotwise.llm.windows import Prefixes, argmin, repeated, runs
 
 LENGTH = 100
@@ -297,8 +297,14 @@ def _sorted_groups(batches):
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(rid, lo, hi): runs of first bytes of windows that an earlier equal window stands before."""
-    at = checkpoint(repeated(docs.select("rid", "text").mapInArrow(_anchor_keys, "key long, rid long")))
+    """(rid, lo, hi): runs of first bytes of windows that an earlier equal window stands before.
+
+    All windows of an exact copy stand earlier in the first of its texts, and none of
+    them is the first of its kind, so copies take no further part.
+    """
+    docs, copies = split_copies(docs, LENGTH)
+    whole = copies.select("rid", F.lit(0).cast("long").alias("lo"), (F.col("n_bytes") - LENGTH).alias("hi"))
+    at = stash(repeated(docs.select("rid", "text").mapInArrow(_anchor_keys, "key long, rid long")))
     rows = docs.join(at, "rid").select("rid", "text", "keys").mapInArrow(_contexts, CONTEXT)
     many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(many, F.when(F.col("context").isNull(), F.col("rid")).otherwise(F.col("key")), "sub").sortWithinPartitions("key", "sub", "rid", "lo")
@@ -322,11 +328,11 @@ def removals(docs: DataFrame) -> DataFrame:
 
     found = dealt.mapInArrow(decide, FOUND)
     if at.where(F.exists("keys", lambda k: k["n"] > BUCKET)).isEmpty():
-        return found.select("rid", "lo", "hi")
-    found = checkpoint(found)
+        return found.select("rid", "lo", "hi").unionByName(whole)
+    found = stash(found)
     order = Window.partitionBy("content").orderBy("rid", "lo")  # at most a row for each part of a split group
     again = found.where(F.col("content").isNotNull()).withColumn("i", F.row_number().over(order)).where("i > 1")
-    return found.where(F.col("content").isNull()).select("rid", "lo", "hi").unionByName(again.select("rid", "lo", "hi"))
+    return found.where(F.col("content").isNull()).select("rid", "lo", "hi").unionByName(again.select("rid", "lo", "hi")).unionByName(whole)
 
 
 def _cover(lo: np.ndarray, hi: np.ndarray, size: int) -> list[tuple[int, int]]:
