@@ -1,0 +1,108 @@
+"""Model names against a list of known ones: candidates of the make, features of each, the best by weighted sum."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from lotwise.functions.canon import lookup
+from lotwise.functions.text import fold, jaccard, squeeze
+
+# Makes under several names.
+MAKES = {"MERCEDES": "MERCEDES-BENZ", "MERCEDES BENZ": "MERCEDES-BENZ", "VW": "VOLKSWAGEN", "CITROËN": "CITROEN", "LAND-ROVER": "LAND ROVER", "ALFA": "ALFA ROMEO", "DS AUTOMOBILES": "DS"}
+# Words of a version that name no model.
+NOISE = ("TDI", "TSI", "TFSI", "HDI", "DCI", "CDTI", "CRDI", "GDI", "TGDI", "DSG", "AUT", "AUTO", "MANUAL", "CV", "KW", "HP", "4X4", "4WD", "AWD", "QUATTRO", "XDRIVE", "SPORT", "LINE", "PACK", "EDITION", "NAVI", "START", "STOP", "PLAZAS", "PUERTAS", "DIESEL", "GASOLINA", "HYBRID", "HIBRIDO")
+
+
+def make(c: Column) -> Column:
+    key = squeeze(fold(F.upper(c)))
+    return lookup(key, {k: v for k, v in MAKES.items()}, key)
+
+
+def text(c: Column) -> Column:
+    """Upper case without accents; dots, underscores and dashes part words; letter and number of short codes come together."""
+    plain = squeeze(F.regexp_replace(fold(F.upper(F.coalesce(c, F.lit("")))), "[._\\-/,;:()]+", " "))
+    joined = F.regexp_replace(plain, "\\b(CX|ID|EQ|E|C|DS|Q|X|I) (\\d{1,3}[A-Z]?)\\b", "$1$2")
+    return squeeze(joined)
+
+
+def parts(c: Column) -> Column:
+    return F.filter(F.split(c, " "), lambda t: t != "")
+
+
+def meaningful(tokens: Column, keep: Column | None = None) -> Column:
+    """Words without noise; those in ``keep`` always stay."""
+    noise = F.array(*(F.lit(n) for n in NOISE))
+    return F.filter(tokens, lambda t: ~F.array_contains(noise, t) | (F.array_contains(keep, t) if keep is not None else F.lit(False)))
+
+
+def first_other(tokens: Column, brand: Column) -> Column:
+    return F.get(F.filter(tokens, lambda t: ~F.array_contains(parts(brand), t)), F.lit(0))
+
+
+def choose_text(model: Column, submodel: Column, brand: Column) -> Column:
+    """Of Mercedes the sub-model first, where it is filled; else the model."""
+    sub = F.nullif(F.trim(submodel), F.lit(""))
+    return F.when(make(brand) == "MERCEDES-BENZ", F.coalesce(sub, model)).otherwise(model)
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Weights of the features; a make may have its own."""
+
+    default: dict[str, float] = field(default_factory=lambda: {"exact": 100.0, "contains": 60.0, "subset": 40.0, "jaccard": 30.0, "prefix": 20.0, "digit": 15.0, "length": 0.5, "noise": -10.0, "first": 12.0})
+    by_make: dict[str, dict[str, float]] = field(default_factory=dict)
+
+    def of(self, name: str, brand: Column) -> Column:
+        own = {b: w[name] for b, w in self.by_make.items() if name in w}
+        base = F.lit(float(self.default.get(name, 0.0)))
+        return lookup(brand, own, base) if own else base
+
+
+@dataclass(frozen=True)
+class Guard:
+    """For a make, a pattern in the text that decides for a model."""
+
+    brand: str
+    pattern: str
+    model: str
+
+
+def normalized(df: DataFrame, key: str, brand: str, model: str, whitelist: DataFrame, weights: Weights = Weights(), guards: tuple[Guard, ...] = (), least: float = 50.0) -> DataFrame:
+    """(key, make_clean, modelo_base, score, confidence): the known model that the text means.
+
+    Whitelist: MARCA, MODELO, optionally DISPLAY. Each distinct (make, text) meets the models of its make alone; the
+    confidence is the lead over the second. Texts whose best score is under ``least`` have no model.
+    """
+    wl = whitelist.select(make(F.col("MARCA")).alias("b"), text(F.col("MODELO")).alias("cand"), F.coalesce(F.col("DISPLAY") if "DISPLAY" in whitelist.columns else F.lit(None).cast("string"), F.upper(F.trim("MODELO"))).alias("display"))
+    wl = wl.where(F.col("cand") != "").groupBy("b", "cand").agg(F.min("display").alias("display")).withColumn("ct", parts(F.col("cand")))
+    rows = df.select(F.col(key).alias("k"), make(F.col(brand)).alias("b"), text(F.col(model)).alias("t"))
+    each = rows.select("b", "t").distinct().withColumn("tt", parts(F.col("t")))
+    pairs = each.join(F.broadcast(wl), "b")
+    kept = meaningful(F.col("tt"), F.col("ct"))
+    digits = lambda c: F.filter(c, lambda x: x.rlike("\\d"))
+    n = F.size("ct")
+    values = {
+        "exact": (F.col("t") == F.col("cand")).cast("double"),
+        "contains": F.contains(F.concat(F.lit(" "), F.col("t"), F.lit(" ")), F.concat(F.lit(" "), F.col("cand"), F.lit(" "))).cast("double"),
+        "subset": (F.size(F.array_except("ct", "tt")) == 0).cast("double"),
+        "jaccard": jaccard(kept, F.col("ct")),
+        "prefix": (F.array_join(F.slice(kept, F.lit(1), n), " ") == F.col("cand")).cast("double"),
+        "digit": (F.size(F.array_intersect(digits(F.col("tt")), digits(F.col("ct")))) > 0).cast("double"),
+        "length": F.length("cand").cast("double") * F.contains(F.col("t"), F.col("cand")).cast("double"),
+        "noise": F.size(F.array_intersect("ct", F.array(*(F.lit(x) for x in NOISE)))).cast("double"),
+        "first": (F.get("ct", F.lit(0)) == F.get(kept, F.lit(0))).cast("double"),
+    }
+    score = F.lit(0.0)
+    for name, value in values.items():
+        score = score + weights.of(name, F.col("b")) * F.coalesce(value, F.lit(0.0))
+    hard = F.lit(None).cast("string")
+    for g in guards:
+        hard = F.coalesce(hard, F.when((F.col("b") == g.brand) & F.col("t").rlike(g.pattern), F.lit(g.model)))
+    scored = pairs.withColumn("hard", hard).withColumn("score", score + F.when(F.col("hard") == F.col("cand"), 1000.0).otherwise(0.0))
+    order = Window.partitionBy("b", "t").orderBy(F.desc("score"), F.desc(F.length("cand")), "cand")
+    top = scored.withColumn("i", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).where("i = 1")
+    good = top.where(F.col("score") >= least).select("b", "t", F.col("display").alias("modelo_base"), F.round("score", 6).alias("score"), F.round(F.col("score") - F.coalesce("second", F.lit(0.0)), 6).alias("confidence"))
+    return rows.join(good, ["b", "t"], "left").select(F.col("k").alias(key), F.col("b").alias("make_clean"), "modelo_base", "score", "confidence")
