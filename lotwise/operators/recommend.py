@@ -33,9 +33,6 @@ class Config:
     legacy: bool = False  # a constant column scales to its own value instead of zero
 
 
-ALL = Window.partitionBy()
-
-
 class Scaled:
     """Scaling by the least and greatest of columns over all rows: one aggregation of one row, joined by broadcast."""
 
@@ -151,7 +148,7 @@ def best_auction(df: DataFrame, f: Listing, n: int = 20, tie: str = "lot_id", le
     chosen = rows.orderBy(F.desc("lead"), F.when(F.col("lead"), F.col("anio")).asc_nulls_last(), *order).limit(n).drop("lead")
     advantage = 100 * F.try_divide(F.col("cluster_median") - F.col("precio_final_eur"), F.col("cluster_median"))
     sales = chosen.groupBy("sale_name").agg(F.count(F.lit(1)).alias("n"), F.avg(advantage).alias("price_adv_pct"))
-    sales = sales.withColumn("representation_pct", 100.0 * F.col("n") / F.sum("n").over(ALL))
+    sales = sales.withColumn("representation_pct", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()))
     u = Scaled(sales, {"rep": F.col("representation_pct"), "adv": F.col("price_adv_pct")}, legacy)
     score = 0.6 * F.coalesce(u.unit("rep"), F.lit(0.0)) + 0.4 * F.coalesce(u.unit("adv"), F.lit(0.0))
     ranked = u.drop(u.df.withColumn("auction_score", score)).select("sale_name", "auction_score", "representation_pct", "price_adv_pct")
