@@ -49,6 +49,8 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, sep: str
     if (sep is None or encoding is None) and os.path.isfile(path):
         probed = probe(path)
         sep, encoding = sep or probed[0], encoding or probed[1]
+    if encoding and not encoding.lower().startswith(("utf", "iso-8859-1", "us-ascii")):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # further encodings have to be asked for
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("sep", sep or ",").option("encoding", encoding or "UTF-8")
     return (reader.schema(schema) if schema else reader).csv(path)
 
