@@ -14,12 +14,12 @@ from lotwise.llm.common import slices, words_of
 
 BITS = 20
 #: Bound of the labelled rows that the model is fitted on, those with the smallest hashed ids.
-SAMPLE = 20_000
+SAMPLE = 12_000
 GRADES = 3
-#: A feature is kept if its documents' mean grade is that many standard errors off, and it has that many documents.
+#: A feature is kept if its documents' share above a cut is that many standard errors off, and it has that many documents.
 LEAST_Z, LEAST_DOCS = 4.0, 5
 STRIP = b""".,;:!?"'()[]{}<>|*#%&$@~^_=+-/\\"""
-MEMO = 400_000
+MEMO = 100_000
 
 
 def _shape(raw: bytes, words: list[bytes]) -> list[bytes]:
@@ -46,14 +46,16 @@ def _shape(raw: bytes, words: list[bytes]) -> list[bytes]:
     ]
 
 
-def _number(word: bytes) -> int:
-    return zlib.crc32(word.strip(STRIP) or word) & ((1 << BITS) - 1)
+def _numbers(word: bytes) -> list[int]:
+    """A word without its outer marks, and its beginnings of 4 to 6 bytes (marked by a space, as no word has one)."""
+    core = word.strip(STRIP) or word
+    return [zlib.crc32(x) & ((1 << BITS) - 1) for x in (core, *(b" " + core[:n] for n in (4, 5, 6) if len(core) >= n))]
 
 
 def features(raw: bytes) -> list[int]:
-    """The text's features: hashed distinct words without their outer marks, and its shape. A feature is there or not."""
+    """The text's features: hashed distinct words and their beginnings, and its shape. A feature is there or not."""
     words = words_of(raw)
-    return sorted({_number(w) for w in set(words)} | {zlib.crc32(s) & ((1 << BITS) - 1) for s in _shape(raw, words)})
+    return sorted({k for w in set(words) for k in _numbers(w)} | {zlib.crc32(s) & ((1 << BITS) - 1) for s in _shape(raw, words)})
 
 
 @dataclass(frozen=True)
@@ -68,45 +70,103 @@ class Model:
         return 1 / (1 + np.exp(np.clip(np.array(self.cuts)[None, :] - score[:, None], -50, 50)))
 
 
-def fit(rows: list[tuple[list[int], int]], steps: int = 300, ridge: float = 1e-3) -> Model:
-    """Penalized maximum likelihood by AdaGrad. Without rows or with one grade the weights are zero."""
-    grades = np.array([g for _, g in rows], dtype=np.int64)
-    share = [(np.sum(grades > k) + 0.5) / (len(grades) + 1) if len(grades) else 1 - 1e-6 for k in range(GRADES - 1)]
-    cuts = -np.log(np.array(share) / (1 - np.array(share)))
-    if len(set(grades.tolist())) < 2:
+@dataclass(frozen=True)
+class Sample:
+    """Grades of texts, and their features as pairs (text, feature) of small integers."""
+
+    grades: np.ndarray
+    text: np.ndarray
+    feature: np.ndarray
+
+    @staticmethod
+    def of(features: list[np.ndarray], grades: list[int]) -> Sample:
+        sizes = np.array([len(f) for f in features], dtype=np.int64)
+        flat = np.concatenate([np.asarray(f, dtype=np.int32) for f in features]) if len(features) else np.zeros(0, np.int32)
+        return Sample(np.array(grades, dtype=np.int64), np.repeat(np.arange(len(features), dtype=np.int32), sizes), flat)
+
+
+def _screened(s: Sample) -> np.ndarray:
+    """Features in whose documents the share of grades above some cut is far from that of all documents."""
+    by = np.stack([np.bincount(s.feature[s.grades[s.text] == g], minlength=1 << BITS) for g in range(GRADES)])
+    docs, z = by.sum(axis=0), np.zeros(1 << BITS)
+    for k in range(1, GRADES):
+        share = float((s.grades >= k).mean())
+        spread = max(np.sqrt(share * (1 - share)), 1e-3)
+        z = np.maximum(z, np.abs(by[k:].sum(axis=0) / np.maximum(docs, 1) - share) * np.sqrt(docs) / spread)
+    return np.nonzero((z >= LEAST_Z) & (docs >= LEAST_DOCS))[0]
+
+
+def _minimize(loss, x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
+    """Limited-memory quasi-Newton steps with backtracking on a convex function that gives its value and gradient."""
+    value, slope = loss(x)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        way, mix = -slope, []
+        for s, y, r in reversed(past):
+            a = r * float(s @ way)
+            mix.append(a)
+            way = way - a * y
+        if past:
+            s, y, _r = past[-1]
+            way = way * float(s @ y) / float(y @ y)
+        for (s, y, r), a in zip(past, reversed(mix)):
+            way = way + (a - r * float(y @ way)) * s
+        size, fall = 1.0 if past else min(1.0, 1 / np.abs(slope).sum()), float(slope @ way)
+        for _ in range(30):
+            new = x + size * way
+            now, grad = loss(new)
+            if now <= value + 1e-4 * size * fall:
+                break
+            size /= 2
+        else:
+            break
+        s, y = new - x, grad - slope
+        if float(s @ y) > 1e-12:
+            past = [*past[1 - memory :], (s, y, 1 / float(s @ y))]
+        done = value - now < 1e-7
+        x, value, slope = new, now, grad
+        if done:
+            break
+    return x
+
+
+def fit(s: Sample, steps: int = 150, ridge: float = 1e-4) -> Model:
+    """Maximum likelihood with a squared penalty. Without rows or with one grade the weights are zero."""
+    grades, n = s.grades, len(s.grades)
+    share = np.array([(np.sum(grades > k) + 0.5) / (n + 1) if n else 1 - 1e-6 for k in range(GRADES - 1)])
+    cuts = -np.log(share / (1 - share))
+    if len(np.unique(grades)) < 2:
         return Model({}, tuple(cuts.tolist()))
-    at = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
-    feature = np.concatenate([np.array(f, dtype=np.int64) for f, _ in rows])
-    docs = np.bincount(feature, minlength=1 << BITS)
-    mean = np.bincount(feature, weights=grades[at].astype(float), minlength=1 << BITS) / np.maximum(docs, 1)
-    z = np.abs(mean - grades.mean()) * np.sqrt(docs) / max(grades.std(), 1e-9)
-    kept = np.nonzero((z >= LEAST_Z) & (docs >= LEAST_DOCS))[0]
-    slot = np.full(1 << BITS, -1)
+    kept = _screened(s)
+    slot = np.full(1 << BITS, -1, dtype=np.int32)
     slot[kept] = np.arange(len(kept))
-    use = slot[feature] >= 0
-    at, col = at[use], slot[feature[use]]
-    w, gw, gc = np.zeros(len(kept)), np.full(len(kept), 1e-8), np.full(GRADES - 1, 1e-8)
-    n, one = len(rows), np.arange(len(rows))
-    for _ in range(steps):
+    use = slot[s.feature] >= 0
+    at, col, one = s.text[use], slot[s.feature[use]], np.arange(n)
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, gaps = x[: len(kept)], np.exp(np.clip(x[len(kept) + 1 :], -12, 12))
+        c = x[len(kept)] + np.append(0.0, np.cumsum(gaps))
         score = np.bincount(at, weights=w[col], minlength=n)
         below = np.ones((n, GRADES + 1))
         below[:, 0] = 0
-        below[:, 1:GRADES] = 1 / (1 + np.exp(np.clip(score[:, None] - cuts[None, :], -50, 50)))
+        below[:, 1:GRADES] = 1 / (1 + np.exp(np.clip(score[:, None] - c[None, :], -50, 50)))
         a, b = below[one, grades + 1], below[one, grades]
         p = np.maximum(a - b, 1e-12)
-        dw = np.bincount(col, weights=(1 - a - b)[at], minlength=len(kept)) / n + ridge * w
         dc = np.zeros(GRADES + 1)
         np.add.at(dc, grades + 1, -a * (1 - a) / p)
         np.add.at(dc, grades, b * (1 - b) / p)
-        dc = dc[1:GRADES] / n
-        gw += dw * dw
-        gc += dc * dc
-        w -= 0.3 * dw / np.sqrt(gw)
-        cuts = np.sort(cuts - 0.3 * dc / np.sqrt(gc))
-    return Model({int(k): float(v) for k, v in zip(kept, w)}, tuple(cuts.tolist()))
+        dw = np.bincount(col, weights=(1 - a - b)[at], minlength=len(kept)) / n + ridge * w
+        after = np.cumsum(dc[1:GRADES][::-1])[::-1] / n  # a gap moves all cuts behind it
+        return float(-np.log(p).mean() + ridge / 2 * (w @ w)), np.concatenate([dw, after[:1], gaps * after[1:]])
+
+    # The first cut, and the logarithms of the gaps between cuts, so that these stay in order.
+    start = np.concatenate([np.zeros(len(kept)), cuts[:1], np.log(np.maximum(np.diff(cuts), 0.1))])
+    x = _minimize(loss, start, steps)
+    cuts = x[len(kept)] + np.append(0.0, np.cumsum(np.exp(np.clip(x[len(kept) + 1 :], -12, 12))))
+    return Model({int(k): float(v) for k, v in zip(kept, x)}, tuple(cuts.tolist()))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[list[int], int]]:
+def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sample:
     """Features and grade of a bounded sample of labelled documents.
 
     Grade 0: quality 0; 1: toxic; 2: neither. Labels with a null are not used; a document with
@@ -120,27 +180,27 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[t
     def run(batches):
         for batch in batches:
             out = [np.array(features(raw), dtype=np.int32).tobytes() for _, raws in slices(batch, "text") for raw in raws]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("grade")], names=["features", "grade"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary()), batch.column("grade")], names=["doc_id", "features", "grade"])
 
-    found = rows.select("text", "grade").mapInArrow(run, "features binary, grade int").collect()
-    return sorted((np.frombuffer(r["features"], dtype=np.int32).tolist(), r["grade"]) for r in found)
+    found = rows.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, features binary, grade int").toArrow().sort_by([("doc_id", "ascending"), ("features", "ascending")])
+    arrays = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in found.column("features")]
+    return Sample.of(arrays, found.column("grade").to_pylist())
 
 
 def _scorer(model: Model):
     """A function from texts to their scores; it keeps the numbers of words it has met, up to a bound."""
-    memo: dict[bytes, int] = {}
+    memo: dict[bytes, tuple[int, ...]] = {}
 
     def one(raw: bytes) -> float:
         if len(memo) > MEMO:
             memo.clear()
         words, hit = words_of(raw), set()
         for word in set(words):
-            k = memo.get(word)
-            if k is None:
-                k = _number(word)
-                memo[word] = k = k if k in model.weights else -1
-            if k >= 0:
-                hit.add(k)
+            known = memo.get(word)
+            if known is None:
+                memo[word] = known = tuple(k for k in _numbers(word) if k in model.weights)
+            if known:
+                hit.update(known)
         hit |= {k for s in _shape(raw, words) if (k := zlib.crc32(s) & ((1 << BITS) - 1)) in model.weights}
         return sum(model.weights[k] for k in sorted(hit))
 
