@@ -14,9 +14,21 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker turns into arrays at a time.
 CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch that holds whole texts; Spark's default of 10 000 rows takes too much memory on both sides.
+BATCH_ROWS = 2000
+# Freed batches go back to the system instead of a worker's pool.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session, unless it asks for still smaller ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -125,10 +137,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b longs) by alternating large and small stars.
 
     Returns (id, component) for every id that has an edge; the component is its
-    smallest id. Each round is two joins on a node key, cut by a checkpoint, so no
+    smallest id. Each round is two joins on a node key, cut by a table, so no
     task and no driver ever holds a component.
     """
-    e = checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
+    e = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     state = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -137,7 +149,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(small, "u")
         e = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(linked.select("u", F.col("m").alias("v"))).distinct()
-        e = checkpoint(e)
+        e = stash(e)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
