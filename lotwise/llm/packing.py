@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import os
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -18,36 +23,80 @@ from lotwise.llm.common import checkpoint, keyed, slices
 CAPACITY = 4096
 END = 1
 #: Words whose ids a worker remembers.
-MEMO = 300_000
+MEMO = 700_000
+#: Marks that part from the letters or digits before them as a token of the tokenizer's own splitting.
+MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
 #: Steps of the multiplicative weights in each of the rounds, and the rounds of rounding.
-STEPS, ROUNDS = 24, 8
+STEPS, ROUNDS = 12, 6
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 itself, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+@lru_cache(maxsize=1)
 def encoder(vocabulary: str):
-    """A function from UTF-8 text to its ids, as little-endian unsigned 32-bit numbers, ended by END.
+    """A function from UTF-8 texts to their ids, as little-endian unsigned 32-bit numbers, each text ended by END.
 
     The tokenizer drops white space and never joins what it parts, so ids are those of
-    the parts between white space (ASCII's), which are remembered. Letters are lowered
-    first, as the tokenizer does, unless the text may hold a special token's name.
+    the parts between white space (ASCII's), which a worker remembers over its tasks. Letters are
+    lowered first, as the tokenizer does, unless a text may hold a special token's
+    name. A part of letters and ASCII marks after them is known by its letters and by
+    its marks; letters that need no more normalizing go to the vocabulary's merges at once.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(vocabulary)
+    merges, letters = tokenizer.model, _byte_letters()
     memo: dict[bytes, bytes] = {}
     end = np.array([END], dtype="<u4").tobytes()
 
-    def encode(raw: bytes) -> bytes:
-        words = (raw if b"<|" in raw else raw.lower()).split()
+    def learn(new: set[bytes]) -> None:
+        odd = []
+        for w in new:
+            text = w.decode("utf-8", "replace")
+            if text.isascii():
+                plain = text.isalpha() and text.islower()
+            else:
+                plain = text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+                text = "".join([letters[b] for b in w]) if plain else text
+            if plain:
+                ids = array("I", [t.id for t in merges.tokenize(text)])
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                memo[w] = ids.tobytes()
+            else:
+                odd.append(w)
+        for w, e in zip(odd, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)):
+            memo[w] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def encode(raws: list[bytes]) -> list[bytes]:
+        if len(memo) > MEMO:
+            memo.clear()
+        words, edge = [], [0]
+        for raw in raws:
+            words += (raw if b"<|" in raw else raw.lower()).split()
+            edge.append(len(words))
         parts = list(map(memo.get, words))
-        if None in parts:
-            if len(memo) > MEMO:
-                memo.clear()
-            new = list({w for w, p in zip(words, parts) if p is None})
-            for w, e in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                memo[w] = np.array(e.ids, dtype="<u4").tobytes()
-            parts = [memo[w] if p is None else p for w, p in zip(words, parts)]
-        return b"".join(parts) + end
+        lacking = [i for i, p in enumerate(parts) if p is None]
+        if lacking:
+            split, whole = {}, set()
+            for w in {words[i] for i in lacking}:
+                core = w.rstrip(MARKS)
+                if len(core) < len(w) and (core.isalnum() if core.isascii() else core.decode("utf-8", "replace").isalnum()):
+                    split[w] = (core, w[len(core) :])
+                else:
+                    whole.add(w)
+            learn(set(filterfalse(memo.__contains__, chain(whole, *split.values()))))
+            for w, (core, marks) in split.items():
+                memo[w] = memo[core] + memo[marks]
+            for i in lacking:
+                parts[i] = memo[words[i]]
+        return [b"".join(parts[a:b]) + end for a, b in zip(edge, edge[1:])]
 
     return encode
 
@@ -62,8 +111,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
             rids, ids = batch.column("rid").to_pylist(), batch.column("id").to_pylist()
             at = 0
             for _, raws in slices(batch, "text"):
-                for raw in raws:
-                    data = encode(raw)
+                for data in encode(raws):
                     for k, s in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[s : s + 4 * capacity]
                         out.append((rids[at], ids[at], k, s // 4, len(part) // 4, zlib.crc32(part)))
@@ -138,24 +186,39 @@ def _fractional(demand: np.ndarray) -> list[tuple[Counter, float]]:
 
 
 def _best_fit(rest: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
-    """Best-fit decreasing over what is left; the open bins are kept by the room they have."""
-    rooms: dict[int, list[Counter]] = {}
-    open_ = np.zeros(capacity + 1, dtype=np.int64)
+    """Best-fit decreasing on the histogram: equal bins move together, so the work doesn't grow with the counts."""
+    rooms: dict[int, dict[tuple, int]] = {}
+    open_ = np.zeros(capacity + 1, dtype=bool)
+
+    def put(room: int, config: tuple, n: int) -> None:
+        own = rooms.setdefault(room, {})
+        own[config] = own.get(config, 0) + n
+        open_[room] = True
+
     for length in sorted(rest, reverse=True):
-        for _ in range(rest[length]):
+        n = rest[length]
+        while n:
             fits = np.nonzero(open_[length:])[0]
-            room = length + int(fits[0]) if len(fits) else capacity
-            if len(fits):
-                config = rooms[room].pop()
-                open_[room] -= 1
-            else:
-                config = Counter()
-            config[length] += 1
-            room -= length
-            rooms.setdefault(room, []).append(config)
-            open_[room] += 1
-    merged = Counter(tuple(sorted(c.items())) for bins in rooms.values() for c in bins)
-    return [(Counter(dict(k)), n) for k, n in merged.items()]
+            if not len(fits):
+                k = capacity // length
+                if n >= k:
+                    put(capacity - k * length, ((length, k),), n // k)
+                if n % k:
+                    put(capacity - n % k * length, ((length, n % k),), 1)
+                break
+            room = length + int(fits[0])
+            bins = rooms.pop(room)
+            open_[room] = False
+            for config, m in bins.items():
+                take = min(n, m)
+                if take:
+                    held = dict(config)
+                    held[length] = held.get(length, 0) + 1
+                    put(room - length, tuple(sorted(held.items())), take)
+                    n -= take
+                if m > take:
+                    put(room, config, m - take)
+    return [(Counter(dict(config)), n) for own in rooms.values() for config, n in own.items()]
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter, int]]:
@@ -163,7 +226,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter
 
     Round by round the program over what is left is solved and its solution rounded
     down; lengths that a whole sequence holds alone need no program. What the last
-    round leaves, at most a few pieces of each configuration, is packed by best fit.
+    round leaves is packed by best fit. Where best fit alone needs fewer sequences, as for
+    lengths that no full configuration exists for, its plan is taken.
     """
     out: list[tuple[Counter, int]] = []
     left = np.zeros(capacity + 1)
@@ -186,7 +250,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter
         if left.sum() > 0.97 * before:
             break
     out += _best_fit({int(k): int(left[k]) for k in np.nonzero(left)[0]}, capacity)
-    return out
+    simple = _best_fit(counts, capacity)
+    return min(out, simple, key=lambda plan: sum(n for _, n in plan))
 
 
 @dataclass(frozen=True)
