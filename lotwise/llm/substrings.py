@@ -77,56 +77,60 @@ def _anchor_keys(batches):
 CONTEXT = "key long, sub long, wide boolean, rid long, at long, lo long, hi long, context binary"
 
 
-def _contexts(batches):
+def _contexts(bucket: int):
     """Contexts (all bytes of an anchor's windows) of anchors that occur again; without a context: windows that are
     removed, because the task has met the same context earlier in the order."""
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = [x.split()[0] for x in CONTEXT.split(", ")]
-    memo: dict[tuple[int, bytes], tuple] = {}
-    held, gone = 0, []
-
-    def out():
-        nonlocal held
-        rows = list(memo.values()) + gone
-        memo.clear()
-        gone.clear()
-        held = 0
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
 
-    for batch in batches:
-        lists = batch.column("keys")
-        flat = lists.flatten()
-        ends = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
-        keys, often = flat.field("key").to_numpy(), flat.field("n").to_numpy()
-        row = 0
-        for part, raws in slices(batch, "text"):
-            rid = part.column("rid").to_numpy()
-            # The part's keys by (document, key), to look its anchors up at once.
-            doc_of = np.repeat(np.arange(len(raws)), np.diff(ends[row : row + len(raws) + 1]))
-            k, n = keys[ends[row] : ends[row + len(raws)]], often[ends[row] : ends[row + len(raws)]]
-            row += len(raws)
-            order = np.lexsort((k, doc_of))
-            wanted = dict(zip(zip(doc_of[order].tolist(), k[order].tolist()), n[order].tolist()))
-            for h, doc, at, lo, hi in anchors(raws):
-                for key, d, p, a, b in zip(h.tolist(), doc.tolist(), at.tolist(), lo.tolist(), hi.tolist()):
-                    count = wanted.get((d, key))
-                    if count is None:
-                        continue
-                    r, context = int(rid[d]), raws[d][a : b + LENGTH]
-                    parts = -(-count // BUCKET)
-                    sub = ((r * 0x9E3779B1 + a) & 0x7FFFFFFF) % parts if parts > 1 else 0
-                    new = (key, sub, parts > 1, r, p - a, a, b, context)
-                    old = memo.get((key, context))
-                    if old is None:
-                        memo[key, context] = new
-                        held += len(context) + 200
-                        continue
-                    if (old[3], old[5]) > (r, a):
-                        memo[key, context], old, new = new, new, old
-                    gone.append((key, 0, False, new[3], new[4], new[5], new[6], None))
-            if held > MEMO_BYTES or len(gone) > 500_000:
-                yield out()
-    yield out()
+    def run(batches):
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = [x.split()[0] for x in CONTEXT.split(", ")]
+        memo: dict[tuple[int, bytes], tuple] = {}
+        held, gone = 0, []
+
+        def out():
+            nonlocal held
+            rows = list(memo.values()) + gone
+            memo.clear()
+            gone.clear()
+            held = 0
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
+
+        for batch in batches:
+            lists = batch.column("keys")
+            flat = lists.flatten()
+            ends = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
+            keys, often = flat.field("key").to_numpy(), flat.field("n").to_numpy()
+            row = 0
+            for part, raws in slices(batch, "text"):
+                rid = part.column("rid").to_numpy()
+                # The part's keys by (document, key), to look its anchors up at once.
+                doc_of = np.repeat(np.arange(len(raws)), np.diff(ends[row : row + len(raws) + 1]))
+                k, n = keys[ends[row] : ends[row + len(raws)]], often[ends[row] : ends[row + len(raws)]]
+                row += len(raws)
+                order = np.lexsort((k, doc_of))
+                wanted = dict(zip(zip(doc_of[order].tolist(), k[order].tolist()), n[order].tolist()))
+                for h, doc, at, lo, hi in anchors(raws):
+                    for key, d, p, a, b in zip(h.tolist(), doc.tolist(), at.tolist(), lo.tolist(), hi.tolist()):
+                        count = wanted.get((d, key))
+                        if count is None:
+                            continue
+                        r, context = int(rid[d]), raws[d][a : b + LENGTH]
+                        parts = -(-count // bucket)
+                        sub = ((r * 0x9E3779B1 + a) & 0x7FFFFFFF) % parts if parts > 1 else 0
+                        new = (key, sub, parts > 1, r, p - a, a, b, context)
+                        old = memo.get((key, context))
+                        if old is None:
+                            memo[key, context] = new
+                            held += len(context) + 200
+                            continue
+                        if (old[3], old[5]) > (r, a):
+                            memo[key, context], old, new = new, new, old
+                        gone.append((key, 0, False, new[3], new[4], new[5], new[6], None))
+                if held > MEMO_BYTES or len(gone) > 500_000:
+                    yield out()
+        yield out()
+
+    return run
 
 
 def common_prefix(prefix: Prefixes, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -213,6 +217,24 @@ def classes(data: np.ndarray, start: np.ndarray, segment: np.ndarray, length: in
 FOUND = "rid long, lo long, hi long, content binary"
 
 
+def _sharing(group: list[tuple]) -> list[tuple]:
+    """The members that may share a window with another: a window holds half of its bytes beside the anchor either
+    before it or after it, so these must be the same in both. A part of a split group stays whole."""
+    if group[0][2]:
+        return group
+    if len(group) < 2:
+        return []
+    half = (LENGTH - GRAM) // 2
+    sides = [(r[7][r[4] - half : r[4]] if r[4] >= half else None, b"+" + r[7][r[4] + GRAM : r[4] + GRAM + half] if len(r[7]) - r[4] - GRAM >= half else None) for r in group]
+    seen: dict[bytes, int] = {}
+    for pair in sides:
+        for side in pair:
+            if side is not None:
+                seen[side] = seen.get(side, 0) + 1
+    kept = [r for r, pair in zip(group, sides) if any(side is not None and seen[side] > 1 for side in pair)]
+    return kept if len(kept) > 1 else []
+
+
 def _decide(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     """(removed windows, first windows of split groups) of whole groups, which come by (key, sub, rid, lo)."""
     removed, met = [], []
@@ -228,7 +250,7 @@ def _decide(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
         else:
             seen[row[7]] = row
             groups[-1].append(row)
-    wide = [g for g in groups if len(g) > 1 or g[0][2]]
+    wide = [g for g in map(_sharing, groups) if g]
     at = 0
     while at < len(wide):
         part, count = [], 0
@@ -305,7 +327,7 @@ def removals(docs: DataFrame) -> DataFrame:
     docs, copies = split_copies(docs, LENGTH)
     whole = copies.select("rid", F.lit(0).cast("long").alias("lo"), (F.col("n_bytes") - LENGTH).alias("hi"))
     at = stash(repeated(docs.select("rid", "text").mapInArrow(_anchor_keys, "key long, rid long")))
-    rows = docs.join(at, "rid").select("rid", "text", "keys").mapInArrow(_contexts, CONTEXT)
+    rows = docs.join(at, "rid").select("rid", "text", "keys").mapInArrow(_contexts(BUCKET), CONTEXT)
     many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(many, F.when(F.col("context").isNull(), F.col("rid")).otherwise(F.col("key")), "sub").sortWithinPartitions("key", "sub", "rid", "lo")
 
