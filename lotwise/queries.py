@@ -486,7 +486,7 @@ def recommend_best_fuel_gap(spark, sf_dir):
     return found.select("region", "best_fuel", F.round("gap_vs_rest_mean", 6).alias("gap"))
 
 
-@query(f"WITH {LOTS_SQL} SELECT marca, sale_country, sale_name, count(*) AS n, sum(CASE WHEN lot_status = 'Sold' THEN 1 ELSE 0 END) AS n_sold FROM lots WHERE lot_status = 'Sold' AND margin_abs / precio_final_eur <= 0.1 AND combustible_norm <> 'A' GROUP BY ALL")
+@query(f"WITH {LOTS_SQL} SELECT marca, sale_country, sale_name, count(*) AS n, CAST(sum(CASE WHEN lot_status = 'Sold' THEN 1 ELSE 0 END) AS BIGINT) AS n_sold FROM lots WHERE lot_status = 'Sold' AND margin_abs / precio_final_eur <= 0.1 AND combustible_norm <> 'A' GROUP BY ALL")
 def global_filters(spark, sf_dir):
     g = filters.GlobalFilters(fuel_exclude=["A", ""], max_margin_ratio=0.1, only_sold=True)
     return filters.globally(lots(spark, sf_dir), g).groupBy("marca", "sale_country", "sale_name").agg(F.count(F.lit(1)).alias("n"), F.sum(canon.sold(F.col("lot_status")).cast("long")).alias("n_sold"))

@@ -65,14 +65,14 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    bid = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2)
-    final = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), 2)
-    sale = F.round(F.col("p_retailprice") * F.col("l_quantity"), 2)
+    bid = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 6)
+    final = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), 6)
+    sale = F.round(F.col("p_retailprice") * F.col("l_quantity"), 6)
     lot = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"), F.date_format("l_shipdate", "yyyyMMdd"), (F.round(F.col("l_extendedprice") * 100)).cast("long"), (F.round(F.col("l_discount") * 100)).cast("int"), (F.round(F.col("l_tax") * 100)).cast("int"))
     return rows.select(
         lot.alias("lot_id"), F.col("p_brand").alias("marca"), F.col("p_type").alias("modelo"), F.year("l_shipdate").cast("long").alias("anio"), F.col("l_returnflag").alias("combustible_norm"),
         F.col("c_mktsegment").alias("segmento"), F.col("n_name").alias("sale_country"), F.col("o_orderpriority").alias("sale_name"), F.when(F.col("o_orderstatus") == "F", "Sold").otherwise("Not sold").alias("lot_status"),
-        bid.alias("winning_bid"), final.alias("precio_final_eur"), sale.alias("precio_venta_ganvam"), F.round(sale - final, 2).alias("margin_abs"), (F.col("p_size") * 4000).cast("double").alias("mileage"),
+        bid.alias("winning_bid"), final.alias("precio_final_eur"), sale.alias("precio_venta_ganvam"), F.round(sale - final, 6).alias("margin_abs"), (F.col("p_size") * 4000).cast("double").alias("mileage"),
         F.col("l_quantity").alias("units_abs_esp"), (F.col("p_size") / 50.0).alias("share_marca_%_esp"), (F.col("l_linenumber") * 10.0).alias("mix_0_3_%_esp"),
     ).distinct()
 
@@ -81,9 +81,9 @@ LOTS_SQL = """
     lots AS (
         SELECT DISTINCT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER), strftime(l_shipdate, '%Y%m%d'), CAST(round(l_extendedprice * 100) AS BIGINT), CAST(round(l_discount * 100) AS INTEGER), CAST(round(l_tax * 100) AS INTEGER)) AS lot_id,
                p_brand AS marca, p_type AS modelo, CAST(year(l_shipdate) AS BIGINT) AS anio, l_returnflag AS combustible_norm, c_mktsegment AS segmento, n_name AS sale_country,
-               o_orderpriority AS sale_name, CASE WHEN o_orderstatus = 'F' THEN 'Sold' ELSE 'Not sold' END AS lot_status, round(l_extendedprice * (1 - l_discount), 2) AS winning_bid,
-               round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 2) AS precio_final_eur, round(p_retailprice * l_quantity, 2) AS precio_venta_ganvam,
-               round(round(p_retailprice * l_quantity, 2) - round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 2), 2) AS margin_abs, CAST(p_size * 4000 AS DOUBLE) AS mileage,
+               o_orderpriority AS sale_name, CASE WHEN o_orderstatus = 'F' THEN 'Sold' ELSE 'Not sold' END AS lot_status, round(l_extendedprice * (1 - l_discount), 6) AS winning_bid,
+               round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS precio_final_eur, round(p_retailprice * l_quantity, 6) AS precio_venta_ganvam,
+               round(round(p_retailprice * l_quantity, 6) - round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6), 6) AS margin_abs, CAST(p_size * 4000 AS DOUBLE) AS mileage,
                l_quantity AS units, p_size / 50.0 AS share, l_linenumber * 10.0 AS mix
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey JOIN customer ON o_custkey = c_custkey
