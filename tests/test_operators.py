@@ -140,7 +140,7 @@ def test_fee_bands(spark):
     ))
     lots = frame(spark, "id int, p double, c string, s string, ev boolean, sold boolean", (1, 400.0, "ESPAÑA", "x", True, True), (2, 900.0, "espana", "x", False, True), (3, 3000.0, "España", "x", False, True), (4, 9000.0, "España", "x", False, True), (5, 400.0, "España", "gold", False, True), (6, 400.0, "Mars", "x", False, True), (7, 400.0, "España", "x", False, False), (8, 1500.0, "España", "x", None, True))
     got = {r["id"]: (r["commission_adquisicion_eur"], r["commission_documentos_eur"], r["commission_diagnostico_eur"], r["commission_total_eur"], r["error"]) for r in fees.bundle(lots, "id", table, "p", "c", "s", "ev", "sold").collect()}
-    assert got[1][:4] == pytest.approx((5.0, 8.8, 9.0, 22.8)) and got[2][0] == 10.0 and got[3][0] == 50.0 and got[4][0] == 90.0 and got[5][0] == 77.0 and got[8][0] == 10.0
+    assert got[1][:4] == pytest.approx((5.0, 8.8, 9.0, 22.8)) and got[2][0] == 10.0 and got[3][0] == 50.0 and got[4][0] == 90.0 and got[5][0] == 77.0 and got[8][0] == 5.0
     assert got[6][0] is None and got[6][1] == pytest.approx(8.8) and got[6][2] is None and "sin_regla_adquisicion" in got[6][4] and got[7] == (None, None, None, 0.0, "")
 
 
