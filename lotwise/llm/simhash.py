@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from itertools import repeat
 
@@ -12,11 +13,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpoint, components, keyed, raw_bytes, slices, words_of
+from lotwise.llm.common import checkpoint, components, keyed, mix, raw_bytes, slices, small, split_copies, stash, words_of
+from lotwise.llm.passages import word_hashes
 
 #: Members of a bucket that one task compares; larger buckets are split by further masks.
 BUCKET = 4096
 SEED = 42
+#: The order of near_dedup's shingles: of one text in SAMPLE, up to COMMON shingles that occur often come last.
+SAMPLE, COMMON = 16, 200_000
 
 
 def shingles(words: list[bytes], size: int) -> list[bytes]:
@@ -185,26 +189,93 @@ def _jaccard(size: int, least: float):
     return run
 
 
-def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 5, size: int = 5, least: float = 0.8) -> DataFrame:
+def shingle_set(raw: bytes, size: int) -> np.ndarray:
+    """The hashes of the distinct shingles of a text, sorted; a shorter text is one shingle."""
+    words = word_hashes(raw)
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    size = min(size, len(words))
+    h = np.zeros(len(words) - size + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            h = h * np.uint64(0x100000001B3 * 2 + 1) + words[i : i + len(h)]
+    return np.unique(mix(h))
+
+
+def _sampled(size: int):
+    def run(batches):
+        for batch in batches:
+            for _, raws in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(raw, size) for raw in raws]).view(np.int64))], names=["key"])
+
+    return run
+
+
+def _prefixes(size: int, least: float, common: np.ndarray, counts: np.ndarray):
+    """The first shingles of each text in one order of all shingles, the common ones last: two sets of that
+    similarity share one of their first n - ceil(least * n) + 1."""
+
+    def first(h: np.ndarray) -> np.ndarray:
+        often = np.zeros(len(h), dtype=np.int64)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+            often = np.where(common[at] == h, counts[at], 0)
+        return h[np.lexsort((h, often))[: len(h) - math.ceil(least * len(h) - 1e-9) + 1]]
+
+    def run(batches):
+        for batch in batches:
+            for part, raws in slices(batch, "text"):
+                sets = [shingle_set(raw, size) for raw in raws]
+                # Texts without words share a key of their own.
+                firsts = [first(h) if len(h) else np.zeros(1, dtype=np.uint64) for h in sets]
+                many = np.array([len(f) for f in firsts])
+                place = np.concatenate([np.arange(n) for n in many]) if len(many) else many
+                columns = (np.concatenate(firsts).view(np.int64), np.repeat(part.column("rid").to_numpy(), many), np.repeat([len(h) for h in sets], many), place)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["key", "rid", "n", "place"])
+
+    return run
+
+
+def candidates(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """(key, rid, n, place): shared shingles among the first ones of texts; all pairs of texts whose sets of
+    shingles have the similarity share a key. n: shingles of the text.
+
+    Any order of the shingles gives all pairs. Those that occur often in one of SAMPLE texts come last,
+    so that a common line is no key of the texts that hold it.
+    """
+    picked = docs.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_sampled(size), "key long")
+    often = picked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 4").orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
+    common, counts = often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    order = np.argsort(common)
+    keys = stash(docs.select("rid", "text").mapInArrow(_prefixes(size, least, common[order], counts[order]), "key long, rid long, n int, place int"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+    return stash(keys.join(shared, "key"))
+
+
+def _near(a: str, b: str, least: float):
+    """Sizes and places that let two texts have the similarity if this is the first shingle they share."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    rest = F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place"))
+    return (rest * (1 + least) >= least * (n + m) - 1e-6) | ((n == 0) & (m == 0))
+
+
+def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
     """(rid, id, component): documents in groups of near copies, each link checked on its texts.
 
-    Candidates are pairs within the Hamming radius of fingerprints over the distinct
-    words of a text (an edit touches one word but five shingles, so near copies stay
-    within a small radius); a candidate is a link if the sets of ``size``-word
-    shingles have a Jaccard similarity of at least ``least``. Equal texts are one
-    node; texts without words are equal only to equal texts.
+    Two texts are near if their sets of ``size``-word shingles have a Jaccard similarity of
+    at least ``least``; the groups are the components of all near pairs. Equal texts
+    are one node; texts without words are near each other.
+
+    All near pairs share a key of ``candidates``; the members of a key are checked against the first of them.
     """
-    docs = keyed(df, id_col, text_col)
-    prints = fingerprints(docs.withColumn("id", F.xxhash64(F.col("text"), F.lit(SEED))), 1, distinct=True).withColumnRenamed("id", "body")
-    prints = checkpoint(prints)
-    nodes = prints.groupBy("fp", "body").agg(F.min("rid").alias("rid"))
-    same = prints.join(nodes.select("fp", "body", F.col("rid").alias("first")), ["fp", "body"]).where("rid > first").select(F.col("first").alias("a"), F.col("rid").alias("b"))
-    heads = nodes.groupBy("fp").agg(F.min("rid").alias("head"))
-    alike = nodes.join(heads, "fp").where("rid > head").select(F.col("head").alias("a"), F.col("rid").alias("b"))
-    pairs = links(heads.select("fp"), radius)
-    far = pairs.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("ha")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("hb")), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    pairs = checkpoint(alike.unionByName(far).unionByName(same).distinct())
-    text = docs.select(F.col("rid"), "text")
+    docs, copies = split_copies(keyed(df, id_col, text_col), 0)
+    same = copies.select(F.col("first").alias("a"), F.col("rid").alias("b"))
+    rows = candidates(docs, size, least)
+    ids = checkpoint(rows.select("rid").distinct())
+    text = stash(docs.select("rid", "text").join(small(ids), "rid", "left_semi"))
+    heads = rows.groupBy("key").agg(F.min(F.struct("rid", "n", "place")).alias("x"))
+    pairs = rows.select("key", F.struct("rid", "n", "place").alias("y")).join(heads, "key").where("x.rid < y.rid").where(_near("x", "y", least))
+    pairs = stash(pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct())
     full = pairs.join(text.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
     good = full.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(size, least), "a long, b long")
-    return components(good).withColumnRenamed("id", "rid")
+    return components(same.unionByName(good)).withColumnRenamed("id", "rid")

@@ -153,6 +153,38 @@ def test_verified_groups_keep_one_of_each_group(spark, corpus):
     assert simhash.verified_groups(table(spark, EMPTY)).count() == 0
 
 
+def brute_groups(rows, size=5, least=0.8):
+    """The component of each text by all pairs, and how many pairs of different texts are near."""
+    sets = []
+    for _, t in rows:
+        words = t.encode().lower().split()
+        sets.append({tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))})
+    top, near = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                near += 1
+                top = [min(top[i], top[j]) if x in (top[i], top[j]) else x for x in top]
+    return {rows[i][0]: rows[x][0] for i, x in enumerate(top) if top.count(x) > 1}, near
+
+
+def test_verified_groups_find_every_kind_of_near_copy(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(16):
+        words = prose(rng, rng.choice([100, 150, 300])).split()
+        n = len(words)
+        at = rng.randrange(n // 2)
+        block = words[:at] + prose(rng, n // 16).split() + words[at + n // 16 :]
+        longer = words + prose(rng, n // 5).split()
+        edited = [rng.choice(SYLLABLES) + "x" if i % 50 == 20 else w for i, w in enumerate(words)]
+        rows += [(10 * k + i, " ".join(w)) for i, w in enumerate((words, block, longer, edited))]
+    want, near = brute_groups(rows)
+    assert near >= 48
+    found = {r["rid"]: r["component"] for r in simhash.verified_groups(table(spark, rows)).collect()}
+    assert found == want
+
+
 # --- 2 --------------------------------------------------------------------------------------------------------------
 
 
