@@ -21,6 +21,8 @@ BUCKET = 4096
 SEED = 42
 #: The order of near_dedup's shingles: of one text in SAMPLE, up to COMMON shingles that occur often come last.
 SAMPLE, COMMON = 16, 200_000
+#: Members of a key whose pairs are checked at once, and turns in which larger keys are checked against one member.
+FEW, STARS = 16, 4
 
 
 def shingles(words: list[bytes], size: int) -> list[bytes]:
@@ -45,16 +47,15 @@ def fold(h: np.ndarray) -> int:
     return int(np.packbits((2 * ones > len(h)).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int, distinct: bool = False) -> DataFrame:
-    """(rid, id, fp): the fingerprint of each text of (rid, id, text). distinct: a repeated shingle counts once."""
+def fingerprints(docs: DataFrame, size: int) -> DataFrame:
+    """(rid, id, fp): the fingerprint of each text of (rid, id, text)."""
 
     def run(batches):
         for batch in batches:
             fps = []
             for _, raws in slices(batch, "text"):
                 for raw in raws:
-                    grams = shingles(words_of(raw), size)
-                    fps.append(fold(hashes(list(set(grams)) if distinct else grams)))
+                    fps.append(fold(hashes(shingles(words_of(raw), size))))
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("id"), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["rid", "id", "fp"])
 
     return docs.select("rid", "id", "text").mapInArrow(run, "rid long, id long, fp long")
@@ -266,16 +267,39 @@ def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     at least ``least``; the groups are the components of all near pairs. Equal texts
     are one node; texts without words are near each other.
 
-    All near pairs share a key of ``candidates``; the members of a key are checked against the first of them.
+    All near pairs share a key of ``candidates``. The members of a key are checked against
+    the first of them; then the pairs of members that no verified link has joined are checked, in
+    keys of over FEW members one further member against the others at a time, for STARS turns.
+    A pair is left out only if it is in one component already.
     """
     docs, copies = split_copies(keyed(df, id_col, text_col), 0)
     same = copies.select(F.col("first").alias("a"), F.col("rid").alias("b"))
     rows = candidates(docs, size, least)
     ids = checkpoint(rows.select("rid").distinct())
     text = stash(docs.select("rid", "text").join(small(ids), "rid", "left_semi"))
-    heads = rows.groupBy("key").agg(F.min(F.struct("rid", "n", "place")).alias("x"))
-    pairs = rows.select("key", F.struct("rid", "n", "place").alias("y")).join(heads, "key").where("x.rid < y.rid").where(_near("x", "y", least))
-    pairs = stash(pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct())
-    full = pairs.join(text.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
-    good = full.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(size, least), "a long, b long")
-    return components(same.unionByName(good)).withColumnRenamed("id", "rid")
+    found, tried = same, None
+    for turn in range(STARS + 1):
+        if turn:
+            root = components(found).withColumnRenamed("id", "rid")
+            rooted = rows.drop("root").join(root, "rid", "left").withColumn("root", F.coalesce("component", "rid")).drop("component")
+            open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
+            rows = stash(rooted.drop("members").join(open_keys, "key"))
+        else:
+            rows = rows.withColumn("root", F.col("rid")).withColumn("members", F.lit(None).cast("long"))
+        every = F.col("members") <= FEW if turn < STARS else F.lit(turn > 0)
+        stars = rows.where(~F.coalesce(every, F.lit(False)))
+        heads = stars.groupBy("key").agg(F.min(F.struct("rid", "n", "place", "root")).alias("x"))
+        pairs = stars.select("key", F.struct("rid", "n", "place", "root").alias("y")).join(heads, "key").where("x.rid < y.rid")
+        if turn:
+            whole = rows.where(every).select("key", F.struct("rid", "n", "place", "root").alias("x"))
+            pairs = pairs.unionByName(whole.join(whole.withColumnRenamed("x", "y"), "key").where("x.rid < y.rid").select("key", "y", "x"))
+        pairs = pairs.where(F.col("x.root") != F.col("y.root")).where(_near("x", "y", least)).select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
+        pairs = stash(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        full = pairs.join(text.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
+        found = found.unionByName(checkpoint(full.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(size, least), "a long, b long")))
+        rest = rows.join(heads.select("key", F.col("x.rid").alias("rid")), ["key", "rid"], "left_anti")
+        rows = stash(rest.where(~every) if turn else rest)
+        if rows.isEmpty():
+            break
+    return components(found).withColumnRenamed("id", "rid")

@@ -185,6 +185,26 @@ def test_verified_groups_find_every_kind_of_near_copy(spark):
     assert found == want
 
 
+@pytest.mark.parametrize("few, stars", [(16, 4), (2, 1), (2, 3)])
+def test_verified_groups_lose_no_link_of_a_failed_head(spark, monkeypatch, few, stars):
+    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(simhash, "STARS", stars)
+    rng = random.Random(12)
+    words = prose(rng, 100).split()
+    # The first text has the same distinct words as the next ones and shares half of their shingles.
+    half = words[:50] + rng.sample(words[50:], 50)
+    rows = [(0, " ".join(half)), (1, " ".join(words)), (2, " ".join(words[:98] + words[:97:-1]))]
+    # Texts that share most of their words, around the similarity.
+    base = prose(rng, 120).split()
+    for k in range(40):
+        at = rng.randrange(100)
+        rows.append((100 + k, " ".join(base[:at] + prose(rng, rng.randint(2, 8)).split() + base[at + rng.randint(0, 6) :])))
+    want, near = brute_groups(rows)
+    assert want[1] == want[2] == 1 and 0 not in want and 20 < near < 780
+    found = {r["rid"]: r["component"] for r in simhash.verified_groups(table(spark, rows)).collect()}
+    assert found == want
+
+
 # --- 2 --------------------------------------------------------------------------------------------------------------
 
 
