@@ -41,9 +41,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that the classifier selects, with their expected grade and tail probability."""
-    graded = quality.grade(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return graded.where("accepted").withColumnRenamed("id", "doc_id")
+    """Every document with its expected grade, its tail probability and whether the classifier selects it."""
+    return quality.grade(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

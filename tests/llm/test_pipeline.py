@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from lotwise.llm import queries
 from tests.llm.test_operators import prose
 
 
@@ -49,6 +50,13 @@ def test_stages(spark, folder, tmp_path):
     assert {r["doc_id"] for r in kept["packing"]} == set(ids["secrets"])
 
 
+def test_the_quality_query_grades_rejected_documents_too(spark, folder):
+    docs = spark.read.parquet(folder + "/documents.parquet")
+    found = queries.op6_quality_classifier(spark, folder).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(r["doc_id"] for r in docs.collect())
+    assert all(r["accepted"] == (r["p_good"] >= 0.5) for r in found) and not all(r["accepted"] for r in found)
+
+
 def test_run_gives_the_last_stage(spark, folder):
     found = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(found.columns) and found.count() > 100
