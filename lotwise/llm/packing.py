@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 import unicodedata
@@ -26,8 +27,11 @@ END = 1
 MEMO = 700_000
 #: Marks that part from the letters or digits before them as a token of the tokenizer's own splitting.
 MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
-#: Steps of the multiplicative weights in each of the rounds, and the rounds of rounding.
-STEPS, ROUNDS = 12, 6
+#: A configuration is used while its value is at most TOLERANCE under the best one's. Used, it covers SHARE of its scarcest
+#: length, and a length's weight falls by exp(-RATE * share). PHASES knapsacks are solved in each of ROUNDS rounds of rounding.
+TOLERANCE, SHARE, RATE, PHASES, ROUNDS = 0.01, 0.25, 1.0, 60, 3
+#: Room that a rounded configuration may leave; the plan of the one with fewer sequences is taken.
+ROOMS = (4, 32)
 
 
 def _byte_letters() -> list[str]:
@@ -127,17 +131,18 @@ class Knapsack:
     """Dynamic program over all capacities: the best value of lengths (repeats allowed) that fit, and one set that has it."""
 
     def __init__(self, value: np.ndarray):
-        """value: of each length from 0 up to the capacity; -inf for a length that can't be used."""
+        """value: of each length from 0 up to the capacity; -inf for a length that can't be used. Of equal values the longest counts."""
         cap = len(value) - 1
         self.best, self.last = np.zeros(cap + 1), np.zeros(cap + 1, dtype=np.int64)
         least = int(np.argmax(value > -np.inf)) if (value > -np.inf).any() else cap + 1
+        back, best = value[::-1].copy(), self.best
         for c in range(least, cap + 1):
-            v = value[least : c + 1] + self.best[c - least :: -1][: c + 1 - least]
-            k = int(np.argmax(v))
-            if v[k] > self.best[c - 1]:
-                self.best[c], self.last[c] = v[k], least + k
+            v = back[cap - c : cap - least + 1] + best[: c - least + 1]
+            k = int(v.argmax())
+            if v[k] > best[c - 1]:
+                best[c], self.last[c] = v[k], c - k
             else:
-                self.best[c] = self.best[c - 1]
+                best[c] = best[c - 1]
 
     def fill(self, room: int) -> list[int]:
         out = []
@@ -150,39 +155,42 @@ class Knapsack:
         return out
 
 
-def _fractional(demand: np.ndarray) -> list[tuple[Counter, float]]:
-    """A solution of the configuration program by multiplicative weights.
+def fractional(demand: np.ndarray) -> tuple[list[tuple[Counter, float]], np.ndarray, float]:
+    """The covering program (fewest configurations that hold each length l ``demand[l]`` times) by multiplicative weights.
 
-    Constraint of length l: configurations hold it ``demand[l]`` times in all. A step
-    prices the lengths by their weights (the dual of volume, lowered as a length is
-    covered, raised while it isn't), solves the knapsack, and takes for each length
-    still uncovered the best configuration that holds it, up to the least share of what it holds.
+    Returns configurations with how often each is used, how often each length is held,
+    and a lower bound of the program. The weight of a length starts as its volume and is multiplied by
+    exp(-RATE * a * step / demand) whenever a configuration that holds it ``a`` times is used
+    for a step. A knapsack prices the configurations; as weights only fall, its
+    value stays an upper bound, so those within TOLERANCE of it are still near the best and are
+    used, one for each length, before the next knapsack is solved. Weights scaled by the
+    knapsack's value are a solution of the dual, which bounds the program.
     """
     cap = len(demand) - 1
-    size = np.arange(cap + 1)
     lengths = np.nonzero(demand)[0]
-    covered, found = np.zeros(cap + 1), {}
-    weight = np.ones(cap + 1)
-    for step in range(STEPS):
-        share = (step + 1) / STEPS
-        value = np.full(cap + 1, -np.inf)
-        value[lengths] = size[lengths] * weight[lengths]
-        sack = Knapsack(value)
-        for length in lengths[::-1].tolist():
-            lack = share * demand[length] - covered[length]
-            if lack <= 0:
+    weight = np.full(cap + 1, -np.inf)
+    weight[lengths] = lengths
+    covered, found, bound = np.zeros(cap + 1), {}, 0.0
+    for _ in range(PHASES):
+        sack = Knapsack(weight)
+        top = sack.best[cap]
+        bound = max(bound, float(demand[lengths] @ weight[lengths]) / top)
+        if (covered[lengths] >= demand[lengths]).all():
+            break
+        level = (1 - TOLERANCE) * top
+        for length in lengths[weight[lengths] + sack.best[cap - lengths] >= level][::-1].tolist():
+            if weight[length] + sack.best[cap - length] < level:
                 continue
             config = Counter([length, *sack.fill(cap - length)])
-            times = min(lack / config[length], *((share * 1.5 * demand[k] + 1 - covered[k]) / a for k, a in config.items() if k != length)) if len(config) > 1 else lack / config[length]
-            if times <= 0:
+            if sum(weight[k] * a for k, a in config.items()) < level:
                 continue
+            step = min(SHARE * demand[k] / a for k, a in config.items())
             for k, a in config.items():
-                covered[k] += a * times
+                covered[k] += a * step
+                weight[k] *= math.exp(-RATE * a * step / demand[k])
             key = tuple(sorted(config.items()))
-            found[key] = found.get(key, 0.0) + times
-        done = covered[lengths] / demand[lengths]
-        weight[lengths] = np.exp(0.02 * np.clip(share - done, -3, 3))
-    return [(Counter(dict(k)), x) for k, x in found.items()]
+            found[key] = found.get(key, 0.0) + step
+    return [(Counter(dict(k)), x) for k, x in found.items()], covered, bound
 
 
 def _best_fit(rest: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
@@ -221,37 +229,52 @@ def _best_fit(rest: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
     return [(Counter(dict(config)), n) for own in rooms.values() for config, n in own.items()]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter, int]]:
-    """Configurations (length: times) and how often each is used; together they hold each length as often as it is there.
-
-    Round by round the program over what is left is solved and its solution rounded
-    down; lengths that a whole sequence holds alone need no program. What the last
-    round leaves is packed by best fit. Where best fit alone needs fewer sequences, as for
-    lengths that no full configuration exists for, its plan is taken.
-    """
+def _rounded(counts: dict[int, int], capacity: int, room: int) -> tuple[list[tuple[Counter, int]], float]:
+    """A plan from configurations that leave at most ``room``, and the program's lower bound."""
     out: list[tuple[Counter, int]] = []
-    left = np.zeros(capacity + 1)
+    left, bound = np.zeros(capacity + 1), 0.0
     for length, n in counts.items():
         left[length] = n
     if left[capacity]:
         out.append((Counter({capacity: 1}), int(left[capacity])))
-        left[capacity] = 0
-    for _ in range(ROUNDS):
-        if left.sum() < 64:
+        bound, left[capacity] = left[capacity], 0
+    for turn in range(ROUNDS):
+        lengths, before = np.nonzero(left)[0], left.sum()
+        if not before:
             break
-        before = left.sum()
-        for config, times in sorted(_fractional(left), key=lambda x: (-sum(k * a for k, a in x[0].items()), -x[1], sorted(x[0].items()))):
-            n = int(min(times + 1e-9, *(left[k] // a for k, a in config.items())))
-            room = capacity - sum(k * a for k, a in config.items())
-            if n > 0 and room <= capacity // 128:
-                out.append((config, n))
-                for k, a in config.items():
-                    left[k] -= n * a
+        configs, covered, least = fractional(left)
+        bound += least if turn == 0 else 0
+        # The solution is scaled so that, by volume, the lengths are held as often as they are there.
+        scale = 1 / max(1e-9, float(np.average(covered[lengths] / left[lengths], weights=lengths * left[lengths])))
+        configs.sort(key=lambda x: (-sum(k * a for k, a in x[0].items()), -x[1], sorted(x[0].items())))
+        for whole in (math.floor, math.ceil):
+            for config, x in configs:
+                if capacity - sum(k * a for k, a in config.items()) > room:
+                    break
+                n = int(min(whole(x * scale + 1e-9), *(left[k] // a for k, a in config.items())))
+                if n > 0:
+                    out.append((config, n))
+                    for k, a in config.items():
+                        left[k] -= n * a
         if left.sum() > 0.97 * before:
             break
-    out += _best_fit({int(k): int(left[k]) for k in np.nonzero(left)[0]}, capacity)
-    simple = _best_fit(counts, capacity)
-    return min(out, simple, key=lambda plan: sum(n for _, n in plan))
+    return out + _best_fit({int(k): int(left[k]) for k in np.nonzero(left)[0]}, capacity), bound
+
+
+def solve(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[Counter, int]], float]:
+    """Configurations (length: times) and how often each is used, and a lower bound of the number of sequences.
+
+    Together the configurations hold each length as often as it is there. Round by round the
+    program over what is left is solved, and its scaled solution rounded down, then up, as far as pieces are
+    left; whole sequences need no program. What the last round leaves is packed by best fit.
+    """
+    plans = [_rounded(counts, capacity, room) for room in ROOMS]
+    return min((p for p, _ in plans), key=lambda p: sum(n for _, n in p)), max(b for _, b in plans)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter, int]]:
+    """The configurations of ``solve``."""
+    return solve(counts, capacity)[0]
 
 
 @dataclass(frozen=True)

@@ -625,8 +625,9 @@ def test_plans_hold_each_length_and_fit(seed):
         for k, a in config.items():
             held[k] += a * n
     assert held == Counter(counts)
-    simple = sum(n for _, n in packing._best_fit(counts, 4096))
-    assert sum(n for _, n in plan) <= simple * 1.01 + 1
+    used, bound = sum(n for _, n in plan), packing.solve(counts)[1]
+    assert -(-sum(k * n for k, n in counts.items()) // 4096) <= math.ceil(bound - 1e-6) <= used
+    assert used <= sum(n for _, n in packing._best_fit(counts, 4096)) * 1.01 + 1
     layout = packing.Layout.of(plan)
     for k in list(counts)[:20]:
         rank = np.arange(counts[k])
@@ -634,6 +635,25 @@ def test_plans_hold_each_length_and_fit(seed):
         assert len(set(zip(sequence.tolist(), offset.tolist()))) == len(rank)
 
 
+def test_program_beats_best_fit_where_configurations_matter():
+    rng = random.Random(1)
+    counts = Counter(rng.randint(1000, 2200) for _ in range(5000))
+    found, bound = packing.solve(counts)
+    assert bound <= sum(n for _, n in found) <= 0.99 * sum(n for _, n in packing._best_fit(counts, 4096))
+
+
+def test_weights_are_multiplied_and_bound_the_program():
+    demand = np.zeros(11)
+    demand[[3, 4, 6]] = 10, 20, 10
+    configs, covered, bound = packing.fractional(demand)  # 4 + 6, 3 + 3 + 4, 4 + 4: the program needs 20 / 1 and less
+    assert all(sum(k * a for k, a in c.items()) <= 10 for c, _ in configs) and 15 <= bound <= 17.5 + 1e-9
+    held = Counter()
+    for c, x in configs:
+        for k, a in c.items():
+            held[k] += a * x
+    assert all(abs(held[k] - covered[k]) < 1e-6 for k in (3, 4, 6))
+
+
 def test_knapsack_is_best():
     rng = np.random.default_rng(2)
     value = np.full(41, -np.inf)
