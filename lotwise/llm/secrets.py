@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,8 @@ CLASSES = (20, 24, 32, 48, 96)
 FDR = 0.01
 REFUTED = 0.001
 STEP, TOP = 0.25, 4000
+#: Runs drawn for each encoding to learn what the battery gives for ordinary text.
+DRAWS = 1500
 
 
 def base_spans(text: str, low: bytes) -> list[tuple[int, int, int]]:
@@ -67,47 +70,94 @@ def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(x: np.ndarray, size: int) -> float:
-    """P-value of the hypothesis that the symbols x are uniform and independent over an alphabet of that size.
+_tails = np.frompyfunc(_tail, 1, 1)
 
-    Chi-squared uniformity (Wilson-Hilferty), runs about the median and lag-one
-    serial correlation, joined by Bonferroni's bound.
+
+def battery(x: np.ndarray, size: int) -> np.ndarray:
+    """P-values (a row each) of the tests that rows of symbols are uniform and independent over an alphabet of that size.
+
+    Chi-squared uniformity (Wilson-Hilferty), runs about the middle, and lag-one serial correlation.
     """
-    n = len(x)
-    seen = np.bincount(x, minlength=size)
-    chi, free = float(((seen - n / size) ** 2).sum() * size / n), size - 1
-    uniform = _tail(((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free)))
+    rows, n = x.shape
+    tail = lambda z: np.clip(_tails(z).astype(float), 1e-300, 0.5)
+    seen = np.bincount((np.arange(rows)[:, None] * size + x).ravel(), minlength=rows * size).reshape(rows, size)
+    chi, free = ((seen - n / size) ** 2).sum(axis=1) * size / n, size - 1
+    uniform = np.clip(_tails(((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))).astype(float), 1e-300, 1.0)
     high = x * 2 >= size
-    a = int(high.sum())
+    a = high.sum(axis=1)
     b = n - a
-    if a and b:
-        mean = 2 * a * b / n + 1
-        spread = math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
-        runs = 2 * _tail(abs(1 + int((high[1:] != high[:-1]).sum()) - mean) / spread)
-    else:
-        runs = 2.0**-n * 2
+    mean = 2 * a * b / n + 1
+    spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    changes = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    runs = np.where((a > 0) & (b > 0), 2 * tail(np.abs(changes - mean) / spread), max(2.0 ** (1 - n), 1e-300))
     y = x - (size - 1) / 2
-    serial = 2 * _tail(abs(float((y[1:] * y[:-1]).sum())) / (math.sqrt(n - 1) * (size * size - 1) / 12))
-    return min(1.0, 3 * min(uniform, runs, serial))
+    serial = 2 * tail(np.abs((y[:, 1:] * y[:, :-1]).sum(axis=1)) / (math.sqrt(n - 1) * (size * size - 1) / 12))
+    return np.stack([uniform, runs, serial], axis=1)
 
 
-def evidence(run: str, ordinary: np.ndarray) -> float:
-    """Log likelihood ratio of uniform symbols of the inferred encoding against ordinary text; -inf if the battery refutes uniformity.
+def fisher(p: np.ndarray) -> np.ndarray:
+    """Fisher's sum of each row of p-values; of three uniform ones it is chi-squared with six degrees of freedom."""
+    return -2 * np.log(p).sum(axis=1)
 
-    Under ordinary text its exponential has a mean of at most one, so it is an e-value
-    whose power grows with the length.
-    """
-    body = run.rstrip("=")
-    used = set(body)
-    alphabet = next(m for _, m in ENCODINGS if used <= m.keys())
-    number = NUMBER[np.frombuffer(body.encode(), dtype=np.uint8)]
-    e = -len(body) * math.log(len(alphabet)) - float(ordinary[np.append(STATES - 1, number[:-1]), number].sum())
-    if e <= 0:
-        return -math.inf
-    return e if battery(np.array([alphabet[c] for c in body]), len(alphabet)) >= REFUTED else -math.inf
+
+def refuted(total: float) -> bool:
+    """Whether the battery as a whole rejects uniform symbols."""
+    h = total / 2
+    return math.exp(-min(h, 700)) * (1 + h + h * h / 2) < REFUTED
 
 
-def spans(text: str, raw: bytes, ordinary: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
+def encoding(body: str) -> int:
+    used = set(body)
+    return next(i for i, (_, alphabet) in enumerate(ENCODINGS) if used <= alphabet.keys())
+
+
+@dataclass(frozen=True)
+class Ordinary:
+    """What the battery gives for ordinary text: by encoding and length class the logarithms of Fisher's sum, sorted."""
+
+    logs: np.ndarray  # encodings x classes x DRAWS
+
+    @staticmethod
+    def of(step: np.ndarray) -> Ordinary:
+        """From the chances of a symbol after another in the corpus: runs that follow them within each alphabet."""
+        rng = np.random.default_rng(5)
+        logs = np.zeros((len(ENCODINGS), len(CLASSES), DRAWS))
+        for e, (_, alphabet) in enumerate(ENCODINGS):
+            at = np.array([SYMBOLS.index(c) for c in alphabet])
+            up = np.cumsum(step[np.ix_(np.append(at, STATES - 1), at)], axis=1)
+            up /= up[:, -1:]
+            x, state = np.zeros((DRAWS, CLASSES[-1]), dtype=np.int64), np.full(DRAWS, len(at))
+            for i, u in enumerate(rng.random((CLASSES[-1], DRAWS))):
+                state = np.minimum((up[state] < u[:, None]).sum(axis=1), len(at) - 1)
+                x[:, i] = state
+            for c, n in enumerate(CLASSES):
+                logs[e, c] = np.sort(np.log(np.maximum(fisher(battery(x[:, :n], len(at))), 1e-9)))
+        return Ordinary(logs)
+
+    def evidence(self, run: str) -> float:
+        """-log of the chance that ordinary text of its encoding and length class looks as random; -inf if the battery refutes chance.
+
+        The chance is the greater of the share of drawn runs and a normal tail of their logarithms,
+        which goes on where no drawn run does.
+        """
+        body = run.rstrip("=")
+        e = encoding(body)
+        alphabet = ENCODINGS[e][1]
+        total = float(fisher(battery(np.array([[alphabet[c] for c in body]]), len(alphabet)))[0])
+        if refuted(total):
+            return -math.inf
+        own, value = self.logs[e, length_class(len(run))], math.log(max(total, 1e-9))
+        z = (value - own.mean()) / max(own.std(), 0.05)
+        normal = -math.log(_tail(-z)) if z > -30 else z * z / 2 + math.log(-z * math.sqrt(2 * math.pi))
+        share = np.searchsorted(own, value, side="right") / DRAWS
+        return min(normal, -math.log(share)) if share else normal
+
+
+def length_class(n: int) -> int:
+    return max(i for i, c in enumerate(CLASSES) if n >= c)
+
+
+def spans(text: str, raw: bytes, ordinary: Ordinary) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
     """Base spans (start, kind, end), and the battery's candidates (start, end, length class, evidence)."""
     base, tests = base_spans(text, raw.lower()), []
     for m in RUN.finditer(text):
@@ -116,12 +166,12 @@ def spans(text: str, raw: bytes, ordinary: np.ndarray) -> tuple[list[tuple[int,
             base += [(s + k.start(), 1, s + k.end()) for k in ACCESS.finditer(run)]
         base += [(s + k.start(), 2, s + k.end()) for k in HEX.finditer(run)]
         if len(run) >= MIN_LENGTH:
-            tests.append((s, m.end(), max(i for i, c in enumerate(CLASSES) if len(run) >= c), evidence(run, ordinary)))
+            tests.append((s, m.end(), length_class(len(run)), ordinary.evidence(run)))
     return sorted(base), tests
 
 
-def ordinary_text(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Log probability of a symbol after another in all the texts, from counts over every byte."""
+def ordinary_text(docs: DataFrame, text_col: str) -> Ordinary:
+    """The battery on ordinary text: chances of a symbol after another in all the texts, from counts over every byte."""
 
     def run(batches):
         total = np.zeros(STATES * STATES, dtype=np.int64)
@@ -137,11 +187,11 @@ def ordinary_text(docs: DataFrame, text_col: str) -> np.ndarray:
     for row in pairs.collect():  # at most STATES^2 rows
         counts[row["pair"]] += row["n"]
     counts = counts.reshape(STATES, STATES)
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+    return Ordinary.of(counts / counts.sum(axis=1, keepdims=True))
 
 
-def thresholds(docs: DataFrame, text_col: str, ordinary: np.ndarray) -> list[float]:
-    """Least evidence that counts as a discovery in each length class: e-values under Benjamini and Hochberg's rule.
+def thresholds(docs: DataFrame, text_col: str, ordinary: Ordinary) -> list[float]:
+    """Least evidence that counts as a discovery in each length class: the battery's p-values under Benjamini and Hochberg's rule.
 
     The rule takes all candidates of all documents; they are counted in steps of
     STEP, rounded down, so the collected histogram has a fixed bound.
@@ -170,7 +220,7 @@ def thresholds(docs: DataFrame, text_col: str, ordinary: np.ndarray) -> list[flo
     return least
 
 
-def _scanner(ordinary: np.ndarray, least: list[float]):
+def _scanner(ordinary: Ordinary, least: list[float]):
     def scan(raw: bytes) -> list[tuple[int, int, int]]:
         base, tests = spans(raw.decode("utf-8", "replace"), raw, ordinary)
         more = [(s, 3, e) for s, e, c, x in tests if x >= least[c] and not any(a < e and s < b for a, _, b in base)]
@@ -189,8 +239,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
     ``spans`` has kind:start:end (code points, end exclusive) by start, then kind, joined by
     commas. Besides the fixed patterns, a run that no pattern touches is a span
-    ``random`` if its evidence of uniform randomness passes the false-discovery
-    control of its length class over all documents. Null and empty texts have no
+    ``random`` if the battery doesn't refute chance and the chance that ordinary text does as
+    well passes the false-discovery control of its length class over all documents. Null and empty texts have no
     spans and the digest of an empty string; repeated rows and rows without id give a
     row each; an empty table gives none; other columns are not read.
     """

@@ -363,9 +363,32 @@ def test_secret_scan(spark, corpus):
 
 def test_battery_refutes_order_and_accepts_chance():
     rng = np.random.default_rng(3)
-    refuted = np.mean([secrets.battery(rng.integers(0, 16, 40), 16) < 0.05 for _ in range(400)])
-    assert refuted < 0.1
-    assert secrets.battery(np.arange(64) % 16, 16) < 1e-3 and secrets.battery(np.zeros(40, int), 16) < 1e-3
+    p = secrets.battery(rng.integers(0, 16, (2000, 60)), 16)
+    assert p.shape == (2000, 3) and all(0.02 < (p[:, i] < 0.05).mean() < 0.09 for i in range(3))
+    totals = secrets.fisher(p)
+    assert np.mean([secrets.refuted(t) for t in totals]) < 0.01
+    for odd in (np.arange(64) % 16, np.zeros(40, int), np.tile([1, 14], 20)):
+        assert secrets.refuted(secrets.fisher(secrets.battery(odd[None, :], 16))[0])
+    one = np.random.default_rng(4).integers(0, 16, (1, 40))
+    seen = np.bincount(one[0], minlength=16)
+    chi = ((seen - 2.5) ** 2 / 2.5).sum()
+    draws = rng.integers(0, 16, (20_000, 40))
+    above = np.mean([((np.bincount(d, minlength=16) - 2.5) ** 2 / 2.5).sum() >= chi for d in draws])
+    assert abs(secrets.battery(one, 16)[0, 0] - above) < 0.02
+
+
+def test_evidence_grows_with_length_and_is_none_for_ordinary_runs():
+    rng = random.Random(2)
+    counts = np.full((secrets.STATES, secrets.STATES), 0.5)
+    text = secrets.NUMBER[np.frombuffer(prose(rng, 20_000).encode(), dtype=np.uint8)]
+    np.add.at(counts, (text[:-1], text[1:]), 1)
+    ordinary = secrets.Ordinary.of(counts / counts.sum(axis=1, keepdims=True))
+    letters = secrets.UPPER + secrets.LOWER + secrets.DIGITS
+    found = [np.median([ordinary.evidence("".join(rng.choice(letters) for _ in range(n))) for _ in range(30)]) for n in (20, 32, 64)]
+    assert 5 < found[0] < found[1] < found[2]
+    words = [prose(rng, 40).replace(" ", "")[:n] for n in (20, 32, 64) for _ in range(30)]
+    assert sum(ordinary.evidence(w) > 6 for w in words) <= 1
+    assert ordinary.evidence("ab" * 20) == -math.inf
 
 
 def test_redaction(spark):
