@@ -135,8 +135,7 @@ def _blocks(rows: DataFrame, size: int, dim: int, prefix: str) -> DataFrame:
 
     names = [prefix + n for n in ("block", "ids", "rows", "type", "data", "top")]
     schema = "{0}block long, {0}ids binary, {0}rows binary, {0}type string, {0}data binary, {0}top double".format(prefix)
-    block = F.shiftright("row", 33) * (1 << 20) + F.floor(F.col("row").bitwiseAND((1 << 33) - 1) / size)
-    return rows.groupBy(block.alias("block")).agg(F.collect_list(F.struct("row", "vec_id", "norm", "v")).alias("members")).mapInArrow(run, schema)
+    return rows.groupBy(F.floor(F.col("row") / size).alias("block")).agg(F.collect_list(F.struct("row", "vec_id", "norm", "v")).alias("members")).mapInArrow(run, schema)
 
 
 def _load(row: dict, prefix: str, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,6 +143,42 @@ def _load(row: dict, prefix: str, dim: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.frombuffer(row[prefix + "data"], dtype=row[prefix + "type"]).reshape(len(ids), dim).astype(np.int64), ids, keys
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows``, checkpointed, with ``row``: their number in the order of (norm descending, vec_id) over all partitions.
+
+    The driver gets one number for each partition.
+    """
+    parts = checkpoint(rows.orderBy(F.desc("norm"), "vec_id").withColumn("at", F.monotonically_increasing_id()))
+    sizes = sorted((r["part"], r["n"]) for r in parts.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, start = 0, []
+    for part, n in sizes:
+        start.append((part, before))
+        before += n
+    starts = parts.sparkSession.createDataFrame(start, "part long, before long")
+    joined = parts.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(starts), "part")  # a row a partition
+    return joined.withColumn("row", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).select("vec_id", "v", "norm", "row")
+
+
+#: Lengths, evenly spaced in the order of the blocks, that tell up to which block a query block has to look.
+MARKS = 4096
+
+
+def block_pairs(blocks: DataFrame, floors: DataFrame) -> DataFrame:
+    """(c_block, q_block): all pairs whose greatest lengths can reach the queries' least floor.
+
+    Blocks come by descending length, so a query block needs those up to some number; the first of
+    at most MARKS evenly spaced lengths that falls short bounds it before any pair is made.
+    """
+    many = blocks.count()
+    step = -(-many // MARKS) if many else 1
+    marks = [r["c_top"] for r in blocks.where(F.col("c_block") % step == 0).orderBy("c_block").select("c_top").collect()]  # at most MARKS
+    reach = F.col("q_top") * (1 + 1e-9)
+    open_marks = F.size(F.filter(F.array(*map(F.lit, marks)) if marks else F.array().cast("array<double>"), lambda top: reach * top >= F.col("q_low")))
+    turns = floors.select("q_block", "q_top", "q_low", open_marks.alias("n")).where("n > 0")
+    each = turns.select("q_block", "q_top", "q_low", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n") * step, F.lit(many)) - 1)).alias("c_block"))
+    return each.join(blocks.select("c_block", "c_top"), "c_block").where(F.col("q_top") * F.col("c_top") * (1 + 1e-9) >= F.col("q_low")).select("c_block", "q_block")
+
+
 def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, every: int = QUERY_EVERY, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows for each row whose id ``every`` divides.
 
@@ -153,16 +188,16 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     shorter vectors are filled with zeros; repeated rows are rows of their own. An empty
     table gives no rows; other columns are not read.
 
-    Rows are ordered by descending length and cut into blocks. A first pass over the
-    block of the longest rows gives each query a score that its k-th must reach. Pairs of
-    blocks that can't reach it by the product of their greatest lengths are left out
-    before any row moves; the other pairs are searched, each in one bounded task.
+    Rows are numbered by descending length and cut into blocks of CANDIDATES rows, however they are
+    partitioned. A first pass over the block of the longest rows gives each query a score that its k-th must
+    reach. Only pairs of blocks that can reach it by the product of their greatest lengths are
+    made; each is searched in one bounded task.
     """
-    rows = checkpoint(vectors(df, id_col, vector_col, scale).orderBy(F.desc("norm"), "vec_id").withColumn("row", F.monotonically_increasing_id()))
+    rows = numbered(vectors(df, id_col, vector_col, scale))
     dim = max(1, rows.agg(F.max(F.size("v"))).first()[0] or 1)
     turn, lead = rotation(rows, dim), min(LEAD, dim)
     blocks = checkpoint(_blocks(rows, CANDIDATES, dim, "c_"))
-    longest = blocks.orderBy("c_block").limit(1).withColumn("c_block", F.lit(0))
+    longest = blocks.where("c_block = 0").withColumn("c_block", F.lit(0))
     queries = _blocks(rows.where(F.col("vec_id") % every == 0), QUERIES, dim, "q_").withColumn("c_block", F.lit(0))
 
     def first(batches):
@@ -178,12 +213,7 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     q_schema = "q_block long, q_ids binary, q_rows binary, q_type string, q_data binary, q_top double"
     floors = queries.join(F.broadcast(longest), "c_block").drop("c_block")  # one block
     floors = checkpoint(floors.mapInArrow(first, q_schema + ", q_need binary, q_low double"))
-    numbers = floors.select("q_block", "q_top", "q_low").withColumn("q", F.row_number().over(Window.orderBy("q_block")) - 1)  # a row a block
-    numbers = checkpoint(numbers)
-    many = numbers.count()
-    turns = blocks.select("c_block", "c_top", F.explode(F.sequence(F.lit(0), F.lit(max(many - 1, 0)))).alias("q"))
-    open_ = turns.join(numbers, "q").where(F.col("q_top") * F.col("c_top") * (1 + 1e-9) >= F.col("q_low")).select("c_block", "q_block")
-    pairs = open_.join(floors, "q_block").join(blocks, "c_block")
+    pairs = block_pairs(blocks, floors).join(floors, "q_block").join(blocks, "c_block")
 
     def second(batches):
         for batch in batches:
