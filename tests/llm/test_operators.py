@@ -312,6 +312,99 @@ def test_near_passages(spark, corpus):
     assert passages.near_passages(table(spark, EMPTY)).count() == 0
 
 
+def edited(rng, words, every):
+    """The words with one in ``every`` replaced, left out or followed by another."""
+    out = []
+    for w in words:
+        kind = rng.random() * every
+        out += [w] if kind >= 1 else [w + "x"] if kind < 0.4 else [] if kind < 0.7 else [w, w + "y"]
+    return out
+
+
+def random_words(rng, n):
+    return [f"{rng.getrandbits(40):x}" for _ in range(n)]
+
+
+def test_near_passages_are_whole(spark):
+    rng = random.Random(21)
+    rows, want, exact = [], {}, {}
+    for k, n in enumerate((50, 51, 60, 80, 120, 300, 700, 3000)):
+        for every in (10**9, 80):
+            passage = random_words(rng, n)
+            a, b = random_words(rng, rng.randint(0, 150)), random_words(rng, rng.randint(0, 150))
+            other = edited(rng, passage, every)
+            i, j = len(rows), len(rows) + 1
+            rows += [(i, " ".join(a + passage + random_words(rng, rng.randint(1, 90)))), (j, " ".join(b + other + random_words(rng, rng.randint(1, 90))))]
+            (exact if every > 1000 else want)[i, j] = (len(a), len(a) + n, len(b), len(b) + len(other))
+    found = defaultdict(dict)
+    for r in passages.near_passages(table(spark, rows)).collect():
+        found[r["id"], r["other_id"]][r["start"], r["end"]] = r["similarity"]
+    for (i, j), (a, b, c, d) in exact.items():
+        assert list(found[i, j].items()) == [((a, b), 1.0)] and list(found[j, i].items()) == [((c, d), 1.0)]
+    near = 0
+    for (i, j), (a, b, c, d) in want.items():
+        w, x = rows[i][1].split()[a:b], rows[j][1].split()[c:d]
+        s, t = ({tuple(y[k : k + 5]) for k in range(len(y) - 4)} for y in (w, x))
+        if len(s & t) >= 0.8 * len(s | t):
+            near += 1
+            assert any(hi - lo >= 0.95 * (b - a) for lo, hi in found[i, j]), (i, j, b - a, found[i, j])
+    assert near >= 5 and set(found) <= {p for i, j in (*want, *exact) for p in ((i, j), (j, i))}
+
+
+def test_repeated_passages_of_a_pair_are_all_found(spark):
+    rng = random.Random(22)
+    one, two = random_words(rng, 90), random_words(rng, 120)
+    gap = lambda: random_words(rng, 200)
+    rows = [(1, " ".join(gap() + one + gap() + two + gap())), (2, " ".join(two + gap() + one + gap() + one)), (3, " ".join(one * 40)), (4, " ".join(one * 15))]
+    found = defaultdict(set)
+    for r in passages.near_passages(table(spark, rows)).collect():
+        found[r["id"]].add((r["start"], r["end"]))
+    covered = lambda i, a, b: any(lo <= a and hi >= b for lo, hi in found[i])
+    assert covered(1, 200, 290) and covered(1, 490, 610) and covered(2, 0, 120) and covered(2, 320, 410) and covered(2, 610, 700)
+    # A text of repeats is covered by passages, one after the other.
+    for i, n in ((3, 3600), (4, 1350)):
+        words = set().union(*(range(a, b) for a, b in found[i]))
+        assert len(words) >= n - 90
+
+
+@pytest.mark.parametrize("few, turns", [(16, 4), (2, 1), (3, 3)])
+def test_members_that_fail_with_the_first_are_checked_further(spark, monkeypatch, few, turns):
+    monkeypatch.setattr(passages, "FEW", few)
+    monkeypatch.setattr(passages, "TURNS", turns)
+    rng = random.Random(23)
+    line = random_words(rng, 30)  # in all texts, too short to be a passage
+    text = lambda: random_words(rng, 40) + line + random_words(rng, 40)
+    rows = [text() for _ in range(40)]
+    for k in (10, 20, 30):
+        rows[k + 1] = rows[k][:20] + random_words(rng, 5) + rows[k][20:]
+        rows[k + 2] = rows[k][:100] + random_words(rng, 9)
+    found = {r["id"]: r["class_id"] for r in passages.near_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])).collect()}
+    assert found == {k + j: k for k in (10, 20, 30) for j in range(3)}
+
+
+def test_longest_passage_equals_all_pairs_of_windows():
+    rng = random.Random(24)
+    for turn in range(60):
+        x = [rng.randint(0, 10**6) for _ in range(40)]
+        y = edited(rng, [str(v) for v in x], 9)
+        y = [int(re.sub("[xy]", "", v)) + (v[-1] in "xy") for v in y]
+        at = [(i, j) for i in range(len(x)) for j in range(len(y)) if x[i] == y[j]]
+        if not at:
+            continue
+        p, q = at[len(at) // 2]
+        best = 0
+        for a in range(p + 1):
+            for b in range(p + 1, len(x) + 1):
+                for c in range(q + 1):
+                    for d in range(q + 1, len(y) + 1):
+                        if min(b - a, d - c) > best and x[a] == y[c] and x[b - 1] == y[d - 1]:
+                            s, t = set(x[a:b]), set(y[c:d])
+                            if len(s & t) >= 0.8 * len(s | t):
+                                best = min(b - a, d - c)
+        found = passages.best_passage(np.array(x, dtype=np.uint32), np.array(y, dtype=np.uint32), p, q, least=1)
+        assert min(found[1] - found[0], found[3] - found[2]) == best and found[4] >= 0.8
+
+
 def test_near_passages_with_repeated_rows(spark, corpus):
     rows = with_repeats(corpus)
     found = passages.near_passages(table(spark, rows)).collect()
