@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 #: Rows of an Arrow batch that holds whole texts; Spark's default of 10 000 rows takes too much memory on both sides.
 BATCH_ROWS = 2000
+#: And so many bytes, for long texts.
+BATCH_BYTES = 16 << 20
 # Freed batches go back to the system instead of a worker's pool.
 pa.set_memory_pool(pa.system_memory_pool())
 
@@ -25,6 +28,9 @@ def bounded_batches(spark: SparkSession) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, BATCH_ROWS)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) in (None, "-1", "0") or spark.conf.get(size).isdigit() and int(spark.conf.get(size)) > BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,22 +38,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; one of this machine's only where driver and executors are one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the session names; a folder of its own only where none is set."""
-    _folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def stash(df: DataFrame) -> DataFrame:
     """As ``checkpoint``, but as a compressed table in that folder: for intermediate results of many rows."""
-    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -138,7 +148,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Returns (id, component) for every id that has an edge; the component is its
     smallest id. Each round is two joins on a node key, cut by a table, so no
-    task and no driver ever holds a component.
+    task and no driver ever holds a component. Rounds grow with the logarithm of a path; if ``rounds`` don't do, it raises.
     """
     e = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     state = None
@@ -154,5 +164,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
