@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.numbers import ratio
 
+# Regions that are tried for a region, in order.
 GEO = {"BCN": ("BCN", "CAT", "ESP"), "CAT": ("CAT", "ESP"), "ESP": ("ESP",)}
-#: Substitutes are tried in this order for every lot; what differs by the lot's fuel is which of them count.
+# Substitutes are tried in this order for every lot; what differs by the lot's fuel is which of them count.
 ORDER = ("petrol", "diesel", "electric", "hev", "phev", "cng", "lpg", "unknown")
 # Substitutes by the lot's fuel.
 ALLOWED = {
@@ -41,8 +42,8 @@ def tier(own: Column, found: Column, best: Column, allowed: dict[str, str] = ALL
 def match(lots: DataFrame, key: str, with_fuel: DataFrame, without_fuel: DataFrame, metrics: list[str], target: str, geo: dict[str, tuple[str, ...]] = GEO, **options) -> DataFrame:
     """One row for each lot: the metrics of its best candidate, ``match_kind`` and ``geo_fallback``; null if it has none.
 
-    All candidates come from one null-safe join by make, model and year; the least of
-    (place, tier) wins, so any match in a nearer place beats an exact one further out.
+    The candidates of a make, model and year come as one array by a null-safe join, and each row takes the least of
+    (place, tier) of its own, so any match in a nearer place beats an exact one further out.
     Lots: ``key``, marca, modelo, anio, combustible. Features: region and the same.
     """
     fuel = with_fuel.select("region", "marca", "modelo", "anio", "combustible", "best_fuel", *(m for m in metrics if m != "best_fuel"))
@@ -51,16 +52,20 @@ def match(lots: DataFrame, key: str, with_fuel: DataFrame, without_fuel: DataFra
     places = F.array(*(F.lit(g) for g in geo[target]))
     pool = pool.where(F.array_contains(places, F.col("region")) & F.col("units_abs").isNotNull())
     names = ("marca", "modelo", "anio")
-    right = pool.select(*(F.col(n).alias(f"r_{n}") for n in names), F.col("region").alias("r_region"), F.col("combustible").alias("r_fuel"), F.col("best_fuel").alias("r_best"), "bare", F.struct("best_fuel", *(m for m in metrics if m != "best_fuel")).alias("found"))
-    on = [F.col(n).eqNullSafe(F.col(f"r_{n}")) for n in names]
-    rows = lots.select(key, *names, "combustible").join(right, on, "left")
-    own = tier(F.col("combustible"), F.col("r_fuel"), F.col("r_best"), **options)
-    step = F.when(F.col("r_region").isNull(), None).when(F.col("bare"), NO_FUEL).otherwise(own)
-    rows = rows.withColumn("tier", step).withColumn("priority", (F.array_position(places, F.col("r_region")) * 100 + F.col("tier")).cast("int"))
-    best = rows.withColumn("i", F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_last("priority"), F.asc_nulls_last("r_fuel")))).where("i = 1")
-    hit = F.col("priority").isNotNull()
-    kind = F.when(F.col("tier") == EXACT, "exact").when(F.col("tier") == NO_FUEL, "no_fuel").when(hit, "fuel_fallback")
-    return best.select(key, *(F.when(hit, F.col(f"found.`{m}`")).alias(m) for m in metrics), kind.alias("match_kind"), F.when(hit, F.lower("r_region")).alias("geo_fallback"))
+    found = F.struct("best_fuel", *(m for m in metrics if m != "best_fuel"))
+    candidate = F.struct(F.col("region").alias("region"), F.col("combustible").alias("fuel"), F.col("best_fuel").alias("best"), "bare", found.alias("found"))
+    right = pool.groupBy(*(F.col(n).alias(f"r_{n}") for n in names)).agg(F.collect_list(candidate).alias("__pool"))  # regions by fuels
+    rows = lots.select(key, *names, "combustible").join(right, [F.col(n).eqNullSafe(F.col(f"r_{n}")) for n in names], "left")
+
+    def order(c: Column) -> Column:
+        step = F.when(c["bare"], NO_FUEL).otherwise(tier(F.col("combustible"), c["fuel"], c["best"], **options))
+        priority = (F.array_position(places, c["region"]) * 100 + step).cast("int")
+        return F.struct(priority.isNull().alias("none"), priority.alias("priority"), c["fuel"].isNull().alias("last"), c["fuel"].alias("fuel"), step.alias("tier"), c["region"].alias("region"), c["found"].alias("found"))
+
+    best = rows.withColumn("__best", F.array_min(F.transform("__pool", order)))
+    hit = F.col("__best.priority").isNotNull()
+    kind = F.when(F.col("__best.tier") == EXACT, "exact").when(F.col("__best.tier") == NO_FUEL, "no_fuel").when(hit, "fuel_fallback")
+    return best.select(key, *(F.when(hit, F.col(f"__best.found.`{m}`")).alias(m) for m in metrics), F.when(hit, kind).alias("match_kind"), F.when(hit, F.lower("__best.region")).alias("geo_fallback"))
 
 
 def match_all(lots: DataFrame, key: str, with_fuel: DataFrame, without_fuel: DataFrame, metrics: list[str], geo: dict[str, tuple[str, ...]] = GEO, **options) -> DataFrame:

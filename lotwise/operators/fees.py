@@ -35,47 +35,71 @@ def rules(df: DataFrame) -> DataFrame:
     return out
 
 
-def amount(price: Column) -> Column:
+def amount(price: Column, rule: Column) -> Column:
     """The fee of a rule for a price, in euros: a percentage with its minimum, or a fixed sum."""
-    part = F.greatest(F.col("fee") * price / 100, F.coalesce(F.col("least"), F.lit(0.0)))
-    return F.when(F.col("unit").isin("%", "porcentaje", "percent"), part).otherwise(to_euros(F.col("fee"), F.col("currency")))
+    part = F.greatest(rule["fee"] * price / 100, F.coalesce(rule["least"], F.lit(0.0)))
+    return F.when(rule["unit"].isin("%", "porcentaje", "percent"), part).otherwise(to_euros(rule["fee"], rule["currency"]))
 
 
-def band(price: Column) -> Column:
+def band(price: Column, rule: Column) -> Column:
     """Order of the bands: finite and around the price, the smallest span first; then the nearest lower bound below;
     then the nearest above; then unbounded; then any."""
-    inside = (price >= F.col("low")) & (price <= F.col("high"))
-    none = F.lit(0.0)
+    low, high, none = rule["low"], rule["high"], F.lit(0.0)
     return (
-        F.when(inside, F.struct(F.lit(0).alias("t"), (F.col("high") - F.col("low")).alias("a"), F.col("low").alias("b")))
-        .when(F.col("low") <= price, F.struct(F.lit(1).alias("t"), (-F.col("low")).alias("a"), none.alias("b")))
-        .when(F.col("low") > price, F.struct(F.lit(2).alias("t"), F.col("low").alias("a"), none.alias("b")))
-        .when(F.col("low").isNull() & F.col("high").isNull(), F.struct(F.lit(3).alias("t"), none.alias("a"), none.alias("b")))
+        F.when((price >= low) & (price <= high), F.struct(F.lit(0).alias("t"), (high - low).alias("a"), low.alias("b")))
+        .when(low <= price, F.struct(F.lit(1).alias("t"), (-low).alias("a"), none.alias("b")))
+        .when(low > price, F.struct(F.lit(2).alias("t"), low.alias("a"), none.alias("b")))
+        .when(low.isNull() & high.isNull(), F.struct(F.lit(3).alias("t"), none.alias("a"), none.alias("b")))
         .otherwise(F.struct(F.lit(4).alias("t"), none.alias("a"), none.alias("b")))
     )
 
 
+def _with_rules(lots: DataFrame, table: DataFrame, price: str, country: str, sale: str) -> DataFrame:
+    """``lots`` with the price, the folded sale and the rules that may hold, each with how far its scope is: no row is multiplied or moved."""
+    rule = F.struct("component", "scope", "sale", "low", "high", "unit", "fee", "least", "currency", "ord")
+    own = table.groupBy(F.col("scope").alias("__scope")).agg(F.collect_list(rule).alias("__own"))
+    wide = table.where(F.col("scope").isin(*GLOBAL)).agg(F.collect_list(rule).alias("__wide")).withColumn("__one", F.lit(1))
+    out = lots.withColumns({"__p": F.col(price).cast("double"), "__c": plain_lower(F.col(country)), "__s": plain_lower(F.col(sale)), "__one": F.lit(1)})
+    out = out.join(F.broadcast(own), F.col("__c") == F.col("__scope"), "left").join(F.broadcast(wide), "__one", "left")  # some hundred rules in all
+    near = F.transform(F.coalesce("__own", F.array()), lambda r: F.struct(F.lit(0).alias("far"), r.alias("rule")))
+    far = F.transform(F.filter("__wide", lambda r: ~r["scope"].eqNullSafe(F.col("__c"))), lambda r: F.struct(F.lit(1).alias("far"), r.alias("rule")))
+    return out.withColumn("__rules", F.concat(near, far)).drop("__own", "__wide", "__scope", "__one")
+
+
+def _chosen(component: str) -> Column:
+    """The first of the rules for a component: (far, sale tier, band, order, rule); null without one."""
+
+    def order(x: Column) -> Column:
+        rule = x["rule"]
+        tier = F.when(rule["sale"].isin(*ANY_SALE), 1).otherwise(2)
+        if component == "adquisicion":
+            tier = F.when(rule["sale"] == F.col("__s"), 0).otherwise(tier)
+        return F.struct(x["far"].alias("far"), tier.alias("tier"), band(F.col("__p"), rule).alias("band"), rule["ord"].alias("ord"), rule.alias("rule"))
+
+    mine = F.filter("__rules", lambda x: x["rule"]["component"] == component)
+    return F.when(F.col("__p").isNotNull(), F.array_min(F.transform(mine, order)))
+
+
+def _scope(best: Column) -> Column:
+    return F.when(best["far"] == 0, best["rule"]["scope"]).otherwise("global")
+
+
+def _sale(best: Column) -> Column:
+    return F.when(best["tier"] == 0, F.col("__s")).otherwise("otros")
+
+
 def lookup(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, components: tuple[str, ...] = COMPONENTS) -> DataFrame:
     """(key, component, fee_eur, scope_used, sale_used, low, high, unit, fee): the rule for each lot and component.
 
     The country's rules come before the global ones; of these, for acquisition the lot's own sale, then
     the rules for any sale, then all; for the others any sale, then all; then the
-    order of bands. The rule table (some hundred rows) is broadcast by component and scope.
+    order of bands. The rules (some hundred) come to the lots as arrays, and each row picks its own: nothing is shuffled.
     """
-    each = lots.select(F.col(key).alias("k"), F.col(price).cast("double").alias("p"), plain_lower(F.col(country)).alias("c"), plain_lower(F.col(sale)).alias("s"))
-    each = each.withColumn("component", F.explode(F.array(*(F.lit(x) for x in components))))
-    local = F.array_distinct(F.array(F.struct(F.lit(0).alias("far"), F.col("c").alias("scope")), *(F.struct(F.lit(1).alias("far"), F.lit(g).alias("scope")) for g in GLOBAL)))
-    scoped = each.withColumn("x", F.explode(local)).select("k", "p", "s", "component", "x.far", "x.scope")
-    joined = scoped.join(F.broadcast(table), ["component", "scope"])
-    own = (F.col("component") == "adquisicion") & (F.col("sale") == F.col("s"))
-    joined = joined.withColumn("sale_tier", F.when(own, 0).when(F.col("sale").isin(*ANY_SALE), 1).otherwise(2)).withColumn("band", band(F.col("p")))
-    best = Window.partitionBy("k", "component").orderBy("far", "sale_tier", "band", "ord")
-    one = joined.where("p is not null").withColumn("i", F.row_number().over(best)).where("i = 1")
-    return one.select(
-        F.col("k").alias(key), "component", amount(F.col("p")).alias("fee_eur"),
-        F.when(F.col("far") == 0, F.col("scope")).otherwise("global").alias("scope_used"),
-        F.when(F.col("sale_tier") == 0, F.col("s")).otherwise("otros").alias("sale_used"), "low", "high", "unit", "fee",
-    )
+    rows = _with_rules(lots.select(F.col(key).alias("__k"), F.col(price).alias("__price"), F.col(country).alias("__country"), F.col(sale).alias("__sale")), table, "__price", "__country", "__sale")
+    each = F.array(*(F.struct(F.lit(c).alias("component"), _chosen(c).alias("best")) for c in components))
+    one = rows.select("__k", "__p", "__s", F.explode(each).alias("x")).select("__k", "__p", "__s", "x.component", "x.best").where("best is not null")
+    best = F.col("best")
+    return one.select(F.col("__k").alias(key), "component", amount(F.col("__p"), best["rule"]).alias("fee_eur"), _scope(best).alias("scope_used"), _sale(best).alias("sale_used"), "best.rule.low", "best.rule.high", "best.rule.unit", "best.rule.fee")
 
 
 def bundle(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, electric: str | None = None, sold: str | None = None) -> DataFrame:
@@ -84,16 +108,29 @@ def bundle(lots: DataFrame, key: str, table: DataFrame, price: str, country: str
     Diagnosis applies to electric vehicles alone; lots that aren't sold have a total
     of zero. ``rules`` is a map from component to what was used; ``error`` names the components without a rule.
     """
-    found = lookup(lots if sold is None else lots.where(F.col(sold)), key, table, price, country, sale)
-    if electric is not None:
-        flag = lots.select(F.col(key).alias("__k"), F.coalesce(F.col(electric), F.lit(False)).alias("__e"))
-        found = found.join(flag, F.col(key) == F.col("__k")).where((F.col("component") != "diagnostico") | F.col("__e")).drop("__k", "__e")
-    used = F.concat_ws("|", "scope_used", "sale_used", F.concat(F.lit("["), F.coalesce(F.col("low").cast("string"), F.lit("")), F.lit(","), F.coalesce(F.col("high").cast("string"), F.lit("")), F.lit("]")), "unit", F.col("fee").cast("string"))
-    wide = found.groupBy(key).agg(
-        *(F.max(F.when(F.col("component") == c, F.col("fee_eur"))).alias(f"commission_{c}_eur") for c in COMPONENTS),
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("component", used)))).alias("rules"),
+    names = {"__k": F.col(key), "__price": F.col(price), "__country": F.col(country), "__sale": F.col(sale)}
+    names |= {"__electric": F.coalesce(F.col(electric), F.lit(False))} if electric is not None else {}
+    names |= {"__sold": F.col(sold)} if sold is not None else {}
+    rows = _with_rules(lots.select(*(c.alias(n) for n, c in names.items())), table, "__price", "__country", "__sale")
+    for c in COMPONENTS:
+        best = _chosen(c)
+        if sold is not None:
+            best = F.when(F.col("__sold"), best)
+        if electric is not None and c == "diagnostico":
+            best = F.when(F.col("__electric"), best)
+        rows = rows.withColumn(f"__{c}", best)
+    bound = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+
+    def used(best: Column) -> Column:
+        rule = best["rule"]
+        return F.concat_ws("|", _scope(best), _sale(best), F.concat(F.lit("["), bound(rule["low"]), F.lit(","), bound(rule["high"]), F.lit("]")), rule["unit"], rule["fee"].cast("string"))
+
+    entries = F.array_compact(F.array(*(F.when(F.col(f"__{c}").isNotNull(), F.struct(F.lit(c).alias("component"), used(F.col(f"__{c}")).alias("used"))) for c in sorted(COMPONENTS))))
+    out = rows.select(
+        F.col("__k").alias(key), *([F.col("__sold").alias(sold)] if sold else []),
+        *(F.when(F.col(f"__{c}").isNotNull(), amount(F.col("__p"), F.col(f"__{c}")["rule"])).alias(f"commission_{c}_eur") for c in COMPONENTS),
+        F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias("rules"),
     )
-    out = lots.select(key, *([sold] if sold else [])).join(wide, key, "left")
     total = sum((F.coalesce(F.col(f"commission_{c}_eur"), F.lit(0.0)) for c in COMPONENTS[1:]), F.coalesce(F.col(f"commission_{COMPONENTS[0]}_eur"), F.lit(0.0)))
     wanted = [c for c in COMPONENTS if c in ("adquisicion", "exportacion", "documentos")]
     lacking = F.array_compact(F.array(*(F.when(F.col(f"commission_{c}_eur").isNull(), F.lit(f"sin_regla_{c}")) for c in wanted)))

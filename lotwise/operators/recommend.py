@@ -74,14 +74,12 @@ def scored(df: DataFrame, region: str, cfg: Config = Config()) -> DataFrame:
     mix, rank = _column(df, f"mix_0_3_%_{region}"), _column(df, f"rank_year_model_{region}")
     columns = {k: v for k, v in wanted.items() if v is not None} | {"margin": F.col("margin_abs").cast("double")}
     if mix is not None:
-        columns["mix"] = mix
-    s = Scaled(df, columns, cfg.legacy)
-    if mix is not None:
-        rotation = F.coalesce(s.share("mix"), F.lit(0.0))
-    elif rank is not None:
-        rotation = F.coalesce(1 / (1 + rank), F.lit(0.0))
+        columns["turn"] = F.coalesce(mix, F.lit(0.0))
     else:
-        rotation = F.lit(0.0)
+        columns["turn"] = F.coalesce(1 / (1 + rank), F.lit(0.0)) if rank is not None else F.lit(0.0)
+    # One aggregate gives all bounds: scaling to shares keeps the order, so the rotation's bounds are those of what it is made of.
+    s = Scaled(df, columns, cfg.legacy)
+    rotation = s.share("turn") if mix is not None else F.col("__turn")
     out = s.df.withColumn("rotation", rotation)
     parts = {k: (1 - s.unit(k) if k == "grip" else s.unit(k)) for k in wanted if k in columns}
     if parts:
@@ -91,13 +89,13 @@ def scored(df: DataFrame, region: str, cfg: Config = Config()) -> DataFrame:
     else:
         demand = F.lit(1.0)
     out = out.withColumn("demand", demand).withColumn("margin_unit", s.unit("margin"))
-    out = s.drop(out)
-    r = Scaled(out, {"rotation": F.col("rotation")}, cfg.legacy)
+    flat = F.col("__min_turn").isNull() | (F.col("__min_turn") == F.col("__max_turn"))
+    turning = F.when(flat, F.col("rotation") if cfg.legacy else F.lit(0.0)).otherwise(s.unit("turn"))
     margin, turn = max(0.0, cfg.alpha_margin), max(0.0, 1 - cfg.alpha_margin) + max(0.0, cfg.rotation_boost)
     total = margin + turn
     a, b = (margin / total, turn / total) if total > 0 else (0.5, 0.5)
-    score = a * F.col("margin_unit") * F.col("demand") + b * r.unit("rotation")
-    return r.drop(r.df.withColumn("score", score)).drop("margin_unit")
+    score = a * F.col("margin_unit") * F.col("demand") + b * turning
+    return s.drop(out.withColumn("score", score)).drop("margin_unit")
 
 
 def cluster_keys(df: DataFrame, with_country: bool = False, with_sale: bool = False) -> list[str]:

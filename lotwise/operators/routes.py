@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.text import plain_lower, tokens, zip_candidate
@@ -34,25 +34,29 @@ def priced(lots: DataFrame, key: str, table: DataFrame, origin: str, place: str,
     route table (some hundred rows) is broadcast.
     """
     fold = lambda words: [w.strip().lower() for w in words]
-    each = lots.select(F.col(key).alias("k"), plain_lower(F.col(origin)).alias("o"), F.coalesce(F.col(place), F.lit("")).alias("u"), F.col(category).alias("cat"))
-    r = table.select("route", "o", "d", "days", F.col("origen_compound").alias("compound"), F.col("destino_zip").cast("string").alias("zip"), *PRICES.values())
-    joined = each.join(F.broadcast(r.where(F.col("d") == plain_lower(F.lit(destination)))), "o")
-    mine, theirs = F.array_distinct(tokens(F.col("u"))), F.array_distinct(tokens(F.col("compound")))
-    kept = F.array_except(theirs, F.array(*(F.lit(s) for s in fold(stops)))) if stops else theirs
-    score = F.size(F.array_intersect(mine, kept)).cast("double")
-    if brands:
-        score = score + 1.5 * F.size(F.array_intersect(mine, F.array(*(F.lit(b) for b in fold(brands)))))
-    score = score + F.when(zip_candidate(F.col("u")) == F.col("zip"), 2.0).otherwise(0.0)
-    start = F.substring(plain_lower(F.col("compound")), 1, 10)
-    score = score + F.when((start != "") & F.startswith(plain_lower(F.col("u")), start), 0.5).otherwise(0.0)
-    price = F.coalesce(*(F.when(F.col("cat") == c, F.col(p)) for c, p in PRICES.items()))
-    best = Window.partitionBy("k").orderBy(F.desc("score"), "route")
-    direct = joined.withColumn("score", score).withColumn("price", price.cast("double")).withColumn("i", F.row_number().over(best)).where("i = 1")
-    direct = direct.select(F.col("k").alias("d_k"), F.col("price").alias("direct"), F.col("days").alias("d_days"), "compound", F.col("score").alias("d_score"))
+    route = F.struct("route", "days", F.col("origen_compound").alias("compound"), F.col("destino_zip").cast("string").alias("zip"), *(F.col(p).cast("double").alias(p) for p in PRICES.values()))
+    from_ = table.where(F.col("d") == plain_lower(F.lit(destination))).groupBy(F.col("o").alias("d_o")).agg(F.collect_list(route).alias("__routes"))
+    place_of = F.coalesce(F.col(place), F.lit(""))
+    mine = F.array_distinct(tokens(place_of))
+
+    def order(r: Column) -> Column:
+        theirs = F.array_distinct(tokens(r["compound"]))
+        kept = F.array_except(theirs, F.array(*(F.lit(s) for s in fold(stops)))) if stops else theirs
+        score = F.size(F.array_intersect(mine, kept)).cast("double")
+        if brands:
+            score = score + 1.5 * F.size(F.array_intersect(mine, F.array(*(F.lit(b) for b in fold(brands)))))
+        score = score + F.when(zip_candidate(place_of) == r["zip"], 2.0).otherwise(0.0)
+        start = F.substring(plain_lower(r["compound"]), 1, 10)
+        score = score + F.when((start != "") & F.startswith(plain_lower(place_of), start), 0.5).otherwise(0.0)
+        price = F.coalesce(*(F.when(F.col(category) == c, r[p]) for c, p in PRICES.items()))
+        return F.struct((-score).alias("back"), r["route"].alias("route"), price.alias("price"), r["days"].alias("days"), r["compound"].alias("compound"))
+
+    # Each row picks its own route from the array of its country: nothing is shuffled.
+    out = lots.join(F.broadcast(from_), plain_lower(F.col(origin)) == F.col("d_o"), "left").withColumn("__best", F.array_min(F.transform("__routes", order)))
+    out = out.withColumns({"direct": F.col("__best.price"), "d_days": F.col("__best.days"), "compound": F.col("__best.compound"), "d_score": -F.col("__best.back")}).drop("__best", "__routes", "d_o")
     m = means(table)
     local = m.where(F.col("o").isNotNull()).select(F.col("o").alias("l_o"), F.col("category").alias("l_c"), F.col("mean_price").alias("local"))
     whole = m.where(F.col("o").isNull()).select(F.col("category").alias("g_c"), F.col("mean_price").alias("whole"))
-    out = lots.join(direct, F.col(key) == F.col("d_k"), "left")
     out = out.join(F.broadcast(local), (plain_lower(F.col(origin)) == F.col("l_o")) & (F.col(category) == F.col("l_c")), "left").join(F.broadcast(whole), F.col(category) == F.col("g_c"), "left")
     rule = (
         F.when(F.col("direct").isNotNull(), F.concat(F.lit("direct|compound="), F.coalesce("compound", F.lit("")), F.lit("|score="), F.format_number("d_score", 2), F.lit("|cat="), F.col(category)))
@@ -66,4 +70,4 @@ def priced(lots: DataFrame, key: str, table: DataFrame, origin: str, place: str,
         "transport_confidence": F.when(F.col("direct").isNotNull(), 1.0).when(F.col("local").isNotNull(), 0.5).when(F.col("whole").isNotNull(), 0.3).otherwise(0.0),
         "transport_days": F.when(F.col("direct").isNotNull(), F.col("d_days")),
     })
-    return out.drop("d_k", "direct", "d_days", "compound", "d_score", "l_o", "l_c", "local", "g_c", "whole")
+    return out.drop("direct", "d_days", "compound", "d_score", "l_o", "l_c", "local", "g_c", "whole")
