@@ -57,16 +57,16 @@ def fuel_aliased(c: Column, aliases: dict[str, str]) -> Column:
 
 
 def fuel_label(c: Column) -> Column:
-    """BEV, DIESEL, GASOLINA, PHEV or HEV by the first of them that the label holds, else the label in upper case."""
-    u = F.upper(F.trim(F.coalesce(c, F.lit(""))))
-    has = lambda *words: F.greatest(*(F.contains(u, F.lit(w)) for w in words)) if len(words) > 1 else F.contains(u, F.lit(words[0]))
+    """BEV, DIESEL, GASOLINA, PHEV or HEV by the first whose pattern the label holds, else the label in upper case; empty for null."""
+    low = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    # Patterns by label, accents as they are written.
     return (
-        F.when(has("ELECTR", "BEV"), "BEV")
-        .when(has("DIESEL"), "DIESEL")
-        .when(has("GASOL", "PETROL"), "GASOLINA")
-        .when(has("PHEV"), "PHEV")
-        .when(has("HEV", "HIBRID"), "HEV")
-        .otherwise(u)
+        F.when(low.rlike("bev|eléctr|electric"), "BEV")
+        .when(low.rlike("diesel|diésel"), "DIESEL")
+        .when(low.contains("gas") & low.contains("lina"), "GASOLINA")
+        .when(low.rlike("phev|plug-in") | (low.contains("híbr") & low.contains("ench")), "PHEV")
+        .when(low.rlike("hibr|hybrid"), "HEV")
+        .otherwise(F.upper(low))
     )
 
 
@@ -77,13 +77,13 @@ def fuel_code(c: Column) -> Column:
 def fuel_bucket(c: Column) -> Column:
     """Fuel by patterns in the folded label, OTROS for none."""
     u = upper_key(c)
+    # Patterns by fuel, in order.
     return (
-        F.when(u.rlike("ENCHUF|PHEV"), "PHEV")
-        .when(u.rlike("HIBRID|HEV"), "HEV")
-        .when(u.rlike("ELECTR|BEV"), "BEV")
-        .when(u.rlike("DIESEL|GASOLEO"), "DIESEL")
-        .when(u.rlike("GASOLINA|PETROL"), "GASOLINA")
-        .when(u.rlike("GLP|GNC|GAS"), "GAS")
+        F.when(u.rlike("PHEV|PLUG"), "PHEV")
+        .when(u.rlike("HEV|HIBRIDO|MHEV"), "HEV")
+        .when(u.rlike("ELECTRICO|EV|BEV"), "BEV")
+        .when(u.rlike("DIESEL|GASOIL"), "DIESEL")
+        .when(u.rlike("GASOLINA|PETROL|BENZINA"), "GASOLINA")
         .otherwise("OTROS")
     )
 

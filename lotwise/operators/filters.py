@@ -109,7 +109,7 @@ def _filled(values) -> list[str]:
     return [v for v in ([values] if isinstance(values, str) else values) if v and v.strip()]
 
 
-FUEL_NAMES = {"PETROL": "GASOLINA", "ELECTRIC": "BEV"}
+FUEL_NAMES = {"ELECTRIC": "BEV"}
 
 
 def by_fuel(df: DataFrame, include=None, exclude=None, column: str = "combustible_norm") -> DataFrame:

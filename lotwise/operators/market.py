@@ -32,7 +32,7 @@ def standardized(df: DataFrame, brands: DataFrame | None = None, fuels: DataFram
     """Transfer records in the engine's columns.
 
     Both sides of the brand and the fuel map go through the same folding. A fuel
-    that the map doesn't have is found by patterns. The registration year is the
+    that the map doesn't have is OTROS; without a map fuels are found by patterns. The registration year is the
     first of date, own year column and period; codes keep their leading zeros.
     """
     t = rename_synonyms(df, SYNONYMS)
@@ -62,7 +62,7 @@ def standardized(df: DataFrame, brands: DataFrame | None = None, fuels: DataFram
         t = t.withColumn("marca", F.col("marca_key"))
     if fuels is not None:
         m = fuels.select(upper_key(F.col("alias")).alias("fuel_key"), F.col("canonical").alias("__f")).groupBy("fuel_key").agg(F.min("__f").alias("__f"))
-        t = t.join(F.broadcast(m), "fuel_key", "left").withColumn("combustible", F.coalesce("__f", fuel_bucket(F.col("fuel_raw")))).drop("__f")
+        t = t.join(F.broadcast(m), "fuel_key", "left").withColumn("combustible", F.coalesce("__f", F.lit("OTROS"))).drop("__f")
     else:
         t = t.withColumn("combustible", fuel_bucket(F.col("fuel_raw")))
     return t.drop("marca_key", "fuel_key", "fuel_raw", "anio_raw", "fecha")

