@@ -739,6 +739,68 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 50 * len(held) * 0.2
 
 
+def test_scores_equal_a_direct_class_bigram(spark):
+    """Every head word in an exchanged class, found again by moving each word and taking the whole likelihood, and scores by loops."""
+    rng = random.Random(12)
+    kinds = [[f"{c}{i}" for i in range(9)] for c in "nva"]
+    rows = [(i, " ".join(rng.choice(kinds[j % 3])[: rng.choice((2, 2, 2, 3))] for j in range(40)) + " n0 n0" * (i % 3) + f" once{i} more" * (i % 2)) for i in range(90)] + [(90, ""), (91, None)]
+    head, clustered = 20, 6
+    texts = {i: (text or "").split() for i, text in rows}
+    train = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2}
+    counts = Counter(w for t in train.values() for w in t)
+    top = [w for w, _ in sorted(((w, c) for w, c in counts.items() if c > 1), key=lambda x: (-x[1], x[0]))[:head]]
+    assert len(top) == head
+    symbols = lm.Symbols({w.encode(): i for i, w in enumerate(top)}, clustered)
+    rank = {w: i for i, w in enumerate(top)}
+
+    def table(of_word, end, size):
+        n = np.zeros((size, size))
+        for t in train.values():
+            x = [end, *map(of_word, t), end]
+            for a, b in zip(x, x[1:]):
+                n[a, b] += 1
+        return n
+
+    numbers = symbols.of_rank()
+    pairs = table(lambda w: numbers[rank.get(w, head)], symbols.end, symbols.size)
+    of = lm.exchange(pairs, clustered)
+    k, end = int(of.max()) + 1, int(of[symbols.end])
+    start = {w: int(of[numbers[i]]) for i, w in enumerate(top)}
+    rare = int(of[symbols.rare])
+
+    def likelihood(classes):
+        n = table(lambda w: classes.get(w, rare), end, k)
+        x = lambda v: (v * np.log(np.where(v > 0, v, 1))).sum()
+        return x(n) - x(n.sum(0)) - x(n.sum(1))
+
+    found = dict(start)
+    for w in top[clustered:]:
+        found[w] = max(range(int(of[:clustered].max()) + 1), key=lambda b: round(likelihood(start | {w: b}), 6))
+    assert set(start.values()) != set(found.values())
+    n = table(lambda w: found.get(w, rare), end, k)
+    base = [(n[:, c].sum() + 0.1) / (n.sum() + 0.1 * k) for c in range(k)]
+    in_class = Counter()
+    for w in top:
+        in_class[found[w]] += counts[w]
+    others = {w: c for w, c in counts.items() if w not in rank}
+
+    def step(a, b):
+        seen = (n[a] > 0).sum() + 1
+        return (n[a, b] + seen * base[b]) / (n[a].sum() + seen)
+
+    def word(w):
+        return counts[w] / in_class[found[w]] if w in rank else (others.get(w, 0) + 0.5) / (sum(others.values()) + 0.5 * (len(others) + 1))
+
+    def score(t):
+        x = [end, *(found.get(w, rare) for w in t), end]
+        return sum(math.log10(step(a, b)) for a, b in zip(x, x[1:])) + sum(math.log10(word(w)) for w in t)
+
+    got = {r["id"]: r["score"] for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string"), head=head, clustered=clustered).collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        assert math.isclose(got[i], score(t), rel_tol=1e-9), i
+
+
 # --- 8 --------------------------------------------------------------------------------------------------------------
 
 
