@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontam, html, lm, packing, passages, quality, secrets, simhash, substrings, topk
+from lotwise.llm import decontam, html, interactions, lm, packing, passages, quality, secrets, simhash, substrings, topk
 from lotwise.llm.common import read
 
 
@@ -62,6 +62,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES = {
         op8_best_fit_packing,
         op9_simhash_near_dedup,
         op10_exact_top_k,
+        op11_filter_audit,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -92,4 +97,40 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT * FROM r WHERE rank <= 20
     """,
+    # Every document through every order; the query adds up subsets of failures instead.
+    "op11_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d
+        ), l AS (
+            SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map(['A', 'B', 'C', 'D', 'E'], [
+                len(words) < 50,
+                100 * len(list_distinct(words)) < 65 * len(words),
+                100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+                regexp_matches(t, '[#$%&*|]'),
+                coalesce(doc_id > least, false)]) AS fails
+            FROM w LEFT JOIN l USING (doc_id)
+        ), c AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+        ), o AS (
+            SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM c a, c b, c d, c e, c g
+            WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5
+        ), s AS (
+            SELECT filter_order, CAST(step AS INTEGER) AS step, string_split(left(filter_order, CAST(step AS INTEGER) - 1), '') AS before, filter_order[step] AS own
+            FROM o, range(1, 6) r(step)
+        ), x AS (
+            SELECT f.part, filter_order, step, own, good, toxic, fails[own] AS failed,
+                len(list_filter(before, lambda b: b <> '' AND coalesce(fails[b], false))) > 0 AS gone,
+                len(list_filter(map_values(fails), lambda v: v)) AS failures
+            FROM f, s
+        ), y AS (
+            SELECT part, filter_order, step, own, count(*) FILTER (NOT gone AND NOT failed) AS kept, count(*) FILTER (NOT gone AND failed) AS removed, count(*) FILTER (gone AND failed) AS redundant,
+                count(*) FILTER (failed AND failures = 1) AS unique_fails, count(*) FILTER (NOT gone AND failed AND good) AS good_lost, count(*) FILTER (NOT gone AND failed AND toxic) AS toxic_lost
+            FROM x GROUP BY ALL
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM y
+    """,
 }
