@@ -62,6 +62,16 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``stash`` has written, once nothing will read it again."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if re.search(r"/table-[0-9a-f]{32}$", folder):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 #: Rows up to which a counted side of a join is broadcast.
 BROADCAST_ROWS = 500_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontam, html, interactions, lm, packing, passages, quality, secrets, simhash, substrings, topk
+from lotwise.llm import decontam, html, interactions, lm, packing, passages, quality, secrets, simhash, sortmeans, substrings, topk
 from lotwise.llm.common import read
 
 
@@ -66,6 +66,43 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sortmeans.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def _clustering_sql(rounds: int) -> str:
+    """All distances of every round, one common table expression after the other."""
+    ctes = ["""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, e) - 1 AS c, e AS m
+            FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v ORDER BY h, e LIMIT 40)
+        )"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(e) AS e, min((d, c)) AS best
+            FROM (SELECT v.r, v.vec_id, v.e, k.c, CAST(list_sum(list_transform(list_zip(v.e, k.m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{i} k)
+            GROUP BY r
+        )""")
+        if i < rounds:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (
+            SELECT k.c, coalesce(n.m, k.m) AS m
+            FROM c{i} k LEFT JOIN (
+                SELECT c, list(q ORDER BY pos) AS m
+                FROM (SELECT c, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS q FROM (SELECT best[2] AS c, unnest(e) AS x, unnest(range(64)) AS pos FROM a{i}) GROUP BY c, pos)
+                GROUP BY c
+            ) n ON n.c = k.c
+        )""")
+    return "WITH " + ", ".join(ctes) + f"""
+        SELECT a.vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+            CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k.m, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} k ON k.c = best[2]
+    """
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +117,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_exact_top_k,
         op11_filter_audit,
+        op13_centroid_clustering,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -133,4 +171,5 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM y
     """,
+    "op13_centroid_clustering": _clustering_sql(sortmeans.ROUNDS),
 }
