@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontam, html, interactions, lm, packing, passages, quality, secrets, simhash, sortmeans, substrings, topk
+from lotwise.llm import decontam, html, interactions, languages, lm, packing, passages, quality, secrets, simhash, sortmeans, substrings, topk
 from lotwise.llm.common import read
 
 
@@ -66,6 +66,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sortmeans.cluster(read(spark, sf_dir, "embeddings"))
 
@@ -117,6 +121,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_exact_top_k,
         op11_filter_audit,
+        op12_language_id,
         op13_centroid_clustering,
     )
 }
