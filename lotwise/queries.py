@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions import canon, numbers, text, web
-from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, normalizer, price, ranking, recommend, routes
+from lotwise import model_queries
+from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.views import LOTS_SQL, MARKET_SQL, REGIONAL_SQL, lots, market as market_rows, regional, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -537,13 +538,6 @@ def linkage_audit(spark, sf_dir):
     return linkage.match(*_versions(spark, sf_dir))[1]
 
 
-@query()
-def model_names(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    whitelist = p.select(F.col("p_brand").alias("MARCA"), F.col("p_type").alias("MODELO")).distinct()
-    return normalizer.normalized(p.withColumn("t", F.concat_ws(" ", "p_type", "p_name")), "p_partkey", "p_brand", "t", whitelist)
-
-
 # --- text, labels, pages, records -----------------------------------------------------------------------------------
 
 
@@ -866,3 +860,9 @@ def listing_filters(spark, sf_dir):
     f = filters.Listing(max_age=2, as_of=1998, price=(10000, 60000), mileage=(None, 100000), fuels=("N", "R"))
     found = filters.without_types(filters.vehicle_types(filters.listings(rows, f), ["turismo", "moto"]), ("MOTO",))
     return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")
+
+
+# --- model names ----------------------------------------------------------------------------------------------------
+
+QUERIES.update(model_queries.QUERIES)
+ORACLE_SQL.update(model_queries.ORACLE_SQL)

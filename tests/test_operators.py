@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import cascade, columns, fees, filters, linkage, lookup, market, normalizer, price, ranking, recommend, routes
+from lotwise.operators import cascade, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.plans import runner
 
 
@@ -231,15 +231,6 @@ def test_linkage(spark):
     assert ranks[("power", 1)] == "p2" and ranks[("power", 2)] == "p1"
 
 
-def test_model_names(spark):
-    wl = frame(spark, "MARCA string, MODELO string, DISPLAY string", ("Mazda", "CX-5", "CX-5"), ("Mazda", "CX-50", "CX-50"), ("Mazda", "3", "Mazda3"), ("VW", "Golf", None), ("VW", "Golf Plus", None))
-    df = frame(spark, "id int, m string, t string", (1, "MAZDA", "cx 5 skyactiv 2.2"), (2, "Volkswagen", "GOLF plus 1.6 TDI"), (3, "vw", "golf.gti"), (4, "Mazda", "zzz"), (5, "Kia", "rio"))
-    got = {r["id"]: r["modelo_base"] for r in normalizer.normalized(df, "id", "m", "t", wl).collect()}
-    assert got == {1: "CX-5", 2: "GOLF PLUS", 3: "GOLF", 4: None, 5: None}
-    hard = normalizer.normalized(df, "id", "m", "t", wl, guards=(normalizer.Guard("MAZDA", "ZZZ", "3"),))
-    assert {r["id"]: r["modelo_base"] for r in hard.collect()}[4] == "Mazda3"
-
-
 def test_lookups(spark):
     df = frame(spark, "vin string, d int, v string", ("a", 1, "x"), ("a", 3, "y"), (None, 1, "p"), (None, 2, "q"), (" ", 1, "r"))
     assert sorted(r["v"] for r in lookup.latest(df, "vin", [F.desc("d")]).collect()) == ["p", "q", "r", "y"]
