@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column
@@ -91,8 +90,22 @@ def either_contains(a: Column, b: Column) -> Column:
     return F.contains(a, b) | F.contains(b, a)
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the longest common subsequence; the rows of the table are the bits of one number."""
+    at: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        at[ch] = at.get(ch, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for ch in b:
+        hit = row & at.get(ch, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
+
+
 def _ratio(a: str, b: str) -> float:
-    return 100.0 * SequenceMatcher(None, a, b, autojunk=False).ratio()
+    """100 less the share of letters to take out of both until they are equal."""
+    return 200.0 * _common(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
 def _token_set(a: str, b: str) -> float:
@@ -105,11 +118,21 @@ def _token_set(a: str, b: str) -> float:
 
 
 def _partial(a: str, b: str) -> float:
+    """The best ratio of the shorter text and a piece of the longer one as long as it, or what is left of one at an end."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 0.0
-    starts = {max(0, m.b - m.a) for m in SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks()}
-    return max(_ratio(short, long[s : s + len(short)]) for s in starts)
+    m = len(short)
+    return max(_ratio(short, long[max(0, s) : s + m]) for s in range(1 - m, len(long)))
+
+
+def _token_set_series(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([0.0 if x is None or y is None else _token_set(x, y) for x, y in zip(a, b)])
+
+
+def token_set_ratio(a: Column | str, b: Column | str) -> Column:
+    """0-100: similarity of the words that both have with those of either. Meant for distinct pairs of short labels."""
+    return F.pandas_udf(_token_set_series, "double")(a, b)
 
 
 def fuzzy_ratio(a: Column | str, b: Column | str) -> Column:

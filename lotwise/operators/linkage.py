@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.text import either_contains, fuzzy_ratio, id_text, overlap, shared_terms, tokens
+from lotwise.operators.similar import similar
+from lotwise.session import settled
 
 
 @dataclass(frozen=True)
@@ -19,6 +21,8 @@ class Rules:
     power_top: int = 3
     top: int = 5
     kw_too: bool = False
+    #: Whether lots without their model among the prices meet the likest models first.
+    use_fuzzy: bool = True
     range_before: int = 2013
 
 
@@ -47,18 +51,25 @@ def power_equal(kw_too: bool) -> Column:
     return same | (F.round(F.col("l_power") * 1.35962) == own) | (F.round(F.col("p_power") * 1.35962) == lot) if kw_too else same
 
 
-def ranked(candidates: DataFrame, group: list[str], rules: Rules) -> DataFrame:
-    """Filters in order, words in common, and the rank of each candidate that is left."""
+def filtered(candidates: DataFrame, group: list[str], rules: Rules) -> DataFrame:
+    """Year, fuel and power in this order; a filter that no candidate of a group passes gives way."""
     rows = year_tier(candidates, group, rules.range_before)
     rows = keep_if_any(rows, group, F.col("l_fuel") == F.col("p_fuel"), "fuel_dropped")
-    rows = keep_if_any(rows, group, power_equal(rules.kw_too), "power_dropped")
-    mine, theirs = tokens(F.col("l_text"), rules.stopwords), tokens(F.col("p_text"), rules.stopwords)
-    rows = rows.withColumn("a", mine).withColumn("b", theirs)
+    return keep_if_any(rows, group, power_equal(rules.kw_too), "power_dropped")
+
+
+def ranked(rows: DataFrame, group: list[str], rules: Rules) -> DataFrame:
+    """Words in common and the rank of each filtered candidate that has enough of them.
+
+    Most words first, then texts of which one holds the other, then the more similar, then the smaller price id. Where no
+    power was equal, the first ``power_top`` are put in the order of their distance in power.
+    """
+    rows = rows.withColumn("a", tokens(F.col("l_text"), rules.stopwords)).withColumn("b", tokens(F.col("p_text"), rules.stopwords))
     rows = rows.withColumn("token_overlap", overlap(F.col("a"), F.col("b"))).withColumn("terms", shared_terms(F.col("a"), F.col("b")))
-    rows = rows.withColumn("substring_hit", either_contains(F.array_join("a", " "), F.array_join("b", " ")).cast("int"))
-    rows = rows.where(F.col("token_overlap") >= rules.least_tokens)
-    pairs = rows.select(F.array_join("a", " ").alias("x"), F.array_join("b", " ").alias("y")).distinct().withColumn("fuzzy", F.round(fuzzy_ratio("x", "y"), 4))
-    rows = rows.withColumn("x", F.array_join("a", " ")).withColumn("y", F.array_join("b", " ")).join(pairs, ["x", "y"]).drop("x", "y", "a", "b")
+    rows = rows.withColumn("x", F.array_join("a", " ")).withColumn("y", F.array_join("b", " "))
+    rows = rows.withColumn("substring_hit", either_contains(F.col("x"), F.col("y")).cast("int")).where(F.col("token_overlap") >= rules.least_tokens)
+    pairs = rows.select("x", "y").distinct().withColumn("fuzzy", F.round(fuzzy_ratio("x", "y"), 4))
+    rows = rows.join(pairs, ["x", "y"]).drop("x", "y", "a", "b")
     order = [F.desc("token_overlap"), F.desc("substring_hit"), F.desc("fuzzy"), F.asc("price_id")]
     rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     again = F.col("power_dropped") & F.col("l_power").isNotNull() & (F.col("r") <= rules.power_top)
@@ -67,43 +78,101 @@ def ranked(candidates: DataFrame, group: list[str], rules: Rules) -> DataFrame:
     return rows.withColumn("gap", gap).withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*second))).withColumn("power_tiebreak", again).drop("r", "gap")
 
 
+def near_rows(lots: DataFrame, prices: DataFrame, rules: Rules) -> DataFrame:
+    """(make, model, price_id): for a lot's make and model the ``fuzzy_top`` price rows whose models are most like it.
+
+    Models meet by ``similar``; of a model at most ``fuzzy_top`` rows can be among the first, so no more are ranked.
+    """
+    wanted = lots.select(F.col("make").alias("block"), F.col("model").alias("label")).distinct()
+    known = prices.select(F.col("p_make").alias("block"), F.col("p_model").alias("label")).distinct()
+    near = similar(wanted, known, rules.fuzzy_least).select(F.col("block").alias("make"), F.col("label").alias("model"), F.col("other").alias("p_model"), "score")
+    first = Window.partitionBy("p_make", "p_model").orderBy("price_id")
+    some = prices.select("p_make", "p_model", "price_id").withColumn("i", F.row_number().over(first)).where(F.col("i") <= rules.fuzzy_top).select(F.col("p_make").alias("make"), "p_model", "price_id")
+    order = Window.partitionBy("make", "model").orderBy(F.desc("score"), "price_id")
+    return near.join(some, ["make", "p_model"]).withColumn("i", F.row_number().over(order)).where(F.col("i") <= rules.fuzzy_top).select("make", "model", "price_id")
+
+
+def whole_make(lots: DataFrame, prices: DataFrame, rules: Rules) -> DataFrame:
+    """As ``filtered`` over all prices of each lot's make, without a join of lots and prices by make.
+
+    Which filters give way is found from the distinct years, fuels and powers of a make, one after the other; then
+    lots meet the prices that share a word with them and pass. Prices without such a word drop out afterwards anyway.
+    """
+    if rules.least_tokens < 1:
+        raise ValueError("a lot has to share a word with a price of its make")
+    make = F.col("make") == F.col("p_make")
+    year = F.when(F.col("l_year") == F.col("p_year"), 0).when((F.col("l_year") < rules.range_before) & F.col("l_year").between(F.coalesce("p_start", F.lit(0)), F.coalesce("p_end", F.lit(9999))), 1).otherwise(2)
+    own, spans = ["make", "l_year", "l_fuel", "l_power"], ["p_make", "p_year", "p_start", "p_end"]
+    asked = settled(lots.select(*own).distinct())
+    years = asked.select("make", "l_year").distinct().join(prices.select(*spans).distinct(), make).groupBy("make", "l_year").agg(F.min(year).alias("y_best"))
+    years = years.select(F.col("make").alias("ym"), F.col("l_year").alias("yy"), "y_best")
+    asked = asked.join(years, (F.col("make") == F.col("ym")) & F.col("l_year").eqNullSafe(F.col("yy"))).select(*own, "y_best")
+    passes = year == F.col("y_best")
+    fuels = asked.select("make", "l_year", "l_fuel", "y_best").distinct().join(prices.select(*spans, "p_fuel").distinct(), make & (F.col("l_fuel") == F.col("p_fuel"))).where(passes).select("make", F.col("l_year").alias("fy"), F.col("l_fuel").alias("ff"), F.lit(True).alias("fuel_kept")).distinct()
+    asked = asked.join(fuels.withColumnRenamed("make", "fm"), (F.col("make") == F.col("fm")) & F.col("l_year").eqNullSafe(F.col("fy")) & (F.col("l_fuel") == F.col("ff")), "left").select(*own, "y_best", (~F.coalesce("fuel_kept", F.lit(False))).alias("fuel_dropped"))
+    keys = F.array(F.round("l_power"), *([F.round(F.col("l_power") * 1.35962)] if rules.kw_too else []))
+    theirs = F.array(F.round("p_power"), *([F.round(F.col("p_power") * 1.35962)] if rules.kw_too else []))
+    fuel_ok = F.col("fuel_dropped") | (F.col("l_fuel") == F.col("p_fuel"))
+    a = asked.withColumn("power", F.explode(keys))
+    b = prices.select(*spans, "p_fuel", "p_power").distinct().withColumn("power2", F.explode(theirs))
+    powers = a.join(b, make & (F.col("power") == F.col("power2"))).where(passes & fuel_ok & power_equal(rules.kw_too)).select(*own).distinct()
+    powers = powers.select(F.col("make").alias("pm"), F.col("l_year").alias("py"), F.col("l_fuel").alias("pf"), F.col("l_power").alias("pp"), F.lit(True).alias("power_kept"))
+    decided = asked.join(powers, (F.col("make") == F.col("pm")) & F.col("l_year").eqNullSafe(F.col("py")) & F.col("l_fuel").eqNullSafe(F.col("pf")) & (F.col("l_power") == F.col("pp")), "left")
+    decided = decided.select(*(F.col(c).alias(f"d_{c}") for c in own), "y_best", "fuel_dropped", (~F.coalesce("power_kept", F.lit(False))).alias("power_dropped"))
+    same = [F.col(c).eqNullSafe(F.col(f"d_{c}")) for c in own]
+    rows = lots.join(decided, same).select(*lots.columns, "y_best", "fuel_dropped", "power_dropped")
+    # Where the year holds it is part of the key, so a frequent word of a make is split by years.
+    word = F.explode(F.array_distinct(tokens(F.col("l_text"), rules.stopwords)))
+    mine = rows.withColumn("word", word).withColumn("y", F.when(F.col("y_best") == 0, F.col("l_year")).otherwise(-1))
+    words = prices.withColumn("word2", F.explode(F.array_distinct(tokens(F.col("p_text"), rules.stopwords)))).withColumn("y2", F.explode(F.array(F.coalesce("p_year", F.lit(-2)), F.lit(-1))))
+    met = mine.join(words, make & (F.col("word") == F.col("word2")) & (F.col("y") == F.col("y2"))).where(passes & fuel_ok & (F.col("power_dropped") | power_equal(rules.kw_too)))
+    met = met.select(*lots.columns, *prices.columns, (F.col("y_best") == 2).alias("year_dropped"), "fuel_dropped", "power_dropped")
+    return met.dropDuplicates(["lot_id", "price_id"])
+
+
 def match(lots: DataFrame, prices: DataFrame, rules: Rules = Rules(), hints: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(one row for each lot, the best candidates of each lot).
 
     Lots: lot_id, make, model, year, fuel, power, text. Prices: price_id, make, model, year, fuel,
     power, text, start, end, price. A hint (lot_id, price_id) decides at once; then candidates of equal
-    make and model; then, for lots without one, the make's models that are most like the lot's. Each
-    stage is a blocked equi-join, so no lot meets every price.
+    make and model; then, for lots without one, the ``fuzzy_top`` rows of the make whose models are most like the lot's;
+    then, where no model is alike (or ``use_fuzzy`` is off), all of the make. Every
+    stage joins on more than the make. Ids are unique; a lot without a make has no candidate. The audit gives
+    up to ``top`` candidates a lot with the decision (selected, candidate), rank 0 for a hint, and a row without a
+    candidate for each lot that has none (unmatched).
     """
+    lot_columns = ["lot_id", "make", "model", "l_year", "l_fuel", "l_power", "l_text"]
     left = lots.select("lot_id", "make", "model", *(F.col(c).alias(f"l_{c}") for c in ("year", "fuel", "power", "text")))
     right = prices.select("price_id", F.col("make").alias("p_make"), F.col("model").alias("p_model"), *(F.col(c).alias(f"p_{c}") for c in ("year", "fuel", "power", "text", "start", "end", "price")))
+    hinted = None
+    if hints is not None:
+        hinted = hints.groupBy("lot_id").agg(F.min("price_id").alias("price_id")).join(right.select("price_id", F.col("p_price").alias("price")), "price_id")
+        left = left.join(hinted.select("lot_id"), "lot_id", "left_anti")
     group = ["lot_id"]
-    exact = ranked(left.join(right, (F.col("make") == F.col("p_make")) & (F.col("model") == F.col("p_model"))), group, rules).withColumn("stage", F.lit("EXACT"))
-    rest = left.join(exact.select("lot_id").distinct(), "lot_id", "left_anti")
-    models = right.select("p_make", "p_model").distinct()
-    wanted = rest.select("make", "model").distinct().join(models, F.col("make") == F.col("p_make"))
-    scored = wanted.withColumn("model_score", fuzzy_ratio("model", "p_model")).where(F.col("model_score") >= rules.fuzzy_least)
-    near = scored.withColumn("i", F.row_number().over(Window.partitionBy("make", "model").orderBy(F.desc("model_score"), "p_model"))).where(F.col("i") <= rules.fuzzy_top)
-    near = near.select("make", "model", F.col("p_model").alias("near_model"))
-    block = rest.join(near, ["make", "model"]).join(right, (F.col("make") == F.col("p_make")) & (F.col("near_model") == F.col("p_model"))).drop("near_model")
-    fuzzy = ranked(block, group, rules).withColumn("stage", F.lit("BRAND"))
-    found = exact.unionByName(fuzzy)
+    both = left.join(right, (F.col("make") == F.col("p_make")) & (F.col("model") == F.col("p_model")))
+    exact = settled(ranked(filtered(both, group, rules), group, rules).withColumn("stage", F.lit("EXACT")))
+    rest = settled(left.join(exact.select("lot_id").distinct(), "lot_id", "left_anti"))
+    stages, open_ = [exact], rest
+    if rules.use_fuzzy:
+        near = settled(near_rows(rest, right, rules))
+        block = rest.join(near, ["make", "model"]).join(right, "price_id").select(*lot_columns, *right.columns)
+        stages.append(ranked(filtered(block, group, rules), group, rules).withColumn("stage", F.lit("BRAND")))
+        open_ = rest.join(near.select("make", "model").distinct(), ["make", "model"], "left_anti").select(*lot_columns)
+    stages.append(ranked(whole_make(open_, right, rules), group, rules).withColumn("stage", F.lit("BRAND")))
+    found = stages[0]
+    for more in stages[1:]:
+        found = found.unionByName(more.select(*found.columns))
+    found = settled(found.where(F.col("rank") <= max(rules.top, 1)))
     kind = F.when(F.col("stage") == "EXACT", "KEY_STRICT").when(F.col("substring_hit") == 1, "APROX_SUBSTRING").otherwise("APROX_TOKENS")
     best = found.where("rank = 1").select("lot_id", "price_id", F.col("p_price").alias("price"), kind.alias("matching_type"), (F.col("stage") != "EXACT").alias("is_approximate"), "token_overlap", "substring_hit", "fuzzy", "year_dropped", "fuel_dropped", "power_dropped", "power_tiebreak")
-    audit = found.where(F.col("rank") <= rules.top).select("lot_id", F.col("rank").alias("cand_rank"), "price_id", F.col("p_price").alias("price"), "stage", "token_overlap", "terms", "substring_hit", "fuzzy")
-    if hints is not None:
-        h = hints.groupBy("lot_id").agg(F.min("price_id").alias("hint_id")).join(right.select(F.col("price_id").alias("hint_id"), F.col("p_price").alias("hint_price")), "hint_id")
-        best = lots.select("lot_id").join(best, "lot_id", "left").join(h, "lot_id", "left")
-        hit = F.col("hint_id").isNotNull()
-        best = best.withColumns({
-            "price_id": F.coalesce("hint_id", "price_id"),
-            "price": F.when(hit, F.col("hint_price")).otherwise(F.col("price")),
-            "matching_type": F.when(hit, "HINT").otherwise(F.col("matching_type")),
-            "is_approximate": F.when(hit, False).otherwise(F.col("is_approximate")),
-        }).drop("hint_id", "hint_price")
-    else:
-        best = lots.select("lot_id").join(best, "lot_id", "left")
-    return best.withColumn("matched", F.col("price_id").isNotNull()), audit
+    audit = found.where(F.col("rank") <= rules.top).select("lot_id", F.col("rank").alias("cand_rank"), "price_id", F.col("p_price").alias("price"), "stage", "token_overlap", "terms", "substring_hit", "fuzzy", F.when(F.col("rank") == 1, "selected").otherwise("candidate").alias("decision"))
+    if hinted is not None:
+        known = lots.select("lot_id").join(hinted, "lot_id")
+        best = best.unionByName(known.select("lot_id", "price_id", "price", F.lit("HINT").alias("matching_type"), F.lit(False).alias("is_approximate")), allowMissingColumns=True)
+        audit = audit.unionByName(known.select("lot_id", F.lit(0).alias("cand_rank"), "price_id", "price", F.lit("HINT").alias("stage"), F.lit("selected_by_hint").alias("decision")), allowMissingColumns=True)
+    missing = lots.select("lot_id").join(best.select("lot_id"), "lot_id", "left_anti").withColumn("decision", F.lit("unmatched"))
+    best = lots.select("lot_id").join(best, "lot_id", "left")
+    return best.withColumn("matched", F.col("price_id").isNotNull()), audit.unionByName(missing, allowMissingColumns=True)
 
 
 def enriched(lots: DataFrame, matches: DataFrame, lot_key: str = "lot_id") -> DataFrame:

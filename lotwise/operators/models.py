@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.canon import lookup
 from lotwise.functions.text import fold, jaccard, squeeze
+from lotwise.session import settled
 
 MERCEDES = "MERCEDES BENZ"
 
@@ -412,12 +413,12 @@ def features(strict: tuple[str, ...]) -> dict[str, Column]:
     }
 
 
-def candidates(df: DataFrame, brand_col: str, model_col: str, whitelist: DataFrame, what: Knowledge = Knowledge(), rare: int = RARE) -> DataFrame:
+def candidates(df: DataFrame, brand_col: str, model_col: str, models: DataFrame, what: Knowledge = Knowledge(), rare: int = RARE) -> DataFrame:
     """All models that the distinct texts meet, with the thirteen features, score and rank; hard decisions are marked.
 
-    Columns: b, t, cand, shown, the features, score, hard, rank (1 is the best, ties in the order of names).
+    Models are those of ``known``. Columns: b, key (the text), cand, shown, pick, guard, the features, score, hard, rank (1 is the best, ties in the order
+    of names). The distinct texts and the picks by points are settled, as several joins read them.
     """
-    models = known(whitelist)
     b, text = brand(F.col(brand_col)), spelled(F.col(model_col))
     text = F.when(b == MERCEDES, F.regexp_replace(text, r"\bE[- ]?(VITO|SPRINTER|CITAN)\b", "$1")).otherwise(text)
     # Texts that are told apart by noise alone are one; the scorer by points reads the first of their spellings.
@@ -426,9 +427,9 @@ def candidates(df: DataFrame, brand_col: str, model_col: str, whitelist: DataFra
     texts = texts.withColumn("t2", F.concat_ws("\n", "t", "p")).withColumns({
         "hards": targets(what.hard, F.col("b"), F.col("t")), "guards": targets(what.guards, F.col("b"), F.col("t")), "family": F.get(targets(what.families, F.col("b"), F.col("t")), F.lit(0)), "pool": F.get(targets(what.pools, F.col("b"), F.col("t")), F.lit(0)),
     })
-    alone = texts.select("b", F.col("t2").alias("t"), "tt", "p", "hards", "guards", "family", "pool")
+    alone = settled(texts.select("b", F.col("t2").alias("t"), "tt", "p", "hards", "guards", "family", "pool"))
     vocabulary, keys = index(models, what.pools, rare)
-    picks = by_points(alone.select("b", "t", "p"), models, what.points).select("b", "t", "pick").where("pick is not null")
+    picks = settled(by_points(alone.select("b", "t", "p"), models, what.points).select("b", "t", "pick").where("pick is not null"))
     named = F.transform(F.concat("hards", "guards"), lambda c: F.concat(F.lit("5 "), c))
     asked = met(alone.select("b", "t", "tt"), vocabulary, rare).unionByName(alone.select("b", "t", F.explode(F.array_append(named, F.lit("4"))).alias("key"))).unionByName(picks.select("b", "t", F.concat(F.lit("5 "), "pick").alias("key")))
     found = asked.join(keys, ["b", "key"]).select("b", "t", "cand")
@@ -467,12 +468,13 @@ def fused(df: DataFrame, key: str, brand_col: str, model_col: str, whitelist: Da
     confidence 0. ``family`` is the shortest known model that the found one begins with. Equal
     texts are decided once; null keys and repeated rows stay.
     """
-    ranked = candidates(df, brand_col, model_col, whitelist, what, rare).where("rank <= 2")
+    models = settled(known(whitelist))
+    ranked = candidates(df, brand_col, model_col, models, what, rare).where("rank <= 2")
     top = ranked.groupBy("b", "key").agg(
         F.max(F.when(F.col("rank") == 1, F.struct("cand", "shown", "score", "hard"))).alias("one"), F.max(F.when(F.col("rank") == 2, F.struct("shown", "score"))).alias("two")
     )
     top = top.select("b", "key", F.col("one.cand").alias("cand"), F.col("one.shown").alias("model"), F.col("two.shown").alias("second"), F.when(F.col("one.hard"), 1.0).otherwise(F.greatest(F.lit(0.0), F.col("one.score") - F.coalesce("two.score", F.lit(0.0)))).alias("confidence"))
-    top = top.join(families(known(whitelist)).select("b", "cand", F.col("root").alias("family")), ["b", "cand"], "left")
+    top = top.join(families(models).select("b", "cand", F.col("root").alias("family")), ["b", "cand"], "left")
     b, text = brand(F.col(brand_col)), spelled(F.col(model_col))
     text = F.when(b == MERCEDES, F.regexp_replace(text, r"\bE[- ]?(VITO|SPRINTER|CITAN)\b", "$1")).otherwise(text)
     rows = df.select(F.col(key).alias("id"), b.alias("b"), F.concat_ws("\n", F.concat_ws(" ", told(text, b)), pointed(F.col(model_col))).alias("key"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "lotwise", master: str | None = None, **settings: str) -> SparkSession:
@@ -19,3 +22,17 @@ def session(app: str = "lotwise", master: str | None = None, **settings: str) ->
     for key, value in (base | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint, for what several parts of a plan read.
+
+    It goes to the folder that ``spark.checkpoint.dir`` names; a folder of this machine is made only where driver and executors are one process.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()

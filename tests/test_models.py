@@ -103,7 +103,7 @@ def test_no_text_meets_a_whole_make(spark):
     """3000 models of one make: a text of two rare words meets theirs and the few that stand for the rest."""
     known = [("Kart", f"M{i:04d} {'SPORT' if i % 3 else 'GRAND'} LINE") for i in range(3000)]
     df = spark.createDataFrame([(i, "Kart", f"m{i:04d} line {i}") for i in range(200)], "id long, make string, text string")
-    met = models.candidates(df, "make", "text", whitelist(spark, *known)).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("rank") == 1, F.col("cand"))).alias("best")).collect()
+    met = models.candidates(df, "make", "text", models.known(whitelist(spark, *known))).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("rank") == 1, F.col("cand"))).alias("best")).collect()
     assert len(met) == 200 and max(r["n"] for r in met) <= 20
     assert all(r["best"].split()[0] == r["key"].split()[0] for r in met)
     plan = models.fused(df, "id", "make", "text", whitelist(spark, *known))._jdf.queryExecution().toString()

@@ -223,7 +223,9 @@ def test_linkage(spark):
         spark, schema_l, ("strict", "A", "golf", 2020, "d", 150.0, "golf sport"), ("fuelless", "A", "golf", 2020, "e", 110.0, "golf sport"), ("power", "A", "golf", 2020, "d", 145.0, "golf sport"), ("near", "A", "variant golf", 2020, "d", 110.0, "variant"),
         ("range", "B", "old", 2008, "d", None, "old"), ("words", "A", "golf", 2020, "d", 110.0, "zzz"), ("hint", "C", "x", 2020, "d", 1.0, "x"),
     )
-    best, audit = linkage.match(lots, prices, hints=frame(spark, "lot_id string, price_id string", ("hint", "p5")))
+    hints = frame(spark, "lot_id string, price_id string", ("hint", "p5"))
+    assert {r["lot_id"]: r["price_id"] for r in linkage.match(lots, prices, hints=hints)[0].collect()}["near"] is None  # three rows of golf are as like, and come first
+    best, audit = linkage.match(lots, prices, linkage.Rules(fuzzy_top=4), hints)
     got = {r["lot_id"]: (r["price_id"], r["matching_type"]) for r in best.collect()}
     assert got["strict"] == ("p2", "KEY_STRICT") and got["fuelless"] == ("p1", "KEY_STRICT") and got["power"] == ("p2", "KEY_STRICT") and got["range"] == ("p5", "KEY_STRICT")
     assert got["near"][0] == "p4" and got["near"][1].startswith("APROX") and got["words"][0] is None and got["hint"] == ("p5", "HINT")
