@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotwise.operators import models
+from lotwise.operators import linkage, models
 from lotwise.views import table
 
 # Makes of the parts, the models that are known of them, and texts that mean one of them more or less.
@@ -106,5 +106,74 @@ def model_names(spark, sf_dir):
     return models.fused(rows, "p_partkey", "make", "text", whitelist)
 
 
-QUERIES = {"model_names": model_names}
-ORACLE_SQL = {"model_names": _FUSION_SQL}
+# --- linkage --------------------------------------------------------------------------------------------------------
+
+_LOT_MODEL = "CASE (l_partkey + y) % 4 WHEN 0 THEN p_type WHEN 1 THEN concat(p_type, 's') WHEN 2 THEN concat(p_type, ' plus') ELSE 'other' END"
+_LOT_TEXT = "CASE WHEN l_partkey % 5 = 0 THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) ELSE p_name END"
+_PRICE_TEXT = "CASE WHEN p_partkey % 4 = 0 THEN concat(p_name, ' plus') ELSE p_name END"
+_FUEL = "CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END"
+
+# Every lot against every price of its make; ratios from the table of common subsequences, letter by letter.
+_AUDIT_SQL = f"""
+    WITH RECURSIVE price AS (
+        SELECT CAST(p_partkey AS VARCHAR) AS price_id, p_brand AS make, p_type AS model, p_size % 7 + 1992 AS year, {_FUEL} AS fuel, CAST(p_size % 20 * 10 AS DOUBLE) AS power, {_PRICE_TEXT} AS text, p_retailprice AS price FROM part
+    ), keys AS (SELECT DISTINCT l_partkey, l_returnflag, year(l_shipdate) AS y FROM lineitem),
+    lot AS (
+        SELECT concat_ws('-', l_partkey, l_returnflag, y) AS lot_id, p_brand AS make, {_LOT_MODEL} AS model, y AS year, l_returnflag AS fuel, CAST(p_size % 23 * 10 AS DOUBLE) AS power, {_LOT_TEXT} AS text
+        FROM keys JOIN part ON l_partkey = p_partkey
+    ), named AS (SELECT DISTINCT l.make, l.model, p.model AS other FROM (SELECT DISTINCT make, model FROM lot) l JOIN (SELECT DISTINCT make, model FROM price) p USING (make)),
+    -- pairs of labels and of texts with a word in common
+    labels AS (SELECT DISTINCT model AS a, other AS b, false AS whole FROM named UNION SELECT DISTINCT l.text, p.text, true FROM (SELECT DISTINCT make, text FROM lot) l JOIN (SELECT DISTINCT make, text FROM price) p USING (make) WHERE len(list_intersect(string_split(l.text, ' '), string_split(p.text, ' '))) > 0),
+    sets AS (SELECT *, list_sort(list_distinct(string_split(a, ' '))) AS x, list_sort(list_distinct(string_split(b, ' '))) AS y FROM labels),
+    cut AS (SELECT *, array_to_string(list_filter(x, lambda w: list_contains(y, w)), ' ') AS shared, list_filter(x, lambda w: NOT list_contains(y, w)) AS dx, list_filter(y, lambda w: NOT list_contains(x, w)) AS dy FROM sets),
+    sides AS (SELECT *, trim(concat(shared, ' ', array_to_string(dx, ' '))) AS u, trim(concat(shared, ' ', array_to_string(dy, ' '))) AS v, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS brief, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS wide FROM cut),
+    asked AS (
+        SELECT a, b, whole, u AS s, v AS t FROM sides UNION SELECT a, b, whole, shared, u FROM sides WHERE shared <> '' UNION SELECT a, b, whole, shared, v FROM sides WHERE shared <> ''
+        UNION SELECT a, b, whole, brief, substr(wide, CAST(greatest(i, 0) + 1 AS INTEGER), CAST(length(brief) + least(i, 0) AS INTEGER)) FROM (SELECT *, unnest(range(1 - length(brief), length(wide))) AS i FROM sides WHERE whole)
+    ), pair AS (SELECT DISTINCT s, t FROM asked),
+    common AS (
+        SELECT s, t, 0 AS i, list_transform(range(length(t)), lambda j: 0) AS line FROM pair
+        UNION ALL
+        SELECT s, t, i + 1, list_transform(range(1, length(t) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(line[k], CASE WHEN k = 1 THEN 0 ELSE line[k - 1] END + CASE WHEN s[i + 1] = t[k] THEN 1 ELSE 0 END))))
+        FROM common WHERE i < length(s)
+    ), ratio AS (SELECT s, t, 200.0 * list_max(line) / (length(s) + length(t)) AS r FROM common WHERE i = length(s)),
+    alike AS (SELECT a, b, whole, max(r) AS score FROM asked JOIN ratio USING (s, t) GROUP BY a, b, whole),
+    -- stages
+    ca AS (SELECT 'EXACT' AS stage, l.lot_id, l.year AS ly, l.fuel AS lf, l.power AS lp, l.text AS lt, p.* FROM lot l JOIN price p ON l.make = p.make AND l.model = p.model),
+    near AS (SELECT n.make, n.model, p.price_id, row_number() OVER (PARTITION BY n.make, n.model ORDER BY score DESC, p.price_id) AS i FROM named n JOIN alike ON NOT whole AND a = n.model AND b = n.other AND score >= 90 JOIN price p ON p.make = n.make AND p.model = n.other),
+    ea AS (SELECT *, max(CAST(ly = year AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM ca), fa AS (SELECT * EXCLUDE ok, max(CAST(lf = fuel AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM ea WHERE ok = 0 OR ly = year),
+    ga AS (SELECT * EXCLUDE ok, max(CAST(lp = power AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM fa WHERE ok = 0 OR lf = fuel), ha AS (SELECT *, len(list_intersect(string_split(lt, ' '), string_split(text, ' '))) AS o FROM ga WHERE ok = 0 OR lp = power),
+    done AS (SELECT DISTINCT lot_id FROM ha WHERE o > 0),
+    rest AS (SELECT * FROM lot WHERE lot_id NOT IN (SELECT lot_id FROM done)),
+    cb AS (
+        SELECT 'BRAND' AS stage, l.lot_id, l.year AS ly, l.fuel AS lf, l.power AS lp, l.text AS lt, p.* FROM rest l JOIN price p ON l.make = p.make
+        WHERE CASE WHEN (l.make, l.model) IN (SELECT (make, model) FROM near) THEN (l.make, l.model, p.price_id) IN (SELECT (make, model, price_id) FROM near WHERE i <= 3) ELSE true END
+    ), eb AS (SELECT *, max(CAST(ly = year AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM cb), fb AS (SELECT * EXCLUDE ok, max(CAST(lf = fuel AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM eb WHERE ok = 0 OR ly = year),
+    gb AS (SELECT * EXCLUDE ok, max(CAST(lp = power AS INTEGER)) OVER (PARTITION BY lot_id) AS ok FROM fb WHERE ok = 0 OR lf = fuel), hb AS (SELECT *, len(list_intersect(string_split(lt, ' '), string_split(text, ' '))) AS o FROM gb WHERE ok = 0 OR lp = power),
+    h AS (SELECT * FROM ha WHERE o > 0 UNION ALL SELECT * FROM hb WHERE o > 0),
+    r AS (SELECT h.*, CAST(contains(lt, text) OR contains(text, lt) AS INTEGER) AS hit, round(score, 4) AS fuzzy FROM h JOIN alike ON whole AND a = lt AND b = text),
+    q AS (SELECT *, row_number() OVER (PARTITION BY lot_id ORDER BY o DESC, hit DESC, fuzzy DESC, price_id) AS n FROM r),
+    z AS (SELECT *, row_number() OVER (PARTITION BY lot_id ORDER BY CASE WHEN ok = 0 AND n <= 3 THEN 0 ELSE 1 END, CASE WHEN ok = 0 AND n <= 3 THEN abs(power - lp) END, n) AS rank FROM q)
+    SELECT lot_id, CAST(rank AS INTEGER) AS cand_rank, price_id, price, stage, CAST(o AS INTEGER) AS token_overlap, array_to_string(list_sort(list_intersect(string_split(lt, ' '), string_split(text, ' '))), ' ') AS terms, hit AS substring_hit, fuzzy,
+        CASE WHEN rank = 1 THEN 'selected' ELSE 'candidate' END AS decision
+    FROM z WHERE rank <= 5
+    UNION ALL SELECT lot_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'unmatched' FROM lot WHERE lot_id NOT IN (SELECT lot_id FROM z)
+"""
+
+
+def linkage_audit(spark, sf_dir):
+    """The best candidates of each lot over all line items: strict keys, likest models, whole makes."""
+    p = table(spark, sf_dir, "part")
+    prices = p.select(
+        F.col("p_partkey").cast("string").alias("price_id"), F.col("p_brand").alias("make"), F.col("p_type").alias("model"), F.expr("p_size % 7 + 1992").alias("year"), F.expr(_FUEL).alias("fuel"), F.expr("CAST(p_size % 20 * 10 AS DOUBLE)").alias("power"),
+        F.expr(_PRICE_TEXT).alias("text"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.col("p_retailprice").alias("price"),
+    )
+    keys = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", F.year("l_shipdate").alias("y")).distinct()
+    lots = keys.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat_ws("-", "l_partkey", "l_returnflag", "y").alias("lot_id"), F.col("p_brand").alias("make"), F.expr(_LOT_MODEL).alias("model"), F.col("y").alias("year"), F.col("l_returnflag").alias("fuel"), F.expr("CAST(p_size % 23 * 10 AS DOUBLE)").alias("power"), F.expr(_LOT_TEXT).alias("text")
+    )
+    return linkage.match(lots, prices)[1]
+
+
+QUERIES = {f.__name__: f for f in (model_names, linkage_audit)}
+ORACLE_SQL = {"model_names": _FUSION_SQL, "linkage_audit": _AUDIT_SQL}

@@ -512,13 +512,13 @@ def _versions(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     make, model = F.col("p_brand"), F.col("p_type")
     prices = p.select(F.col("p_partkey").cast("string").alias("price_id"), make.alias("make"), model.alias("model"), (F.col("p_size") + 1990).alias("year"), F.lit("x").alias("fuel"), F.col("p_size").cast("double").alias("power"), F.col("p_name").alias("text"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.col("p_retailprice").alias("price"))
-    rows = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_partkey", F.year("l_shipdate").alias("year")).distinct().join(p, F.col("l_partkey") == F.col("p_partkey"))
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year")).distinct().join(p, F.col("l_partkey") == F.col("p_partkey"))
     lots_ = rows.select(F.concat_ws("-", "l_partkey", "year").alias("lot_id"), make.alias("make"), model.alias("model"), "year", F.lit("x").alias("fuel"), F.col("p_size").cast("double").alias("power"), F.col("p_name").alias("text"))
     return lots_, prices
 
 
 @query("""
-    WITH lot AS (SELECT DISTINCT concat_ws('-', l_partkey, year(l_shipdate)) AS lot_id, p_brand, p_type, year(l_shipdate) AS y, p_size AS pw, p_name AS t FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1),
+    WITH lot AS (SELECT DISTINCT concat_ws('-', l_partkey, year(l_shipdate)) AS lot_id, p_brand, p_type, year(l_shipdate) AS y, p_size AS pw, p_name AS t FROM lineitem JOIN part ON l_partkey = p_partkey),
     c AS (SELECT lot.*, q.p_size + 1990 AS qy, q.p_size AS qpw, q.p_name AS qt FROM lot JOIN part q ON lot.p_brand = q.p_brand AND lot.p_type = q.p_type),
     a AS (SELECT *, max(CAST(y = qy AS INTEGER)) OVER (PARTITION BY lot_id) AS any_y FROM c), b AS (SELECT * FROM a WHERE any_y = 0 OR y = qy OR (y < 2013 AND any_y = 0)),
     d AS (SELECT *, max(CAST(pw = qpw AS INTEGER)) OVER (PARTITION BY lot_id) AS any_p FROM b), e AS (SELECT * FROM d WHERE any_p = 0 OR pw = qpw),
@@ -533,11 +533,6 @@ def linkage_strict(spark, sf_dir):
     return best.select("lot_id", F.coalesce(strict, F.lit(False)).alias("strict"), F.when(strict, F.col("token_overlap")).otherwise(0).cast("int").alias("most_words"))
 
 
-@query()
-def linkage_audit(spark, sf_dir):
-    return linkage.match(*_versions(spark, sf_dir))[1]
-
-
 # --- text, labels, pages, records -----------------------------------------------------------------------------------
 
 
@@ -862,7 +857,7 @@ def listing_filters(spark, sf_dir):
     return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")
 
 
-# --- model names ----------------------------------------------------------------------------------------------------
+# --- model names and linkage ----------------------------------------------------------------------------------------
 
 QUERIES.update(model_queries.QUERIES)
 ORACLE_SQL.update(model_queries.ORACLE_SQL)
