@@ -11,27 +11,26 @@ from lotwise.functions.text import blank_to_null, lower_key, plain_lower, upper_
 
 # Fuel labels after folding, by canonical fuel.
 FUELS = {
-    "electric": "bev electric electrico electrica ev elc",
-    "phev": "phev phevpetrol dye gye",
-    "hev": "hev hevdiesel hevpetrol hybrid hibrido hibrida mhevpetrol",
-    "diesel": "diesel mhevdiesel d",
-    "petrol": "petrol gasolina gasolina95 gasolina98 flexfuel cngpetrol g petrolethanol",
-    "cng": "cng gnc gnl m",
-    "lpg": "lpg glp s",
-    "hydrogen": "hydrogen h2 hidrogeno",
+    "electric": ("bev", "electric", "electrico", "electrica", "ev", "elc"),
+    "phev": ("phev", "phevpetrol", "diesel y electrico", "gasolina y electrico", "dye", "gye"),
+    "hev": ("hev", "hevdiesel", "hevpetrol", "hybrid", "hibrido", "hibrida", "mhevpetrol"),
+    "diesel": ("diesel", "mhevdiesel", "d"),
+    "petrol": ("petrol", "gasolina", "gasolina95", "gasolina98", "flexfuel", "cngpetrol", "g", "petrolethanol"),
+    "cng": ("cng", "gnc", "gnl", "m"),
+    "lpg": ("lpg", "glp", "s"),
+    "hydrogen": ("hydrogen", "h2", "hidrogeno"),
 }
-FUEL_PHRASES = {"diesel y electrico": "phev", "gasolina y electrico": "phev"}
 
-# Short labels of the ranking tables.
+# Labels of the ranking tables in upper case, accents as they are written, by short label.
 FUEL_CODES = {
-    "BEV": "ELECTRICO ELECTRIC BEV EV",
-    "PHEV": "PHEV HIBRIDO_ENCHUFABLE",
-    "HEV": "HEV HIBRIDO HYBRID",
-    "MHEV": "MHEV",
-    "GLP": "GLP LPG",
-    "GNC": "GNC CNG",
-    "ICE": "GASOLINA PETROL DIESEL ICE",
-    "FCEV": "HIDROGENO HYDROGEN FCEV H2",
+    "BEV": ("ELECTRICO", "ELÉCTRICO", "EV", "BEV"),
+    "HEV": ("HIBRIDO", "HÍBRIDO", "HEV"),
+    "PHEV": ("HÍBRIDO ENCHUFABLE", "HIBRIDO ENCHUFABLE", "PHEV"),
+    "MHEV": ("MHEV",),
+    "GLP": ("GLP",),
+    "GNC": ("GNC",),
+    "ICE": ("GASOLINA", "DIESEL", "DIÉSEL", "GASÓLEO", "ICE"),
+    "FCEV": ("HIDROGENO", "HIDRÓGENO", "FCEV"),
 }
 
 
@@ -42,13 +41,13 @@ def lookup(key: Column, values: dict, default: Column | None = None) -> Column:
     return found if default is None else F.coalesce(found, default)
 
 
-def _inverted(groups: dict[str, str]) -> dict[str, str]:
-    return {word: name for name, words in groups.items() for word in words.split()}
+def _inverted(groups: dict[str, tuple[str, ...]]) -> dict[str, str]:
+    return {word: name for name, words in groups.items() for word in words}
 
 
 def fuel(c: Column) -> Column:
     """Canonical fuel; ``unknown`` for null and for labels without one."""
-    return lookup(F.lower(upper_key(c)), _inverted(FUELS) | FUEL_PHRASES, F.lit("unknown"))
+    return lookup(F.lower(upper_key(c)), _inverted(FUELS), F.lit("unknown"))
 
 
 def fuel_aliased(c: Column, aliases: dict[str, str]) -> Column:
@@ -71,7 +70,8 @@ def fuel_label(c: Column) -> Column:
 
 
 def fuel_code(c: Column) -> Column:
-    return lookup(F.regexp_replace(upper_key(c), " ", "_"), _inverted(FUEL_CODES), F.lit("OTROS"))
+    """Short label of a fuel in upper case; OTROS for null and for all others."""
+    return lookup(F.upper(F.trim(c)), _inverted(FUEL_CODES), F.lit("OTROS"))
 
 
 def fuel_bucket(c: Column) -> Column:

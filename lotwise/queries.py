@@ -652,12 +652,10 @@ def listing_layout(spark, sf_dir):
 
 # --- canonical labels -----------------------------------------------------------------------------------------------
 
-# Labels as they come, with what each has to become: fuel, label, code, bucket, whether electric.
+# Labels as they come.
 _FUEL_LABELS = [
-    ("Eléctrico", "electric", "BEV", "BEV", "BEV", False), ("BEV", "electric", "BEV", "BEV", "BEV", True), (" electric ", "electric", "BEV", "BEV", "OTROS", True), ("Diésel", "diesel", "DIESEL", "ICE", "DIESEL", False), ("DIESEL", "diesel", "DIESEL", "ICE", "DIESEL", False),
-    ("Gasolina 95", "unknown", "GASOLINA", "OTROS", "GASOLINA", False), ("gasolina", "petrol", "GASOLINA", "ICE", "GASOLINA", False), ("Petrol", "petrol", "PETROL", "ICE", "GASOLINA", False), ("PHEV", "phev", "PHEV", "PHEV", "PHEV", False), ("Híbrido enchufable", "unknown", "PHEV", "PHEV", "HEV", False),
-    ("Hibrido", "hev", "HEV", "HEV", "HEV", False), ("MHEV", "unknown", "MHEV", "MHEV", "HEV", False), ("GLP", "lpg", "GLP", "GLP", "OTROS", False), ("GNC", "cng", "GNC", "GNC", "OTROS", False), ("Hidrógeno", "hydrogen", "HIDRÓGENO", "FCEV", "OTROS", False), ("steam", "unknown", "STEAM", "OTROS", "OTROS", False),
-    ("gasolina y eléctrico", "phev", "BEV", "OTROS", "BEV", False), ("", "unknown", "", "OTROS", "OTROS", False),
+    "Eléctrico", "BEV", " electric ", "Diésel", "DIESEL", "Gasóleo", "gasoleo", "Gasolina 95", "gasolina", "Petrol", "PHEV", "Híbrido enchufable", "Hibrido", "Hybrid", "MHEV", "GLP", "LPG", "GNC", "CNG", "Hidrógeno", "H2", "Hydrogen", "ICE", "FCEV",
+    "steam", "gasolina y eléctrico", "Plug-in Hybrid", "Benzina", "",
 ]
 
 
@@ -670,35 +668,48 @@ def _pick_sql(number: str, values) -> str:
     return f"[{', '.join(_sql_value(v) for v in values)}][1 + {number} % {len(values)}]"
 
 
-def _values_sql(name: str, columns: str, rows) -> str:
-    return f"{name}({columns}) AS (VALUES " + ", ".join("(" + ", ".join(map(_sql_value, r)) + ")" for r in rows) + ")"
-
-
 @query(f"""
-    WITH {_values_sql("want", "raw, fuel, label, code, bucket, electric", _FUEL_LABELS)}, o AS (SELECT {_pick_sql("o_orderkey", [r[0] for r in _FUEL_LABELS])} AS raw, count(*) AS n FROM orders GROUP BY 1)
-    SELECT raw, fuel, label, code, bucket, CAST(electric AS BOOLEAN) AS electric, n FROM o JOIN want USING (raw)
+    WITH o AS (SELECT {_pick_sql("o_orderkey", _FUEL_LABELS)} AS raw, count(*) AS n FROM orders GROUP BY 1),
+    k AS (SELECT *, lower(trim(raw)) AS low, upper(trim(raw)) AS up, upper(strip_accents(trim(raw))) AS folded FROM o), u AS (SELECT *, regexp_replace(folded, '[^A-Z0-9_ ]', '', 'g') AS key FROM k)
+    SELECT raw, n,
+        CASE WHEN lower(key) IN ('bev', 'electric', 'electrico', 'electrica', 'ev', 'elc') THEN 'electric' WHEN lower(key) IN ('phev', 'phevpetrol', 'diesel y electrico', 'gasolina y electrico', 'dye', 'gye') THEN 'phev'
+            WHEN lower(key) IN ('hev', 'hevdiesel', 'hevpetrol', 'hybrid', 'hibrido', 'hibrida', 'mhevpetrol') THEN 'hev' WHEN lower(key) IN ('diesel', 'mhevdiesel', 'd') THEN 'diesel'
+            WHEN lower(key) IN ('petrol', 'gasolina', 'gasolina95', 'gasolina98', 'flexfuel', 'cngpetrol', 'g', 'petrolethanol') THEN 'petrol' WHEN lower(key) IN ('cng', 'gnc', 'gnl', 'm') THEN 'cng' WHEN lower(key) IN ('lpg', 'glp', 's') THEN 'lpg'
+            WHEN lower(key) IN ('hydrogen', 'h2', 'hidrogeno') THEN 'hydrogen' ELSE 'unknown' END AS fuel,
+        CASE WHEN contains(low, 'bev') OR contains(low, 'eléctr') OR contains(low, 'electric') THEN 'BEV' WHEN contains(low, 'diesel') OR contains(low, 'diésel') THEN 'DIESEL' WHEN contains(low, 'gas') AND contains(low, 'lina') THEN 'GASOLINA'
+            WHEN contains(low, 'phev') OR (contains(low, 'híbr') AND contains(low, 'ench')) OR contains(low, 'plug-in') THEN 'PHEV' WHEN contains(low, 'hibr') OR contains(low, 'hybrid') THEN 'HEV' ELSE upper(low) END AS label,
+        CASE WHEN up IN ('ELECTRICO', 'ELÉCTRICO', 'EV', 'BEV') THEN 'BEV' WHEN up IN ('HIBRIDO', 'HÍBRIDO', 'HEV') THEN 'HEV' WHEN up IN ('HÍBRIDO ENCHUFABLE', 'HIBRIDO ENCHUFABLE', 'PHEV') THEN 'PHEV' WHEN up IN ('MHEV', 'GLP', 'GNC') THEN up
+            WHEN up IN ('GASOLINA', 'DIESEL', 'DIÉSEL', 'GASÓLEO', 'ICE') THEN 'ICE' WHEN up IN ('HIDROGENO', 'HIDRÓGENO', 'FCEV') THEN 'FCEV' ELSE 'OTROS' END AS code,
+        CASE WHEN regexp_matches(key, 'PHEV|PLUG') THEN 'PHEV' WHEN regexp_matches(key, 'HEV|HIBRIDO|MHEV') THEN 'HEV' WHEN regexp_matches(key, 'ELECTRICO|EV|BEV') THEN 'BEV' WHEN regexp_matches(key, 'DIESEL|GASOIL') THEN 'DIESEL'
+            WHEN regexp_matches(key, 'GASOLINA|PETROL|BENZINA') THEN 'GASOLINA' ELSE 'OTROS' END AS bucket,
+        lower(folded) IN ('electric', 'ev', 'bev') AS electric
+    FROM u
 """)
 def fuel_labels(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").groupBy(_pick(F.col("o_orderkey"), [r[0] for r in _FUEL_LABELS]).alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    rows = table(spark, sf_dir, "orders").groupBy(_pick(F.col("o_orderkey"), _FUEL_LABELS).alias("raw")).agg(F.count(F.lit(1)).alias("n"))
     raw = F.col("raw")
     return rows.select("raw", canon.fuel(raw).alias("fuel"), canon.fuel_label(raw).alias("label"), canon.fuel_code(raw).alias("code"), canon.fuel_bucket(raw).alias("bucket"), canon.is_electric(raw).alias("electric"), "n")
 
 
-# Gearbox, body, region, auction and sale status as they come, with what each has to become.
-_LISTING_LABELS = [
-    ("Automático", "automatic", "Range Estate", "suv", "Barcelona", "BCN", "Online Sale", "Online", "Sold", True), ("manual 6v", "manual", "Furgón", "lcv", "Cataluña", "CAT", " Ayvens ", " Ayvens ", "not sold", False),
-    ("CVT", "cvt", "Sedan", "passenger_car", "España", "ESP", "bca madrid", "BCA", "Vendido", True), (" AUTO ", "automatic", "Pickup", "lcv", "total nacional", "ESP", "", "Otros", "Sale ended", True),
-    ("MANUAL", "manual", "Touring wagon", "suv", "Aragón", "ARAGON", "Digital", "Online", "no vendido", False),
-]
+# Gearbox, body, region, auction and sale status as they come, each in a turn of its own length.
+_LISTING_LABELS = (
+    ["Automático", "manual 6v", "CVT", " AUTO ", "MANUAL"], ["Range Estate", "Furgón", "Sedan", "Pickup", "Touring wagon", "Allroad SUV", "chassis cab"], ["Barcelona", "Cataluña", "España", "total nacional", "Aragón", "bcn", "prov. Barcelona"],
+    ["Online Sale", " Ayvens ", "bca madrid", "", "Digital", "BCA Madrid"], ["Sold", "not sold", "Vendido", "Sale ended", "no vendido", "closed", "unsold", "open", " SOLD "],
+)
 
 
 @query(f"""
-    WITH {_values_sql("want", "box, gearbox, style, body, area, region, auction_raw, auction, status, sold", _LISTING_LABELS)}, o AS (SELECT {_pick_sql("o_orderkey", [r[0] for r in _LISTING_LABELS])} AS box, count(*) AS n FROM orders GROUP BY 1)
-    SELECT box, gearbox, body, region, trim(auction) AS auction, CAST(sold AS BOOLEAN) AS sold, status = 'Sold' AS sold_exact, n FROM o JOIN want USING (box)
+    WITH o AS (SELECT {", ".join(f"{_pick_sql('o_orderkey', values)} AS {name}" for name, values in zip(("box", "style", "area", "sale", "status"), _LISTING_LABELS))} FROM orders),
+    k AS (SELECT box, lower(strip_accents(trim(box))) AS b, lower(strip_accents(style)) AS s, upper(strip_accents(trim(area))) AS a, sale, trim(lower(sale)) AS l, lower(trim(status)) AS t FROM o),
+    f AS (SELECT box, CASE WHEN contains(b, 'auto') THEN 'automatic' WHEN contains(b, 'man') THEN 'manual' ELSE b END AS gearbox,
+            CASE WHEN regexp_matches(s, 'suv|estate|station|touring|allroad') THEN 'suv' WHEN regexp_matches(s, 'van|furg|lcv|box|chasis|chassis|pickup|transporter') THEN 'lcv' ELSE 'passenger_car' END AS body,
+            CASE WHEN a = 'BCN' OR contains(a, 'BARCELONA') THEN 'BCN' WHEN a = 'CAT' OR contains(a, 'CATAL') THEN 'CAT' WHEN contains(a, 'ESP') OR contains(a, 'NACIO') OR contains(a, 'TOTAL') THEN 'ESP' ELSE a END AS region,
+            CASE WHEN l = 'bca madrid' THEN 'BCA' WHEN contains(l, 'online') OR contains(l, 'digital') THEN 'Online' WHEN l = '' THEN 'Otros' ELSE trim(sale) END AS auction,
+            (contains(t, 'sold') OR contains(t, 'vendido') OR contains(t, 'sale ended') OR contains(t, 'closed')) AND t NOT IN ('not sold', 'no vendido', 'unsold') AS sold, t = 'sold' AS sold_exact FROM k)
+    SELECT *, count(*) AS n FROM f GROUP BY ALL
 """)
 def listing_labels(spark, sf_dir):
-    at = lambda i: _pick(F.col("o_orderkey"), [r[i] for r in _LISTING_LABELS])
-    rows = table(spark, sf_dir, "orders").select(at(0).alias("box"), at(2).alias("style"), at(4).alias("area"), at(6).alias("sale"), at(8).alias("status"))
+    rows = table(spark, sf_dir, "orders").select(*(_pick(F.col("o_orderkey"), values).alias(name) for name, values in zip(("box", "style", "area", "sale", "status"), _LISTING_LABELS)))
     c = F.col
     found = rows.select("box", canon.gearbox(text.fold(c("box"))).alias("gearbox"), canon.body_category(c("style")).alias("body"), canon.region_code(c("area")).alias("region"), F.trim(canon.auction(c("sale"), {"BCA Madrid": "BCA"})).alias("auction"), canon.sold(c("status")).alias("sold"), canon.sold_exact(c("status")).alias("sold_exact"))
     return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
