@@ -52,16 +52,27 @@ def in_groups(df: DataFrame, keys: list[str], least: int) -> DataFrame:
     return df.withColumn("group_size", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("group_size") >= least)
 
 
+def _dealt(df: DataFrame, missing: Column) -> Column:
+    """Null for rows with a key; for those without one a number of their content, so that they don't meet in one task."""
+    plain = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.when(missing, F.xxhash64(*plain))
+
+
 def repeats(df: DataFrame, key: str, out: str = "n_apariciones") -> DataFrame:
     """``df`` with how often the key occurs; rows without a key count as single."""
-    counted = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(1)).otherwise(counted).cast("long"))
+    missing = F.col(key).isNull()
+    counted = F.count(F.lit(1)).over(Window.partitionBy(key, _dealt(df, missing)))
+    return df.withColumn(out, F.when(missing, F.lit(1)).otherwise(counted).cast("long"))
 
 
 def latest(df: DataFrame, key: str, order: list[Column], blank: bool = True) -> DataFrame:
-    """The last row of each key by the order; rows whose key is null or blank all stay."""
+    """The last row of each key by the order; rows whose key is null or blank all stay.
+
+    Without ``blank`` null and blank keys are keys like others.
+    """
     missing = F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == "")
-    ranked = df.withColumn("__i", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    parts = [key, _dealt(df, missing)] if blank else [key]
+    ranked = df.withColumn("__i", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
     keep = (F.col("__i") == 1) | missing if blank else F.col("__i") == 1
     return ranked.where(keep).drop("__i")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from lotwise.functions import canon, numbers, text, web
 from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
+from lotwise.session import shared_folder
+from lotwise.streaming import ingest, latest
 from lotwise.views import LOTS_SQL, MARKET_SQL, REGIONAL_SQL, lots, market as market_rows, regional, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -868,6 +871,22 @@ def listing_filters(spark, sf_dir):
     return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")
 
 
+# --- streams --------------------------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM events) WHERE i = 1
+""")
+def stream_latest_events(spark, sf_dir):
+    """All events as a stream of six files, a batch each: keyed state gives the changes, folded to the latest row of each user."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events")
+    events.repartitionByRange(6, "event_id").write.parquet(f"{root}/in")
+    stream = latest.latest_changes(ingest.new_files(spark, f"{root}/in", events.schema, per_run=1), ["user_id"], ["ts", "event_id"])
+    stream.writeStream.option("checkpointLocation", f"{root}/mark").trigger(availableNow=True).outputMode("update").foreachBatch(latest.changes_to(f"{root}/out")).start().awaitTermination()
+    return latest.folded(spark.read.parquet(f"{root}/out"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
+
+
 # --- model names and linkage ----------------------------------------------------------------------------------------
 
 QUERIES.update(model_queries.QUERIES)

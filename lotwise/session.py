@@ -24,15 +24,18 @@ def session(app: str = "lotwise", master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint, for what several parts of a plan read.
-
-    It goes to the folder that ``spark.checkpoint.dir`` names; a folder of this machine is made only where driver and executors are one process.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; one of this machine's is made only where driver and executors are one process."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint, for what several parts of a plan read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

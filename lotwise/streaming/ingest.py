@@ -1,10 +1,10 @@
-"""Incremental ingestion with Structured Streaming: new files once, latest rows by key, period changes, retries."""
+"""Incremental ingestion with Structured Streaming: new files once, rolling months, period changes, retries. Latest rows by key are in ``latest``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,25 +33,6 @@ def append_to(path: str, partition: list[str] = ()) -> Callable[[DataFrame, int]
     return sink
 
 
-def latest_rows(batch: DataFrame, state: DataFrame | None, key: str, order: list[str]) -> DataFrame:
-    """The newest row of each key of a batch and what was there before; rows without a key are all kept."""
-    rows = batch if state is None else state.unionByName(batch, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(*(F.desc_nulls_last(c) for c in order))
-    return rows.withColumn("__i", F.row_number().over(w)).where((F.col("__i") == 1) | F.col(key).isNull()).drop("__i")
-
-
-def upsert_to(spark: SparkSession, path: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the latest row of each key, in generations: a batch reads the one before and writes its own."""
-
-    def sink(batch: DataFrame, number: int) -> None:
-        old = None
-        if number > 0:
-            old = spark.read.parquet(f"{path}/generation={number - 1}")
-        latest_rows(batch, old, key, order).write.mode("overwrite").parquet(f"{path}/generation={number}")
-
-    return sink
-
-
 def rolling(df: DataFrame, months: int, period: str = "yyyymm") -> DataFrame:
     """Rows of the last months, counted back from the last one there is."""
     last = df.agg(add_months(F.max(period), 1 - months).alias("__from"))

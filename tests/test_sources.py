@@ -80,13 +80,12 @@ def test_files_are_ingested_once(spark, tmp_path):
     schema = "k int, v string, t int"
     write = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
     write([(1, "a", 1), (2, "b", 1)])
-    run = lambda: ingest.drain(ingest.new_files(spark, source, schema), mark, ingest.upsert_to(spark, sink, "k", ["t"]))
+    run = lambda: ingest.drain(ingest.new_files(spark, source, schema), mark, ingest.append_to(sink))
     run()
     write([(1, "c", 2), (3, "d", 2)])
     run()
-    latest = spark.read.parquet(f"{sink}/generation=1")
-    assert sorted((r["k"], r["v"]) for r in latest.collect()) == [(1, "c"), (2, "b"), (3, "d")]
     run()
+    assert sorted((r["k"], r["v"], r["batch"]) for r in spark.read.parquet(sink).collect()) == [(1, "a", 0), (1, "c", 1), (2, "b", 0), (3, "d", 1)]
 
 
 def test_small_stream_operators(spark):
