@@ -12,6 +12,7 @@ from lotwise.functions import canon, numbers, text, web
 from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.session import shared_folder
+from lotwise.sources import transfers as transfer_files
 from lotwise.streaming import ingest, latest
 from lotwise.views import LOTS_SQL, MARKET_SQL, REGIONAL_SQL, lots, market as market_rows, regional, table
 
@@ -871,6 +872,36 @@ def listing_filters(spark, sf_dir):
     return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")
 
 
+# --- transfer files -------------------------------------------------------------------------------------------------
+
+
+@query(r"""
+    WITH r AS (SELECT strftime(l_shipdate, '%d/%m/%Y') AS fecha_mat, 'M' || replace(p_brand, 'Brand#', '') AS marca, upper(p_type) AS modelo, upper(p_type || ' ' || p_name) AS submodelo, year(l_shipdate) AS y,
+        l_linenumber % 2 = 0 AS masked, l_partkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 'GASOLINA' WHEN 'N' THEN 'DIESEL' ELSE 'ELECTRICO' END AS fuel, lpad(CAST(l_suppkey % 52 + 1 AS VARCHAR), 2, '0') AS province
+        FROM lineitem JOIN part ON l_partkey = p_partkey)
+    SELECT fecha_mat, marca, modelo, submodelo, CASE WHEN masked THEN 'V' || lpad(CAST(l_partkey AS VARCHAR), 10, '0') || '***********' ELSE '1V' || lpad(CAST(l_partkey AS VARCHAR), 16, '0') END AS vin, fuel AS combustible, province || '001' AS codigo_ine,
+        CASE WHEN l_linenumber % 3 = 0 THEN 'TURISMO' ELSE 'FURGONETA' END AS tipo_vehiculo, CASE WHEN masked THEN '2025-03' ELSE '2024-12' END AS transmision, 2025 - y AS antiguedad_anios, province AS codigo_provincia, count(*) AS n
+    FROM r GROUP BY ALL
+""")
+def transfer_records(spark, sf_dir):
+    """Line items written as transfer files of both layouts, and their records read back."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    fuel = F.when(F.col("l_returnflag") == "A", "GASOLINA").when(F.col("l_returnflag") == "N", "DIESEL").otherwise("ELECTRICO")
+    masked = F.col("l_linenumber") % 2 == 0
+    key = F.col("l_partkey").cast("string")
+    rows = rows.select(
+        masked.alias("masked"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("fecha_mat"), F.concat(F.lit("M"), F.replace("p_brand", F.lit("Brand#"), F.lit(""))).alias("marca"), F.upper(F.concat_ws(" ", "p_type", "p_name")).alias("submodelo"),
+        F.when(masked, F.concat(F.lit("V"), F.lpad(key, 10, "0"))).otherwise(F.concat(F.lit("1V"), F.lpad(key, 16, "0"))).alias("vin"), F.when(F.col("l_linenumber") % 3 == 0, "TURISMO").otherwise("FURGONETA").alias("tipo_vehiculo"), fuel.alias("combustible"),
+        F.concat(F.lpad((F.col("l_suppkey") % 52 + 1).cast("string"), 2, "0"), F.lit("001")).alias("codigo_ine"), F.lit("LOCALIDAD").alias("localidad"),
+    )
+    root = f"{shared_folder(spark)}/transfers-{uuid.uuid4().hex}"
+    for month, is_masked in (("202412", False), ("202503", True)):
+        transfer_files.as_lines(rows.where(F.col("masked") == is_masked), is_masked).write.text(f"{root}/transmisiones_{month}")
+    found = transfer_files.records(transfer_files.lines(spark, root, "folder"), 2025)
+    keys = ["fecha_mat", "marca", "modelo", "submodelo", "vin", "combustible", "codigo_ine", "tipo_vehiculo", "transmision", "antiguedad_anios", "codigo_provincia"]
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- streams --------------------------------------------------------------------------------------------------------
 
 

@@ -11,8 +11,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions.canon import registry_fuel, registry_type
-from lotwise.functions.numbers import age_in, padded_code, parse_date, period_in_name
+from lotwise.functions.numbers import period_in_name
 from lotwise.functions.web import sorted_url
 from lotwise.operators.lookup import first_of
 
@@ -165,33 +164,6 @@ def preamble(spark: SparkSession, path: str, header: list[str], sep: str = ",")
     return body.select(*(F.nullif(F.trim(F.regexp_replace(F.get(cells, F.lit(i)), '^"|"$', "")), F.lit("")).alias(c) for i, c in enumerate(names)))
 
 
-#: Places of the fields in a registration record: name, first character (from 1), length.
-RECORD = (
-    ("fecha_mat", 1, 8), ("marca", 18, 30), ("modelo", 48, 22), ("vin", 71, 21), ("tipo", 92, 2), ("combustible", 94, 1), ("codigo_ine", 129, 5), ("localidad", 134, 24), ("provincia", 158, 20),
-)
-
-
-def transfer_records(lines: DataFrame, file_name: str, as_of: int, layout: tuple = RECORD, column: str = "value") -> DataFrame:
-    """Registration records from fixed places of a line; lines too short for them drop out.
-
-    Date (ddmmyyyy), place code, labels of fuel and type, the province code, the age at an explicit year, and
-    whether the row has what later joins need.
-    """
-    c = F.col(column)
-    field = {name: F.nullif(F.trim(F.substring(c, start, size)), F.lit("")) for name, start, size in layout}
-    date = F.try_to_date(field["fecha_mat"], "ddMMyyyy")
-    code = padded_code(field["codigo_ine"], 5)
-    kind_ = F.when(F.lit("import" in file_name.lower()), "importacion").otherwise("transmision")
-    out = lines.where(F.length(c) >= max(s + n - 1 for _, s, n in layout if n)).select(
-        F.date_format(date, "dd/MM/yyyy").alias("fecha_mat"), field["marca"].alias("marca"), field["modelo"].alias("modelo"), field["vin"].alias("vin"),
-        registry_fuel(field["combustible"]).alias("combustible"), registry_type(field["tipo"]).alias("tipo_vehiculo"), code.alias("codigo_ine"),
-        field["localidad"].alias("localidad"), field["provincia"].alias("provincia"), kind_.alias("transmision"), F.year(date).alias("año_mat"), F.month(date).alias("mes_mat"), F.lit(file_name).alias("nombre_archivo"),
-    )
-    age = age_in(as_of, F.col("año_mat")).cast("double")
-    useful = F.col("marca").isNotNull() & F.col("modelo").isNotNull() & F.col("codigo_ine").isNotNull() & F.col("año_mat").isNotNull()
-    return out.withColumn("antiguedad_anios", age).withColumn("codigo_provincia", F.substring("codigo_ine", 1, 2)).withColumn("es_cruzable", useful)
-
-
 def merged_exports(exports: list[DataFrame], fallback: DataFrame | None, link: str = "link", lot: str = "lot_number") -> DataFrame:
     """Exports and fall-back links in one table, each lot once by its sorted address, exports first."""
     frames = [*exports, *([fallback] if fallback is not None else [])]

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.sources import readers
+from lotwise.sources import readers, transfers
 from lotwise.streaming import ingest
 
 
@@ -35,17 +35,55 @@ def test_months(spark, tmp_path):
         readers.raw_only(["x/agg_2024.parquet"])
 
 
+OLD = "05042019 SEAT IBIZA 1.4 TDI 1VSSZZZ6JZ9R123456  401 x B0008019BARCELONA  y"
+NEW = "17012025 MERCEDES C 220 D WDD20400112***********402 B0028079MADRID"
+
+
 def test_archives_and_records(spark, tmp_path):
-    line = list(" " * 180)
-    for name, start, _ in readers.RECORD:
-        value = {"fecha_mat": "05042019", "marca": "SEAT", "modelo": "IBIZA", "vin": "V1", "tipo": "40", "combustible": "1", "codigo_ine": "08019", "localidad": "BARCELONA", "provincia": "BARCELONA"}[name]
-        line[start - 1 : start - 1 + len(value)] = value
     with zipfile.ZipFile(tmp_path / "m_202403.zip", "w") as z:
-        z.writestr("r.txt", "".join(line) + "\nshort\n")
+        z.writestr("r.txt", OLD + "\nshort\n")
     lines = readers.zipped_lines(spark, str(tmp_path))
     assert lines.count() == 2
-    r = readers.transfer_records(lines.select(F.col("line").alias("value")), "m_202403.zip", 2024).collect()
-    assert len(r) == 1 and (r[0]["marca"], r[0]["combustible"], r[0]["tipo_vehiculo"], r[0]["antiguedad_anios"], r[0]["es_cruzable"], r[0]["codigo_provincia"]) == ("SEAT", "Diesel", "Turismo", 5.0, True, "08")
+    r = transfers.records(lines, 2024, "line", "path").collect()
+    assert len(r) == 1 and (r[0]["marca"], r[0]["combustible"], r[0]["tipo_vehiculo"], r[0]["antiguedad_anios"], r[0]["es_cruzable"], r[0]["codigo_provincia"], r[0]["transmision"]) == ("SEAT", "DIESEL", "TURISMO", 5, True, "08", "2024-03")
+
+
+def test_transfer_lines_of_both_layouts(spark, tmp_path):
+    (tmp_path / "transmisiones_202412.txt").write_text("\n".join([OLD, "", "   ", "no vehicle number SEAT", NEW, "99999999 LAND ROVER DISCOVERY SPORT 2SALCA2BN0FH12345X 016", "01012020 MERCEDES-BENZ CLASE A 1WDD1760121J00000X  907 A0000000AB", "02022020 LAND CRUISER 1JTEBR3FJ20K00000X 3009 B1801234PALMA DE x", "1JTEBR3FJ20K00000X 300"]))
+    (tmp_path / "transmisiones_202501.txt").write_text("\n".join([NEW, OLD, "17012025 BMW BMW X 3 WBAPW123456***********4A2 B2228079MADRID", "17012025 MERCEDES BENZ VITO WDD20400112*************R12"]))
+    found = transfers.records(transfers.lines(spark, str(tmp_path)), 2025)
+    assert found.schema.simpleString() == spark.createDataFrame([], transfers.COLUMNS).schema.simpleString()
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r["transmision"], r["vin"]): r for r in found.collect()}
+    want = {
+        ("2024-12", "1VSSZZZ6JZ9R123456"): ("05/04/2019", "SEAT", "IBIZA", "IBIZA 1.4 TDI", "DIESEL", "08019", "BARCELONA", "BARCELONA", "TURISMO", 6),
+        ("2024-12", "2SALCA2BN0FH12345X"): (None, "LAND ROVER", "DISCOVERY", "DISCOVERY SPORT", "GLP", None, None, None, "CAMIÓN", None),
+        ("2024-12", "1WDD1760121J00000X"): ("01/01/2020", "MERCEDES-BENZ", "CLASE", "CLASE A", "GNC", None, None, None, "CICLOMOTOR DE 2 RUEDAS", 5),
+        ("2024-12", "1JTEBR3FJ20K00000X"): ("02/02/2020", "LAND", "CRUISER", "CRUISER", "GASOLINA", "01234", "PALMA", "ÁLAVA", "TODO TERRENO", 5),
+        ("2025-01", "WDD20400112***********"): ("17/01/2025", "MERCEDES-BENZ", "C220", "C 220 D", "ELECTRICO", "28079", "MADRID", "MADRID", "TURISMO", 0),
+        ("2025-01", "WBAPW123456***********"): ("17/01/2025", "BMW", "X3", "X 3", "ELECTRICO", "28079", "MADRID", "MADRID", "DESCONOCIDO", 0),
+        ("2025-01", "WDD20400112*************"): ("17/01/2025", "MERCEDES-BENZ", "VITO", "VITO", None, None, None, None, "REMOLQUE PLATAFORMA", 0),
+    }
+    assert {k: (r["fecha_mat"], r["marca"], r["modelo"], r["submodelo"], r["combustible"], r["codigo_ine"], r["localidad"], r["provincia"], r["tipo_vehiculo"], r["antiguedad_anios"]) for k, r in got.items()} == want
+
+
+def test_transfer_records_are_written_and_read_back(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("05/04/2019", "SEAT", "IBIZA 1.4", "1VSSZZZ6JZ9R123456", "TURISMO", "DIESEL", "08019", "BARCELONA"), (None, "BMW", "X 5", "2VSSZZZ6JZ9R123456", "QUAD", "ELECTRICO", "28079", "MADRID")],
+        "fecha_mat string, marca string, submodelo string, vin string, tipo_vehiculo string, combustible string, codigo_ine string, localidad string",
+    )
+    for folder, masked in (("t_202402", False), ("t_202502", True)):
+        transfers.as_lines(rows, masked).write.text(str(tmp_path / folder))
+    back = transfers.to_parquet(spark, str(tmp_path), str(tmp_path / "out"), 2025, names="folder")
+    assert back.count() == 4 and sorted(r[0] for r in back.select("transmision").distinct().collect()) == ["2024-02", "2025-02"]
+    own = [c for c in rows.columns if c != "vin"]
+    for month in ("2024-02", "2025-02"):
+        assert sorted(map(str, back.where(F.col("transmision") == month).select(*own).collect())) == sorted(map(str, rows.select(*own).collect()))
+    assert sorted(r["vin"] for r in back.where("transmision = '2024-02'").collect()) == ["1VSSZZZ6JZ9R123456", "2VSSZZZ6JZ9R123456"]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "t_202402.txt").write_text("nothing here\n")
+    empty = transfers.to_parquet(spark, str(tmp_path / "none"), str(tmp_path / "empty"), 2025)
+    assert empty.count() == 0 and spark.read.parquet(str(tmp_path / "empty")).columns == empty.columns
 
 
 def test_preamble_and_tree(spark, tmp_path):
