@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions.canon import fuel, fuel_bucket
+from lotwise.functions.canon import fuel, fuel_bucket, lookup
 from lotwise.functions.numbers import add_months, no_nan, padded_code, parse_date, ratio, registration_year, year_of
 from lotwise.functions.text import upper_key
 from lotwise.operators.columns import rename_synonyms, resolve
@@ -130,6 +130,44 @@ def summaries(df: DataFrame, start: int, end: int, place: str | None = None, top
     return out
 
 
+#: Tables of a period with their keys; ``focus`` marks the rows of one place.
+SUMMARIES = {
+    "kpi": (),
+    "rank_marcas": ("marca",),
+    "rank_modelos": ("modelo",),
+    "rank_provincias": ("provincia",),
+    "rank_combustible": ("combustible",),
+    "rank_marcas_focus": ("focus", "marca"),
+    "rank_modelos_focus": ("focus", "modelo"),
+    "mix_comb_prov": ("provincia", "combustible"),
+}
+#: Tables that end after ``top`` rows.
+LEADERS = ("rank_marcas", "rank_modelos", "rank_marcas_focus", "rank_modelos_focus")
+
+
+def summary_set(df: DataFrame, start: int, end: int, place: str, top: int = 20, units: str = "unidades") -> DataFrame:
+    """(tabla, posicion, marca, modelo, provincia, combustible, unidades, share_prov): all summaries of a span of months.
+
+    One scan: units are summed by all keys, and the sums again over one grouping set for each table, told apart
+    by its grouping id, so null keys stay keys. Places are by descending units, ties by the keys, nulls
+    last; leaders end after ``top``. The mix has its share in the province and goes by province, then share.
+    A span without a row gives no rows.
+    """
+    keys = ["marca", "modelo", "provincia", "combustible"]
+    focus = F.coalesce(F.upper(F.trim("provincia")) == place.strip().upper(), F.lit(False))
+    cells = df.where(F.col("yyyymm").between(start, end)).groupBy(*keys).agg(F.sum(units).alias("u")).withColumn("focus", focus)
+    all_keys = [*keys, "focus"]
+    sets = cells.groupingSets([[F.col(k) for k in own] for own in SUMMARIES.values()], *(F.col(k) for k in all_keys)).agg(F.grouping_id(*all_keys).alias("id"), F.sum("u").alias("unidades"))
+    number = {name: sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in own) for name, own in SUMMARIES.items()}
+    tables = sets.withColumn("tabla", lookup(F.col("id"), {v: k for k, v in number.items()})).where(F.coalesce("focus", F.lit(True)))
+    share = F.round(100 * F.try_divide(F.col("unidades"), F.sum("unidades").over(Window.partitionBy("tabla", "provincia"))), 2)
+    tables = tables.withColumn("share_prov", F.when(F.col("tabla") == "mix_comb_prov", share))
+    mixed = F.when(F.col("tabla") == "mix_comb_prov", F.col("provincia"))
+    order = [mixed.asc_nulls_last(), F.desc("share_prov"), F.desc("unidades"), *(F.asc_nulls_last(k) for k in keys)]
+    placed = tables.withColumn("posicion", F.row_number().over(Window.partitionBy("tabla").orderBy(*order)))
+    return placed.where(~F.col("tabla").isin(*LEADERS) | (F.col("posicion") <= top)).select("tabla", "posicion", *keys, "unidades", "share_prov")
+
+
 def support(df: DataFrame, keys: list[str], least: int = 10) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum("unidades").alias("unidades")).withColumn("low_support", F.col("unidades") < least)
 

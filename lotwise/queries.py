@@ -172,6 +172,28 @@ def summary_fuel_mix(spark, sf_dir):
     return _summary("mix")(spark, sf_dir).withColumnRenamed("mix_%", "mix_pct")
 
 
+_RANKED = """SELECT '{0}' AS tabla, row_number() OVER (ORDER BY sum(unidades) DESC, {1}) AS posicion, {2}, sum(unidades) AS unidades, CAST(NULL AS DOUBLE) AS share_prov FROM {3} GROUP BY {1}"""
+
+
+def _ranked_sql(name: str, key: str, rows: str = "s", top: int | None = None) -> str:
+    shown = ", ".join(f"{k if k == key else 'CAST(NULL AS VARCHAR)'} AS {k}" for k in ("marca", "modelo", "provincia", "combustible"))
+    found = _RANKED.format(name, key, shown, rows)
+    return f"SELECT * FROM ({found}) WHERE posicion <= {top}" if top else found
+
+
+@query(f"""
+    {_SPAN}, f AS (SELECT * FROM s WHERE upper(provincia) = 'NATION_6'), m AS (SELECT provincia, combustible, sum(unidades) AS unidades, round(100 * sum(unidades) / sum(sum(unidades)) OVER (PARTITION BY provincia), 2) AS share_prov FROM s GROUP BY provincia, combustible)
+    SELECT tabla, CAST(posicion AS INTEGER) AS posicion, marca, modelo, provincia, combustible, unidades, share_prov FROM (
+    SELECT 'kpi' AS tabla, 1 AS posicion, NULL AS marca, NULL AS modelo, NULL AS provincia, NULL AS combustible, sum(unidades) AS unidades, NULL AS share_prov FROM s
+    UNION ALL {_ranked_sql("rank_marcas", "marca", top=20)} UNION ALL {_ranked_sql("rank_modelos", "modelo", top=20)} UNION ALL {_ranked_sql("rank_provincias", "provincia")} UNION ALL {_ranked_sql("rank_combustible", "combustible")}
+    UNION ALL {_ranked_sql("rank_marcas_focus", "marca", "f", 20)} UNION ALL {_ranked_sql("rank_modelos_focus", "modelo", "f", 20)}
+    UNION ALL SELECT 'mix_comb_prov', row_number() OVER (ORDER BY provincia, share_prov DESC, unidades DESC, combustible), NULL, NULL, provincia, combustible, unidades, share_prov FROM m)
+""")
+def summary_set(spark, sf_dir):
+    """All summaries of a year from one scan."""
+    return market.summary_set(market_rows(spark, sf_dir), 199701, 199712, "nation_6")
+
+
 @query(f"WITH {MARKET_SQL} SELECT marca, provincia, sum(unidades) AS unidades, sum(unidades) < 3000 AS low_support FROM market GROUP BY ALL")
 def market_support(spark, sf_dir):
     return market.support(market_rows(spark, sf_dir), ["marca", "provincia"], 3000)
