@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions import canon, numbers, text, web
+from lotwise.functions import canon, nested, numbers, text, web
 from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.session import shared_folder
@@ -322,10 +322,46 @@ def cascade_match(spark, sf_dir):
     fuel = F.when(F.col("l_linenumber") == 1, "N").when(F.col("l_linenumber") == 2, "R").otherwise("X")
     keys = rows.select(F.col("p_brand").alias("marca"), F.col("p_type").alias("modelo"), F.year("l_shipdate").cast("long").alias("anio"), fuel.alias("combustible")).distinct()
     keys = keys.withColumn("lot", F.concat_ws("|", "marca", "modelo", "anio", "combustible"))
-    found = cascade.match(keys, "lot", f, market.without_fuel(f), ["units_abs"], "BCN", order=("A",), allowed={"N": "A", "R": "A", "X": ""})
+    found = cascade.match(keys, "lot", f, market.without_fuel(f), ["units_abs"], "BCN", order=("A",), allowed={"N": ("A",), "R": ("A",), "X": ()})
     return found.join(keys, "lot").select("marca", "modelo", "anio", "combustible", "units_abs", "match_kind", "geo_fallback")
 
 
+def _target_sql(target: str, places: tuple[str, ...]) -> str:
+    geo = " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(places))
+    return f"""
+        SELECT marca, modelo, anio, combustible, n, '{target}' AS target, CASE WHEN tier IS NOT NULL THEN units_abs END AS units_abs, CASE WHEN tier = 0 THEN 'exact' WHEN tier = 10 THEN 'no_fuel' WHEN tier IS NOT NULL THEN 'fuel_fallback' END AS match_kind,
+            CASE WHEN tier IS NOT NULL THEN lower(region) END AS geo_fallback
+        FROM (SELECT *, row_number() OVER (PARTITION BY marca, modelo, anio, combustible ORDER BY CASE region {geo} END * 100 + tier NULLS LAST, fuel NULLS LAST) AS i FROM cand WHERE region IN ({", ".join(f"'{p}'" for p in places)}) OR region IS NULL) WHERE i = 1"""
+
+
+_TARGETS_SQL = _CASCADE.split("    best AS (SELECT")[0].replace("lot AS (SELECT DISTINCT p_brand", "lot AS (SELECT p_brand").replace(
+    "FROM lot LEFT JOIN pool", "FROM (SELECT *, count(*) AS n FROM lot GROUP BY ALL) lot LEFT JOIN pool"
+) + f"""
+    each AS ({" UNION ALL ".join(_target_sql(t, places) for t, places in cascade.GEO.items())}),
+    every AS (SELECT k.*, t.target FROM (SELECT marca, modelo, anio, combustible, count(*) AS n FROM lot GROUP BY ALL) k, (VALUES ('BCN'), ('CAT'), ('ESP')) t(target)),
+    full_ AS (SELECT e.*, x.units_abs, x.match_kind, x.geo_fallback FROM every e LEFT JOIN each x USING (marca, modelo, anio, combustible, target)),
+    wide AS (SELECT marca, modelo, anio, combustible, n, max(units_abs) FILTER (target = 'BCN') AS b, max(units_abs) FILTER (target = 'CAT') AS c, max(units_abs) FILTER (target = 'ESP') AS e,
+        max(match_kind) FILTER (target = 'BCN') AS kind_bcn, max(match_kind) FILTER (target = 'CAT') AS kind_cat, max(match_kind) FILTER (target = 'ESP') AS kind_esp,
+        max(geo_fallback) FILTER (target = 'BCN') AS geo_bcn, max(geo_fallback) FILTER (target = 'CAT') AS geo_cat FROM full_ GROUP BY ALL)
+    SELECT marca, modelo, anio, combustible, CAST(n AS BIGINT) AS n, b AS units_bcn, c AS units_cat, e AS units_esp, kind_bcn, kind_cat, kind_esp, geo_bcn, geo_cat, round(b / nullif(c, 0), 6) AS bcn_in_cat, round(c / nullif(e, 0), 6) AS cat_in_esp FROM wide
+"""
+
+
+@query(_TARGETS_SQL)
+def cascade_all_targets(spark, sf_dir):
+    """The matches of all line items for the three regions, by one join."""
+    f = market.features(regional(spark, sf_dir))
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    fuel = F.when(F.col("l_linenumber") == 1, "N").when(F.col("l_linenumber") == 2, "R").otherwise("X")
+    lots_ = rows.select(F.col("p_brand").alias("marca"), F.col("p_type").alias("modelo"), F.year("l_shipdate").cast("long").alias("anio"), fuel.alias("combustible"))
+    lots_ = lots_.groupBy(*lots_.columns).agg(F.count(F.lit(1)).alias("n"))
+    found = cascade.match_all(lots_, f, market.without_fuel(f), ["units_abs"], order=("A",), allowed={"N": ("A",), "R": ("A",), "X": ()})
+    return found.select(
+        "marca", "modelo", "anio", "combustible", "n", *(F.col(f"units_abs_{t}").alias(f"units_{t}") for t in ("bcn", "cat", "esp")), *(F.col(f"match_kind_{t}").alias(f"kind_{t}") for t in ("bcn", "cat", "esp")),
+        *(F.col(f"geo_fallback_{t}").alias(f"geo_{t}") for t in ("bcn", "cat")), F.round("ratio_bcn_cat_%", 6).alias("bcn_in_cat"), F.round("ratio_cat_esp_%", 6).alias("cat_in_esp"),
+    )
+
+
 # --- fees, routes, prices -------------------------------------------------------------------------------------------
 
 _RULES = [
@@ -894,6 +930,32 @@ def listing_filters(spark, sf_dir):
     return filters.with_links(found, "lot_id", "marca").select("lot_id", "anio", "mileage")
 
 
+# --- nested data of pages -------------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT page_id, 'V' || page_id AS vin, CASE page_id % 3 WHEN 0 THEN 'auto' WHEN 1 THEN 'manual' END AS gearbox, 'land ' || page_id % 7 AS country, 'http' || page_id % 11 AS place, 'make' || page_id % 5 AS make, CAST(page_id AS VARCHAR) AS lot,
+        CASE page_id % 3 WHEN 2 THEN 14 ELSE 15 END AS n_keys, length(url) AS n_url
+    FROM pages
+""")
+def page_data(spark, sf_dir):
+    """Data in scripts of all pages, made of their fields: keys at any depth, labels of several languages, the vehicle of the product."""
+    n = F.col("page_id").cast("string")
+    box = F.when(F.col("page_id") % 3 == 0, "auto").when(F.col("page_id") % 3 == 1, "manual")
+    blob = F.to_json(F.struct(
+        F.struct(F.struct(F.concat(F.lit("make"), (F.col("page_id") % 5).cast("string")).alias("make"), F.col("page_id").alias("lot"), F.col("url").alias("page")).alias("vehicle")).alias("product"),
+        F.array(F.struct(F.lit("Numéro de châssis").alias("label"), F.concat(F.lit("V"), n).alias("value"))).alias("specs"),
+        F.struct(F.array(F.array(F.struct(F.concat(F.lit("land "), (F.col("page_id") % 7).cast("string")).alias("Pays"), box.alias("Gear-Box")))).alias("deep")).alias("z"),
+    ))
+    first = F.to_json(F.struct(F.struct(F.concat(F.lit("http"), (F.col("page_id") % 11).cast("string")).alias("Standort")).alias("where")))
+    html = F.concat(F.lit("<script>digitalData.push( "), blob, F.lit(" ) ;\nwindow.digitalData = "), first, F.lit(";</script>"), F.coalesce("html", F.lit("")))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+    rows = nested.walked(pages.withColumn("json", nested.blobs(F.col("html"))), "json")
+    e = F.col("entries")
+    found = rows.select("page_id", nested.picked(e).alias("p"), nested.vehicle(e).alias("v"), F.size("entries").alias("n_keys"), F.filter(e, lambda x: x["key"] == "page").alias("u"))
+    return found.select("page_id", F.col("p.bastidor").alias("vin"), F.col("p.caja_cambios").alias("gearbox"), F.col("p.pais_subasta").alias("country"), F.col("p.ubicacion").alias("place"), F.col("v.make").alias("make"), F.col("v.lot").alias("lot"), "n_keys", F.length(F.get("u", F.lit(0))["value"]).cast("long").alias("n_url"))
+
+
 # --- transfer files -------------------------------------------------------------------------------------------------
 
 

@@ -126,7 +126,9 @@ def test_cascade_prefers_the_nearer_place(spark):
     lots = frame(spark, "id int, marca string, modelo string, anio long, combustible string", (1, "A", "x", 2020, "petrol"), (2, "A", "w", 2020, "cng"), (3, "A", "none", 2020, "petrol"), (4, "A", "v", None, "petrol"), (5, "A", "x", 2020, "cng"))
     got = {r["id"]: (r["units_abs"], r["match_kind"], r["geo_fallback"]) for r in cascade.match(lots, "id", f, market.without_fuel(f), ["units_abs"], "BCN").collect()}
     assert got == {1: (4.0, "fuel_fallback", "bcn"), 2: (2.0, "fuel_fallback", "esp"), 3: (None, None, None), 4: (3.0, "exact", "esp"), 5: (4.0, "fuel_fallback", "bcn")}
-    wide = cascade.match_all(lots, "id", f, market.without_fuel(f), ["units_abs"])
+    wide = cascade.match_all(lots, f, market.without_fuel(f), ["units_abs"])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1  # all targets take theirs of one pool
     assert wide.count() == 5 and {"units_abs_bcn", "match_kind_esp", "ratio_bcn_cat_%"} <= set(wide.columns)
 
 
