@@ -11,6 +11,7 @@ from lotwise.functions.text import file_safe
 from lotwise.operators import recommend
 from lotwise.operators.columns import conform
 from lotwise.operators.filters import GlobalFilters, Listing, globally
+from lotwise.session import settled
 
 
 @dataclass(frozen=True)
@@ -97,18 +98,26 @@ ALIASES = {"best_auction": "q1", "brand_order": "q2", "segment_order": "q3", "at
 LISTED = {"q1", "q2", "q3"}
 
 
-def plans(df: DataFrame, config: dict, as_of: int | None = None) -> list[Plan]:
-    """A plan for each query of the configuration; an unknown type raises."""
+def plans(df: DataFrame, config: dict, as_of: int | None = None, shared: bool = True) -> list[Plan]:
+    """A plan for each query of the configuration; an unknown type raises.
+
+    What all queries share, the listing under the global filters, is settled once if there are several, so its
+    joins and filters run once and each plan reads the checkpoint. ``shared`` off plans each from the source.
+    """
+    for q in config.get("queries", []):
+        kind = str(q.get("type", "generic")).lower()
+        if ALIASES.get(kind, kind) not in PLANS:
+            raise ValueError(f"unknown query type {kind!r}")
     g = config.get("global_filters", {})
     rows = globally(df, GlobalFilters(g.get("transmission"), g.get("fuel_include"), g.get("fuel_exclude"), g.get("margin_cap_ratio"), bool(g.get("sold_only")), g.get("max_year_gap")))
+    if shared and len(config.get("queries", [])) > 1:
+        rows = settled(rows)
     d = config.get("demand", {})
     cfg = recommend.Config(float(config.get("alpha", 0.6)), float(config.get("rotation_boost", 0.0)), recommend.Demand(**d))
     out = []
     for i, q in enumerate(config.get("queries", [])):
         kind = str(q.get("type", "generic")).lower()
         kind = ALIASES.get(kind, kind)
-        if kind not in PLANS:
-            raise ValueError(f"unknown query type {kind!r}")
         frame, extra = PLANS[kind](rows, q, cfg, as_of)
         out.append(Plan(q.get("name", f"query {i + 1}"), conform(frame) if kind in LISTED else frame, extra))
     return out

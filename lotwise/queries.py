@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotwise.functions import canon, nested, numbers, text, web
 from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
+from lotwise.plans import runner
 from lotwise.session import shared_folder
 from lotwise.sources import transfers as transfer_files
 from lotwise.streaming import ingest, latest
@@ -595,6 +596,30 @@ def linkage_strict(spark, sf_dir):
     return best.select("lot_id", F.coalesce(strict, F.lit(False)).alias("strict"), F.when(strict, F.col("token_overlap")).otherwise(0).cast("int").alias("most_words"))
 
 
+_AS_QUERIES = {
+    "auctions": ("recommend_best_auction", "count(*)", "sum(representation_pct)"), "brand": ("recommend_within_brand", "count(*)", "CAST(NULL AS DOUBLE)"), "attractive": ("recommend_attractiveness", "count(*)", "sum(n_lotes)"), "fuels": ("recommend_best_fuel_gap", "count(*)", "sum(gap)"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS name, {n} AS n, round(CAST({total} AS DOUBLE), 4) AS total FROM ({ORACLE_SQL[q]})" for name, (q, n, total) in _AS_QUERIES.items()) + " UNION ALL SELECT 'segment', 20, NULL")
+def configured_queries(spark, sf_dir):
+    """Five queries of one configuration over all lots; what they share is computed once."""
+    rows = lots(spark, sf_dir).withColumn("best_fuel_esp", F.col("combustible_norm")).withColumn("row_vs_best_fuel_%_esp", F.col("`mix_0_3_%_esp`"))
+    config = {"queries": [
+        {"name": "auctions", "type": "q1", "model": "standard", "top_n": 50, "filters": {"min_year": 1996, "max_year": 1999}}, {"name": "brand", "type": "q2", "brand": "^Brand#1$", "filters": {"min_year": 1997}},
+        {"name": "segment", "type": "segment_order", "segment": "building", "region": "esp", "top_n": 20, "filters": {"min_year": 1995, "max_year": 1999}}, {"name": "attractive", "type": "q4", "model": "promo", "region": "esp", "filters": {"min_year": 1996, "max_year": 1998}},
+        {"name": "fuels", "type": "q5", "year": 1997},
+    ]}
+    totals = {"auctions": "representation_pct", "attractive": "n_lotes", "fuels": "gap_vs_rest_mean"}
+    out = None
+    for p in runner.plans(rows, config):
+        frame = p.extra if p.name == "auctions" else p.frame
+        total = F.round(F.sum(F.round(totals[p.name], 6)).cast("double"), 4) if p.name in totals else F.lit(None).cast("double")
+        one = frame.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(F.lit(p.name).alias("name"), "n", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- text, labels, pages, records -----------------------------------------------------------------------------------
 
 
