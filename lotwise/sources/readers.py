@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import json
 import os
@@ -40,18 +39,51 @@ def read_any(spark: SparkSession, path: str, unknown: str = "parquet", **options
     return spark.read.format(what).options(**options).load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, sep: str | None = None, encoding: str | None = None) -> DataFrame:
-    """With a header; separator and encoding are probed at the head of a local file where they aren't given.
+# What the bytes 0x80 to 0x9F are in windows-1252, where it has a letter for them.
+_C1 = "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
+_CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+SEPARATORS = (",", ";", "|", "\t")
 
-    Without a schema all columns are text: no pass over the data to guess types.
+
+def probed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, sep, encoding, header) of each text file below a path, gzipped ones too, on any file system.
+
+    Lines are read as single bytes, in as many tasks as the files have splits, and added up by file. A file is UTF-8
+    if all of its lines are, so one broken line far behind its head counts; else it is windows-1252 if it
+    has bytes that only that has letters for, else ISO-8859-1. The separator is what its first line holds most of.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).schema("line string").csv(path)
+    rows = rows.select("line", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")).withColumn("at", F.monotonically_increasing_id())
+    valid = F.is_valid_utf8(F.encode("line", "ISO-8859-1").cast("string"))
+    found = rows.where("line is not null").groupBy("path").agg(F.min(valid).alias("utf8"), F.max(F.col("line").rlike(f"[{_C1}]")).alias("c1"), F.min_by("line", F.struct("block", "at")).alias("header"))
+    counts = F.array(*(F.struct(F.size(F.split("header", f"\\Q{x}\\E")).alias("n"), F.lit(-i).alias("i"), F.lit(x).alias("sep")) for i, x in enumerate(SEPARATORS)))
+    encoding = F.when(F.col("utf8"), "UTF-8").when(F.col("c1"), "windows-1252").otherwise("ISO-8859-1")
+    return found.select("path", F.array_max(counts)["sep"].alias("sep"), encoding.alias("encoding"), "header")
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, sep: str | None = None, encoding: str | None = None) -> DataFrame:
+    """Text tables with a header; where separator or encoding aren't given they are probed for each file, on any file system.
+
+    Files that agree are one scan, scans of files that don't are united by column names. Without a schema all columns are
+    text: no guess of types. The driver gets a row for each file.
     """
-    if (sep is None or encoding is None) and os.path.isfile(path):
-        probed = probe(path)
-        sep, encoding = sep or probed[0], encoding or probed[1]
-    if encoding and not encoding.lower().startswith(("utf", "iso-8859-1", "us-ascii")):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # further encodings have to be asked for
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("sep", sep or ",").option("encoding", encoding or "UTF-8")
-    return (reader.schema(schema) if schema else reader).csv(path)
+    if sep is not None and encoding is not None:
+        groups = {(sep, encoding): [path] if isinstance(path, str) else list(path)}
+    else:
+        groups = {}
+        for r in probed(spark, path).collect():
+            groups.setdefault((sep or r["sep"], encoding or r["encoding"]), []).append(r["path"])
+    out = None
+    for (by, letters), paths in sorted(groups.items()):
+        masked = letters.lower() in ("windows-1252", "cp1252")
+        reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("sep", by).option("encoding", "ISO-8859-1" if masked else letters)
+        part = (reader.schema(schema) if schema else reader).csv(sorted(paths))
+        if masked:  # as single bytes, then the letters that are its own
+            part = part.select(*((F.translate(F.col(f"`{c}`"), _C1, _CP1252) if kind == "string" else F.col(f"`{c}`")).alias(c.translate(str.maketrans(_C1, _CP1252))) for c, kind in part.dtypes))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], schema or "value string")
+    return out
 
 
 def read_workbook(spark: SparkSession, path: str) -> DataFrame:
@@ -64,22 +96,6 @@ def read_workbook(spark: SparkSession, path: str) -> DataFrame:
         raise RuntimeError("workbooks need openpyxl on the driver") from e
 
 
-def probe(path: str, size: int = 256 << 10) -> tuple[str, str]:
-    """(separator, encoding) from the head of a file, gzipped or not: the encoding that reads with the fewest
-    broken letters, the separator that the first line holds most of."""
-    opener = gzip.open if path.endswith(".gz") else open
-    with opener(path, "rb") as f:
-        head = f.read(size)
-    best = None
-    for encoding in ("utf-8", "cp1252", "latin-1"):
-        text = head.decode(encoding, "replace")
-        broken = text.count("�") * 10 + text.count("Ã") + text.count("Â") + sum(0x80 <= ord(c) < 0xA0 for c in text)
-        if best is None or broken < best[0]:
-            best = (broken, encoding, text)
-    line = best[2].split("\n", 1)[0]
-    return max(";,|\t", key=line.count), {"utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[best[1]]
-
-
 def files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, name, yyyymm, size) of the files below a folder, each once."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select("path", F.col("length").alias("size"))

@@ -15,13 +15,36 @@ def test_probe_and_csv(spark, tmp_path):
     path = str(tmp_path / "x_202403.csv.gz")
     with gzip.open(path, "wb") as f:
         f.write("marca;añó\nCitroën;1\n".encode("cp1252"))
-    assert readers.probe(path) == (";", "windows-1252")
+    assert [tuple(r)[1:] for r in readers.probed(spark, path).select("path", "sep", "encoding").collect()] == [(";", "ISO-8859-1")]  # no letter that windows-1252 alone has
     assert [tuple(r) for r in readers.read_any(spark, path).collect()] == [("Citroën", "1")]
     assert readers.with_period(readers.read_csv(spark, path)).select("yyyymm").collect()[0][0] == 202403
     with pytest.raises(ValueError):
         readers.read_any(spark, "x.unknown", unknown="error")
 
 
+def test_files_of_several_encodings_on_another_file_system(spark, tmp_path):
+    late = "".join(f"plain {i},{i}\n" for i in range(3000)) + "Peñíscola – 5 €,9\n"
+    (tmp_path / "a.csv").write_bytes("name;price\nJaén;1\n".encode())
+    (tmp_path / "b.csv").write_bytes(("name,price\n" + late).encode("cp1252"))
+    (tmp_path / "sub").mkdir()
+    with gzip.open(tmp_path / "sub" / "c.csv.gz", "wb") as f:
+        f.write("price|name|more\n3|Móra|x\n".encode("latin-1"))
+    (tmp_path / "d.csv").write_bytes("name\tprice\nLleida\t4\n".encode())
+    (tmp_path / "empty.csv").write_bytes(b"")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.mixed.link./in", f"file://{tmp_path}")
+    root = "viewfs://mixed/in"
+    found = {r["path"].rsplit("/", 1)[-1]: (r["sep"], r["encoding"]) for r in readers.probed(spark, root).collect()}
+    assert found == {"a.csv": (";", "UTF-8"), "b.csv": (",", "windows-1252"), "c.csv.gz": ("|", "ISO-8859-1"), "d.csv": ("\t", "UTF-8")}
+    rows = readers.read_csv(spark, root)
+    assert rows.count() == 3004 and set(rows.columns) == {"name", "price", "more"}
+    named = {r["name"]: r["price"] for r in rows.where("not startswith(name, 'plain')").collect()}
+    assert named == {"Jaén": "1", "Peñíscola – 5 €": "9", "Móra": "3", "Lleida": "4"}
+    assert readers.read_csv(spark, f"{root}/empty.csv", "a string").count() == 0
+    assert readers.read_csv(spark, f"{root}/a.csv", sep=";", encoding="UTF-8").count() == 1
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
+
+
 def test_months(spark, tmp_path):
     for name in ("a_202401.txt", "b_202401.txt", "c_202403.txt", "sub/d_202402.txt", "none.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
