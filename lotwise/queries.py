@@ -13,6 +13,7 @@ from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.plans import runner
 from lotwise.session import shared_folder
+from lotwise.sources import profile
 from lotwise.sources import transfers as transfer_files
 from lotwise.streaming import ingest, latest
 from lotwise.views import LOTS_SQL, MARKET_SQL, REGIONAL_SQL, lots, market as market_rows, regional, table
@@ -981,6 +982,28 @@ def page_data(spark, sf_dir):
     return found.select("page_id", F.col("p.bastidor").alias("vin"), F.col("p.caja_cambios").alias("gearbox"), F.col("p.pais_subasta").alias("country"), F.col("p.ubicacion").alias("place"), F.col("v.make").alias("make"), F.col("v.lot").alias("lot"), "n_keys", F.length(F.get("u", F.lit(0))["value"]).cast("long").alias("n_url"))
 
 
+# --- profiles -------------------------------------------------------------------------------------------------------
+
+
+def _profile_sql(column: str, number: bool) -> str:
+    bounds = f"CAST(min({column}) AS DOUBLE) AS low, CAST(max({column}) AS DOUBLE) AS high, CAST(NULL AS VARCHAR) AS low_text, CAST(NULL AS VARCHAR) AS high_text, round(avg(CAST({column} AS DOUBLE)), 6) AS mean" if number else f"NULL, NULL, min({column}), max({column}), NULL"
+    return f"SELECT '{column}' AS column_name, count(*) AS n, count(*) - count({column}) AS n_null, {bounds}, true AS near FROM lineitem"
+
+
+_PROFILED = {"l_orderkey": True, "l_quantity": True, "l_extendedprice": True, "l_discount": True, "l_linenumber": True, "l_returnflag": False}
+
+
+@query(" UNION ALL ".join(_profile_sql(c, number) for c, number in _PROFILED.items()))
+def column_profile(spark, sf_dir):
+    """Columns of all line items, sketched by month of shipping and merged; ``near`` says that the distinct count and the median hold their errors."""
+    rows = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyyMM").alias("month"), *_PROFILED)
+    found = profile.merged(profile.sketched(rows, ["month"]))
+    exact = rows.agg(*(F.count_distinct(c).alias(c) for c in _PROFILED)).unpivot([], list(_PROFILED), "column", "exact")
+    middle = rows.agg(*(F.percentile(c, F.array(F.lit(0.46), F.lit(0.54))).alias(c) for c, number in _PROFILED.items() if number)).unpivot([], [c for c, number in _PROFILED.items() if number], "column", "middle")
+    near = (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.04 * F.col("exact")) & F.coalesce(F.get("quantiles", F.lit(1)).between(F.get("middle", F.lit(0)), F.get("middle", F.lit(1))), F.col("quantiles").isNull())
+    return found.join(exact, "column").join(middle, "column", "left").select(F.col("column").alias("column_name"), "n", "n_null", "low", "high", "low_text", "high_text", F.round("mean", 6).alias("mean"), near.alias("near"))
+
+
 # --- transfer files -------------------------------------------------------------------------------------------------
 
 

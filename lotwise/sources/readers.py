@@ -232,24 +232,43 @@ def reused(spark: SparkSession, path: str, make, again: bool = False) -> DataFra
 
 
 #: What the columns of the enriched table hold. Shares and growth are fractions of one, mixes are percent.
+#: What each feature of a region says, and how it comes about.
 DICTIONARY = {
-    "units_abs": "units of the cohort in the year",
-    "share_marca_%": "share of the make's units in the year, 0 to 1",
-    "share_combustible_%": "share of the fuel's units in the year, 0 to 1",
-    "share_año_%": "share of all units in the year, 0 to 1",
-    "rank_general": "dense rank of the model among all models of the year",
-    "rank_brand_year": "dense rank of the model within its make and year",
-    "best_fuel": "fuel of most units of the model and year",
-    "YoY_%": "growth against the year before, fraction",
-    "YoY_weighted": "growth damped where the year before had under 20 units",
-    "Growth_3a_%": "growth against three years before, fraction",
-    "trend_flag": "1 over +10 %, 0 under -10 %, else null",
-    "HHI_marca": "concentration of the make's models, 0 to 1",
-    "mix_0_3_%": "units of up to 3 years, percent",
-    "coef_var_%": "deviation of monthly units over their mean",
+    "units_abs": ("units of the cohort (make, model, year, fuel) in the year", "sum of the units of its months"),
+    "share_marca_%": ("share of the make's units in the year, 0 to 1", "units_abs / units of the make"),
+    "share_combustible_%": ("share of the fuel's units in the year, 0 to 1", "units_abs / units of the fuel"),
+    "share_año_%": ("share of all units in the year, 0 to 1", "units_abs / units of the year"),
+    "share_cohorte_%": ("share of the units of the same year and fuel, 0 to 1; the same as that of the fuel", "units_abs / units of the year and fuel"),
+    "rank_general": ("rank of the model among all models of the year", "dense rank of the units over all fuels, descending"),
+    "rank_brand_year": ("rank of the model within its make and year", "dense rank of the units over all fuels, descending, by make"),
+    "rank_year_model": ("rank of the model in the year; the same as the general one", "rank_general"),
+    "rank_year_fuel_model": ("rank of the model within the year and fuel", "dense rank of units_abs, descending, by fuel"),
+    "is_top3_brand_year": ("whether the model is among the first three of its make and year", "rank_brand_year <= 3"),
+    "best_fuel_units": ("units of the model's leading fuel in the year", "greatest units_abs over the fuels"),
+    "best_fuel": ("fuel of most units of the model and year", "fuel of the greatest units_abs, ties by its name"),
+    "is_best_fuel": ("whether the row is of the leading fuel; null without a fuel", "fuel = best_fuel"),
+    "row_vs_best_fuel_%": ("units against those of the leading fuel, 0 to 1", "units_abs / best_fuel_units"),
+    "YoY_%": ("growth against the year before, fraction; null without units then", "units_abs / units of the year before - 1"),
+    "YoY_weighted": ("growth damped where the year before had under 20 units", "YoY * min(1, units before / 20)"),
+    "Growth_3a_%": ("growth against three years before, fraction", "units_abs / units three years before - 1"),
+    "trend_flag": ("1 rising, 0 falling, null steady", "YoY over 10 %, under -10 %"),
+    "year_rank_in_model": ("rank of the year within the model and fuel", "dense rank of units_abs, descending"),
+    "antiguedad_media": ("mean age of the transfers, years", "mean of the monthly means"),
+    "p50_antiguedad": ("median age of the transfers, years", "mean of the monthly medians"),
+    "p75_antiguedad": ("upper quartile of the age of the transfers, years", "mean of the monthly upper quartiles"),
+    "mix_0_3_%": ("share of cars of up to 3 years, percent", "monthly shares weighted by units"),
+    "mix_4_7_%": ("share of cars of over 3 to 7 years, percent", "monthly shares weighted by units"),
+    "mix_8mas_%": ("share of cars of over 7 years, percent", "monthly shares weighted by units"),
+    "dominancia_modelo_marca_%": ("share of the model, all fuels, in its make and year, 0 to 1", "units of the model / units of the make"),
+    "HHI_marca": ("concentration of the make's models in the year, 0 to 1", "sum of the squared shares of its models"),
+    "stddev_mensual_units": ("deviation of the monthly units, of the months that are there", "sample standard deviation of the months' sums"),
+    "coef_var_%": ("deviation of the monthly units against their mean", "stddev_mensual_units / mean of the months' sums"),
 }
+#: What stands between regions.
+RATIOS = {"ratio_bcn_cat_%": ("units of the province against those of its area", "units_abs_bcn / units_abs_cat"), "ratio_cat_esp_%": ("units of the area against those of the nation", "units_abs_cat / units_abs_esp")}
 
 
 def dictionary(spark: SparkSession, regions: tuple[str, ...] = ("bcn", "cat", "esp")) -> DataFrame:
-    rows = [(f"{name}_{r}", text, r) for name, text in DICTIONARY.items() for r in regions]
-    return spark.createDataFrame(rows, "column string, description string, region string")
+    """(column, description, formula, region) of every feature; ratios of regions have none."""
+    rows = [(f"{name}_{r}", *texts, r) for name, texts in DICTIONARY.items() for r in regions] + [(name, *texts, None) for name, texts in RATIOS.items()]
+    return spark.createDataFrame(rows, "column string, description string, formula string, region string")

@@ -127,7 +127,7 @@ def test_writers(spark, tmp_path):
     assert len(calls) == 1
     readers.write_with_notes(df, str(tmp_path / "n"), {"b": 1})
     assert json.loads(spark.read.text(str(tmp_path / "n.meta.json")).collect()[0][0]) == {"b": 1}
-    assert readers.dictionary(spark).count() == 3 * len(readers.DICTIONARY)
+    assert readers.dictionary(spark).count() == 3 * len(readers.DICTIONARY) + len(readers.RATIOS)
 
 
 def test_merged_exports(spark):
