@@ -124,7 +124,7 @@ def aliased(df: DataFrame, key: Column, table: DataFrame, table_key: str, value:
     The table has one row for each folded key (the least value where it has several).
     """
     dim = table.select(lower_key(F.col(table_key)).alias("__key"), F.col(value).alias("__value")).groupBy("__key").agg(F.min("__value").alias("__value"))
-    joined = df.withColumn("__own", lower_key(key)).join(F.broadcast(dim), F.col("__own") == F.col("__key"), "left")
+    joined = df.withColumn("__own", lower_key(key)).join(dim, F.col("__own") == F.col("__key"), "left")
     return joined.withColumn(out, F.coalesce("__value", default)).drop("__own", "__key", "__value")
 
 

@@ -139,9 +139,16 @@ def _pairs_series(html: pd.Series) -> pd.Series:
 
 
 def payload_fields(json: Column, schema: str, fields: dict[str, tuple[str, ...]]) -> list[Column]:
-    """Named fields of a JSON payload, each the first of its paths that is not null; blank texts count as missing."""
+    """Named fields of a JSON payload, each the first of its dotted paths that is neither null nor blank."""
     data = F.from_json(json, schema)
-    return [F.coalesce(*(data[p] for p in paths)).alias(name) for name, paths in fields.items()]
+
+    def at(path: str) -> Column:
+        value = data
+        for part in path.split("."):
+            value = value[part]
+        return F.when(F.trim(value.cast("string")) != "", value)
+
+    return [F.coalesce(*map(at, paths)).alias(name) for name, paths in fields.items()]
 
 
 def cell_text(c: Column, kind: str) -> Column:

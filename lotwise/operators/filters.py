@@ -230,3 +230,14 @@ def with_links(df: DataFrame, link: str, lot: str) -> DataFrame:
 
 def without_types(df: DataFrame, types: tuple[str, ...], column: str = "tipo_vehiculo") -> DataFrame:
     return df.where(~F.coalesce(F.upper(F.trim(F.col(column))), F.lit("")).isin(*types))
+
+
+# Kinds of resources and ends of addresses that a page can do without.
+HEAVY_KINDS = ("image", "font", "stylesheet", "media")
+HEAVY_ENDS = (".png", ".jpg", ".jpeg", ".gif", ".webp", ".svg", ".woff", ".woff2", ".ttf", ".otf", ".css")
+
+
+def heavy_resource(url: Column, kind: Column) -> Column:
+    """Whether a page's resource is left out of a load: by its kind, or by how its address ends. Null counts as empty."""
+    ends = F.lower(F.coalesce(url, F.lit("")))
+    return F.coalesce(kind.isin(*HEAVY_KINDS), F.lit(False)) | F.exists(F.array(*map(F.lit, HEAVY_ENDS)), lambda e: F.endswith(ends, e))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def mapped(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str, out: str, default: Column | None = None) -> DataFrame:
     """``df`` with ``out``: the value of a small dimension, by equal keys, else the default (the key itself if none is given).
 
-    The dimension is broadcast; it has one value for each key, the least one.
+    The dimension has one value for each key, the least one; whether it is broadcast, Spark decides by its size.
     """
     dim = table.where(F.col(table_key).isNotNull()).groupBy(F.col(table_key).alias("__k")).agg(F.min(value).alias("__v"))
-    joined = df.join(F.broadcast(dim), F.col(key) == F.col("__k"), "left")
+    joined = df.join(dim, F.col(key) == F.col("__k"), "left")
     return joined.withColumn(out, F.coalesce("__v", F.col(key) if default is None else default)).drop("__k", "__v")
 
 
@@ -20,7 +20,7 @@ def segments(df: DataFrame, dimension: DataFrame, make: str = "make_clean", mode
     """``df`` with ``segmento`` by upper-cased, trimmed make and model."""
     dim = dimension.select(F.upper(F.trim("make_clean")).alias("__mk"), F.upper(F.trim("modelo_base")).alias("__md"), F.col("segmento").alias("__s")).groupBy("__mk", "__md").agg(F.min("__s").alias("segmento"))
     on = (F.upper(F.trim(F.col(make))) == F.col("__mk")) & (F.upper(F.trim(F.col(model))) == F.col("__md"))
-    return df.drop("segmento").join(F.broadcast(dim), on, "left").drop("__mk", "__md")
+    return df.drop("segmento").join(dim, on, "left").drop("__mk", "__md")
 
 
 def filled_from(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -57,12 +57,12 @@ def standardized(df: DataFrame, brands: DataFrame | None = None, fuels: DataFram
     t = t.withColumn("anio", registration_year(F.year("fecha"), F.col("anio_raw"), year_of(F.col("yyyymm"))).cast("long"))
     if brands is not None:
         b = brands.select(upper_key(F.col("alias")).alias("marca_key"), upper_key(F.col("canonical")).alias("__b")).groupBy("marca_key").agg(F.min("__b").alias("__b"))
-        t = t.join(F.broadcast(b), "marca_key", "left").withColumn("marca", F.coalesce("__b", "marca_key")).drop("__b")
+        t = t.join(b, "marca_key", "left").withColumn("marca", F.coalesce("__b", "marca_key")).drop("__b")
     else:
         t = t.withColumn("marca", F.col("marca_key"))
     if fuels is not None:
         m = fuels.select(upper_key(F.col("alias")).alias("fuel_key"), F.col("canonical").alias("__f")).groupBy("fuel_key").agg(F.min("__f").alias("__f"))
-        t = t.join(F.broadcast(m), "fuel_key", "left").withColumn("combustible", F.coalesce("__f", F.lit("OTROS"))).drop("__f")
+        t = t.join(m, "fuel_key", "left").withColumn("combustible", F.coalesce("__f", F.lit("OTROS"))).drop("__f")
     else:
         t = t.withColumn("combustible", fuel_bucket(F.col("fuel_raw")))
     return t.drop("marca_key", "fuel_key", "fuel_raw", "anio_raw", "fecha")
@@ -193,7 +193,7 @@ def normalized_places(df: DataFrame, places: DataFrame) -> DataFrame:
     code = padded_code(F.col("codigo_ine"), 5)
     checked = F.when(F.col("codigo_ine").isNotNull() & code.isNull(), F.raise_error(F.concat(F.lit("bad place code: "), F.col("codigo_ine").cast("string")))).otherwise(code)
     dim = places.select(padded_code(F.col("codigo_ine"), 5).alias("codigo_ine"), upper_key(F.col("provincia")).alias("provincia_norm")).distinct()
-    return df.withColumn("codigo_ine", checked).join(F.broadcast(dim), "codigo_ine", "left")
+    return df.withColumn("codigo_ine", checked).join(dim, "codigo_ine", "left")
 
 
 def normalized_lots(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.plans import runner
 from lotwise.session import shared_folder
-from lotwise.sources import profile
+from lotwise.sources import profile, readers
 from lotwise.sources import transfers as transfer_files
 from lotwise.streaming import ingest, latest
 from lotwise.views import LOTS_SQL, MARKET_SQL, REGIONAL_SQL, lots, market as market_rows, regional, table
@@ -982,6 +982,84 @@ def page_data(spark, sf_dir):
     return found.select("page_id", F.col("p.bastidor").alias("vin"), F.col("p.caja_cambios").alias("gearbox"), F.col("p.pais_subasta").alias("country"), F.col("p.ubicacion").alias("place"), F.col("v.make").alias("make"), F.col("v.lot").alias("lot"), "n_keys", F.length(F.get("u", F.lit(0))["value"]).cast("long").alias("n_url"))
 
 
+# --- calendars, origins, tables and payloads of pages, files --------------------------------------------------------
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%d/%m') AS day, CASE o_orderkey % 3 WHEN 0 THEN 'Spain ' WHEN 1 THEN 'france' ELSE 'Italy' END AS country, o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN ' Sealed Bid' ELSE '' END AS name,
+        CASE o_orderkey % 4 WHEN 0 THEN 'icon--live' WHEN 1 THEN 'icon--live, ICON--SEALED' ELSE NULL END AS icons, CASE o_orderkey % 7 WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE 'x' END AS a, CASE o_orderkey % 2 WHEN 0 THEN '' ELSE 'y' END AS b FROM orders)
+    SELECT country, coalesce(trim(a), '') = '' AND trim(b) = '' AS all_blank, coalesce(trim(a), '') = '' OR trim(b) = '' AS any_blank, o_orderkey % 6 < 2 OR o_orderkey % 10 = 0 AS heavy, count(*) AS n FROM o
+    WHERE day = '14/03' AND country IN ('Spain ', 'france') AND NOT contains(lower(name), 'sealed bid') AND NOT contains(lower(coalesce(icons, '')), 'icon--sealed') GROUP BY ALL
+""")
+def sale_calendar(spark, sf_dir):
+    """Orders as sales of a day: barred names and icons, countries, blank fields, resources that a load leaves out."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "dd/MM").alias("sale_date"), F.when(key % 3 == 0, "Spain ").when(key % 3 == 1, "france").otherwise("Italy").alias("country"), F.concat("o_orderpriority", F.when(key % 5 == 0, " Sealed Bid").otherwise("")).alias("name"),
+        F.when(key % 4 == 0, "icon--live").when(key % 4 == 1, "icon--live, ICON--SEALED").alias("icons"), F.when(key % 7 == 0, " ").when(key % 7 > 1, "x").alias("a"), F.when(key % 2 == 0, "").otherwise("y").alias("b"),
+        F.when(key % 6 == 0, "image").when(key % 6 == 1, "font").otherwise("xhr").alias("kind"), F.concat(F.lit("http://h/"), key.cast("string"), F.when(key % 10 == 0, ".PNG").otherwise("/x")).alias("url"),
+    )
+    found = filters.calendar(rows, "14/03", ("sealed bid",), ("Spain", "France"), ("icon--sealed",))
+    out = found.select("country", filters.all_blank(F.col("a"), F.col("b")).alias("all_blank"), filters.any_blank(F.col("a"), F.col("b")).alias("any_blank"), filters.heavy_resource(F.col("url"), F.col("kind")).alias("heavy"))
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH c AS (SELECT c_custkey, c_nationkey, CASE c_custkey % 4 WHEN 0 THEN 'Europe' WHEN 1 THEN '' WHEN 2 THEN 'NATION ' || c_nationkey ELSE 'nowhere' END AS country, CASE c_custkey % 3 WHEN 0 THEN 'Town ' || c_nationkey WHEN 1 THEN 'Nation-' || c_nationkey ELSE 'Far, land' END AS place FROM customer)
+    SELECT CASE WHEN country IN ('Europe', '') THEN CASE WHEN starts_with(place, 'Far') THEN 'Far' ELSE n_name END WHEN starts_with(country, 'NATION') THEN n_name ELSE country END AS origin, count(*) AS n
+    FROM c JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+""")
+def sale_origins(spark, sf_dir):
+    """Countries of all customers: aliases first, a generic one by its place's head, as a place or as a country."""
+    nation = table(spark, sf_dir, "nation")
+    key, own = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    country = F.when(key % 4 == 0, "Europe").when(key % 4 == 1, "").when(key % 4 == 2, F.concat(F.lit("nation-"), own)).otherwise("nowhere")
+    place = F.when(key % 3 == 0, F.concat(F.lit("Town "), own, F.lit(" – dock 4"))).when(key % 3 == 1, F.concat(F.lit("Nation-"), own, F.lit(", hall"))).otherwise("Far, land")
+    rows = table(spark, sf_dir, "customer").select(country.alias("country"), place.alias("place"))
+    countries = nation.select(F.concat(F.lit("NATION "), F.col("n_nationkey").cast("string")).alias("variant"), F.col("n_name").alias("country_canonical"))
+    places = nation.select(F.concat(F.lit("town "), F.col("n_nationkey").cast("string")).alias("location_head"), F.col("n_name").alias("country_canonical"))
+    return canon.origin_country(rows, "country", "place", countries, places).groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT page_id, CAST(page_id * 1000 + 500 AS BIGINT) AS km, CAST(90 + page_id % 100 AS INTEGER) AS hp, CAST(page_id % 200 AS INTEGER) AS co2, 'Auto ' || page_id AS gearbox, 3 AS n_pairs FROM pages
+""")
+def page_tables(spark, sf_dir):
+    """Tables in front of all pages, read by patterns and by a parser, and the figures in them."""
+    n = F.col("page_id")
+    km = F.concat((n + 0).cast("string"), F.lit(".500 km"))
+    front = F.concat(
+        F.lit("<table><tr><td>Km</td><td> "), km, F.lit(" </td></tr><tr><th>Power</th><td><b>"), (90 + n % 100).cast("string"), F.lit(" CV</b> / "), (n % 200).cast("string"), F.lit(" g/km</td></tr><tr><td>alone</td></tr><tr><td>Getriebe</td><td>Auto "), n.cast("string"), F.lit("</td></tr></table>"),
+    )
+    rows = table(spark, sf_dir, "pages").select("page_id", web.two_column_table(front).alias("m"), web.table_pairs(front).alias("p"))
+    return rows.select("page_id", web.mileage(F.col("m")["Km"]).alias("km"), web.horsepower(F.col("m")["Power"]).alias("hp"), web.co2(F.col("m")["Power"]).alias("co2"), F.get(F.filter("p", lambda x: nested.label_name(x["label"]) == "caja cambios"), F.lit(0))["value"].alias("gearbox"), F.size("p").alias("n_pairs"))
+
+
+@query("SELECT CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, event_type AS kind, count(*) AS n FROM events GROUP BY ALL")
+def event_payloads(spark, sf_dir):
+    """Fields of all events' payloads, each the first of its paths that is there."""
+    e = table(spark, sf_dir, "events")
+    body = F.concat(F.lit('{"a":{"type":'), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"'), "event_type", F.lit('"'))).otherwise(F.lit('""')), F.lit('},"type":"'), "event_type", F.lit('",'), F.substring("props", 2, 1000))
+    k, kind = web.payload_fields(body, "a struct<type: string>, type string, k long", {"k": ("k",), "kind": ("a.type", "type")})
+    return e.select(k, kind).groupBy("k", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'Año ' ELSE 'Preis € ' END || o_orderpriority AS note, CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderstatus END AS status FROM orders
+""")
+def mixed_text_files(spark, sf_dir):
+    """All orders written as text tables of three encodings and separators, and read back as one."""
+    root = f"{shared_folder(spark)}/texts-{uuid.uuid4().hex}"
+    key = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.when(key % 3 == 0, "Año ").otherwise("Preis € "), "o_orderpriority").alias("note"), F.col("o_orderstatus").alias("status"))
+    c1252 = F.translate("note", "€", "\x80")
+    for i, (part, sep, encoding) in enumerate((
+        (o.where(key % 3 == 0), ";", "ISO-8859-1"), (o.where(key % 3 == 1).select("o_orderkey", c1252.alias("note")), "|", "ISO-8859-1"), (o.where(key % 3 == 2), ",", "UTF-8"),
+    )):
+        part.write.option("header", True).option("sep", sep).option("encoding", encoding).csv(f"{root}/{i}")
+    return readers.read_any(spark, [f"{root}/{i}" for i in range(3)], "csv").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "note", "status")
+
+
 # --- profiles -------------------------------------------------------------------------------------------------------
 
 

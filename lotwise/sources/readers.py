@@ -27,9 +27,9 @@ def kind(path: str) -> str:
     return ""
 
 
-def read_any(spark: SparkSession, path: str, unknown: str = "parquet", **options) -> DataFrame:
+def read_any(spark: SparkSession, path: str | list[str], unknown: str = "parquet", **options) -> DataFrame:
     """By extension; unknown ones as ``unknown``, or an error if that is ``error``. Workbooks need a driver-side library."""
-    what = kind(path) or unknown
+    what = kind(path if isinstance(path, str) else path[0]) or unknown
     if what == "csv":
         return read_csv(spark, path, **options)
     if what == "xlsx":
