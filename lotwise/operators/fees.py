@@ -80,6 +80,30 @@ def _chosen(component: str) -> Column:
     return F.when(F.col("__p").isNotNull(), F.array_min(F.transform(mine, order)))
 
 
+# A sale of electric vehicles alone takes the country's rules in this country only.
+ELECTRIC_SALE, OWN_RULES = "bev", "dinamarca"
+
+
+def _older(component: str) -> Column:
+    """As ``_chosen`` in the older way: the rules of the lot's sale, else those for any sale, else all, are tried alone; of
+    those around the price unbounded ones come first, then the order. The global rules stand in for the country's
+    where these give no fee for acquisition, and for all components of sales of electric vehicles outside OWN_RULES."""
+    price, own = F.col("__p"), F.col("__s")
+
+    def among(far: int) -> Column:
+        mine = F.filter("__rules", lambda x: (x["rule"]["component"] == component) & (x["far"] == far))
+        exact, open_ = F.filter(mine, lambda x: x["rule"]["sale"] == own), F.filter(mine, lambda x: x["rule"]["sale"].isin(*ANY_SALE))
+        tier = F.when(F.size(exact) > 0, 0).when(F.size(open_) > 0, 1).otherwise(2)
+        tried = F.when(F.size(exact) > 0, exact).when(F.size(open_) > 0, open_).otherwise(mine)
+        fits = F.filter(tried, lambda x: F.coalesce(price >= x["rule"]["low"], F.lit(True)) & F.coalesce(price <= x["rule"]["high"], F.lit(True)))
+        first = F.array_min(F.transform(fits, lambda x: F.struct((x["rule"]["low"].isNotNull() | x["rule"]["high"].isNotNull()).alias("bounded"), x["rule"]["ord"].alias("ord"), x["rule"].alias("rule"))))
+        return F.when(first.isNotNull(), F.struct(F.lit(far).alias("far"), tier.alias("tier"), first["rule"].alias("rule")))
+
+    near, far = among(0), among(1)
+    chosen = F.when(amount(price, near["rule"]) > 0, near).otherwise(far) if component == "adquisicion" else near
+    return F.when(price.isNotNull(), F.when((own == ELECTRIC_SALE) & (F.col("__c") != OWN_RULES), far).otherwise(chosen))
+
+
 def _scope(best: Column) -> Column:
     return F.when(best["far"] == 0, best["rule"]["scope"]).otherwise("global")
 
@@ -88,32 +112,34 @@ def _sale(best: Column) -> Column:
     return F.when(best["tier"] == 0, F.col("__s")).otherwise("otros")
 
 
-def lookup(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, components: tuple[str, ...] = COMPONENTS) -> DataFrame:
+def lookup(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, components: tuple[str, ...] = COMPONENTS, legacy: bool = False) -> DataFrame:
     """(key, component, fee_eur, scope_used, sale_used, low, high, unit, fee): the rule for each lot and component.
 
     The country's rules come before the global ones; of these, for acquisition the lot's own sale, then
     the rules for any sale, then all; for the others any sale, then all; then the
     order of bands. The rules (some hundred) come to the lots as arrays, and each row picks its own: nothing is shuffled.
+    legacy: the older choice of rules (see ``_older``).
     """
     rows = _with_rules(lots.select(F.col(key).alias("__k"), F.col(price).alias("__price"), F.col(country).alias("__country"), F.col(sale).alias("__sale")), table, "__price", "__country", "__sale")
-    each = F.array(*(F.struct(F.lit(c).alias("component"), _chosen(c).alias("best")) for c in components))
+    each = F.array(*(F.struct(F.lit(c).alias("component"), (_older(c) if legacy else _chosen(c)).alias("best")) for c in components))
     one = rows.select("__k", "__p", "__s", F.explode(each).alias("x")).select("__k", "__p", "__s", "x.component", "x.best").where("best is not null")
     best = F.col("best")
     return one.select(F.col("__k").alias(key), "component", amount(F.col("__p"), best["rule"]).alias("fee_eur"), _scope(best).alias("scope_used"), _sale(best).alias("sale_used"), "best.rule.low", "best.rule.high", "best.rule.unit", "best.rule.fee")
 
 
-def bundle(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, electric: str | None = None, sold: str | None = None) -> DataFrame:
+def bundle(lots: DataFrame, key: str, table: DataFrame, price: str, country: str, sale: str, electric: str | None = None, sold: str | None = None, legacy: bool = False) -> DataFrame:
     """(key, commission_<component>_eur ..., commission_total_eur, rules, error): all components of each lot in one row.
 
     Diagnosis applies to electric vehicles alone; lots that aren't sold have a total
     of zero. ``rules`` is a map from component to what was used; ``error`` names the components without a rule.
+    legacy: the older choice of rules (see ``_older``), and the error says whether acquisition has a fee.
     """
     names = {"__k": F.col(key), "__price": F.col(price), "__country": F.col(country), "__sale": F.col(sale)}
     names |= {"__electric": F.coalesce(F.col(electric), F.lit(False))} if electric is not None else {}
     names |= {"__sold": F.col(sold)} if sold is not None else {}
     rows = _with_rules(lots.select(*(c.alias(n) for n, c in names.items())), table, "__price", "__country", "__sale")
     for c in COMPONENTS:
-        best = _chosen(c)
+        best = _older(c) if legacy else _chosen(c)
         if sold is not None:
             best = F.when(F.col("__sold"), best)
         if electric is not None and c == "diagnostico":
@@ -134,7 +160,7 @@ def bundle(lots: DataFrame, key: str, table: DataFrame, price: str, country: str
     total = sum((F.coalesce(F.col(f"commission_{c}_eur"), F.lit(0.0)) for c in COMPONENTS[1:]), F.coalesce(F.col(f"commission_{COMPONENTS[0]}_eur"), F.lit(0.0)))
     wanted = [c for c in COMPONENTS if c in ("adquisicion", "exportacion", "documentos")]
     lacking = F.array_compact(F.array(*(F.when(F.col(f"commission_{c}_eur").isNull(), F.lit(f"sin_regla_{c}")) for c in wanted)))
-    error = F.array_join(lacking, ";")
+    error = F.when(F.coalesce(F.col("commission_adquisicion_eur"), F.lit(0.0)) <= 0, "sin_adquisicion_valida").otherwise("") if legacy else F.array_join(lacking, ";")
     if sold:
         error = F.when(F.col(sold), error).otherwise("")
     return out.withColumn("commission_total_eur", total).withColumn("error", error)

@@ -140,10 +140,14 @@ def test_fee_bands(spark):
         spark, RULES, ("España", "adquisicion", "otros", 0.0, 1000.0, "EUR", 10.0, "EUR", None), ("España", "adquisicion", "otros", 0.0, 500.0, "EUR", 5.0, "EUR", None), ("España", "adquisicion", "otros", 2000.0, None, "EUR", 1.0, "%", 50.0),
         ("España", "adquisicion", "Gold", None, None, "EUR", 77.0, "EUR", None), ("Global", "documentos", "otros", None, None, "SEK", 100.0, "SEK", None), ("Europa", "diagnostico", "", None, None, "EUR", 9.0, "EUR", None),
     ))
-    lots = frame(spark, "id int, p double, c string, s string, ev boolean, sold boolean", (1, 400.0, "ESPAÑA", "x", True, True), (2, 900.0, "espana", "x", False, True), (3, 3000.0, "España", "x", False, True), (4, 9000.0, "España", "x", False, True), (5, 400.0, "España", "gold", False, True), (6, 400.0, "Mars", "x", False, True), (7, 400.0, "España", "x", False, False), (8, 1500.0, "España", "x", None, True))
+    lots = frame(spark, "id int, p double, c string, s string, ev boolean, sold boolean", (1, 400.0, "ESPAÑA", "x", True, True), (2, 900.0, "espana", "x", False, True), (3, 3000.0, "España", "x", False, True), (4, 9000.0, "España", "x", False, True), (5, 400.0, "España", "gold", False, True), (6, 400.0, "Mars", "x", False, True), (7, 400.0, "España", "x", False, False), (8, 1500.0, "España", "x", None, True), (9, 400.0, "España", "BEV", True, True), (10, 400.0, "Mars", "BEV", True, True))
     got = {r["id"]: (r["commission_adquisicion_eur"], r["commission_documentos_eur"], r["commission_diagnostico_eur"], r["commission_total_eur"], r["error"]) for r in fees.bundle(lots, "id", table, "p", "c", "s", "ev", "sold").collect()}
     assert got[1][:4] == pytest.approx((5.0, 8.8, 9.0, 22.8)) and got[2][0] == 10.0 and got[3][0] == 50.0 and got[4][0] == 90.0 and got[5][0] == 77.0 and got[8][0] == 5.0
     assert got[6][0] is None and got[6][1] == pytest.approx(8.8) and got[6][2] is None and "sin_regla_adquisicion" in got[6][4] and got[7] == (None, None, None, 0.0, "")
+    old = {r["id"]: (r["commission_adquisicion_eur"], r["commission_documentos_eur"], r["commission_diagnostico_eur"], r["error"]) for r in fees.bundle(lots, "id", table, "p", "c", "s", "ev", "sold", legacy=True).collect()}
+    bad = "sin_adquisicion_valida"  # the country's rules alone, but for acquisition and for sales of electric vehicles
+    assert old == {1: (5.0, None, None, ""), 2: (10.0, None, None, ""), 3: (50.0, None, None, ""), 4: (90.0, None, None, ""), 5: (77.0, None, None, ""), 6: (None, None, None, bad), 7: (None, None, None, ""), 8: (None, None, None, bad), 9: (None, pytest.approx(8.8), 9.0, bad), 10: (None, pytest.approx(8.8), 9.0, bad)}
+    assert {r["id"]: r["fee_eur"] for r in fees.lookup(lots, "id", table, "p", "c", "s", ("adquisicion",), legacy=True).collect()} == {1: 5.0, 2: 10.0, 3: 50.0, 4: 90.0, 5: 77.0, 7: 5.0}
 
 
 def test_routes(spark):
@@ -152,6 +156,8 @@ def test_routes(spark):
     lots = frame(spark, "id int, o string, u string, cat string", (1, "germany", "Bremen Hafen", "passenger_car"), (2, "Germany", "Bremen Nord", "suv"), (3, "France", None, "lcv"), (4, "Italy", "x", "suv"), (5, "Italy", "x", "boat"))
     got = {r["id"]: (r["transport_eur"], r["transport_confidence"], r["transport_days"]) for r in routes.priced(lots, "id", table, "o", "u", "cat", "Spain").collect()}
     assert got == {1: (100.0, 1.0, 3), 2: (300.0, 0.5, None), 3: (70.0, 1.0, 2), 4: (300.0, 0.3, None), 5: (0.0, 0.0, None)}
+    old = {r["id"]: (r["transport_eur"], r["transport_confidence"], r["transport_days"]) for r in routes.priced(lots, "id", table, "o", "u", "cat", "Spain", ["bremen"], legacy=True).collect()}
+    assert old == {1: (100.0, 0.9, 3), 2: (300.0, 0.5, None), 3: (70.0, 0.5, 2), 4: (0.0, 0.0, None), 5: (0.0, 0.0, None)}
 
 
 def test_landed_price(spark):
