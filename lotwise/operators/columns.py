@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.canon import fuel_label
+
 
 def _name(x: str) -> str:
     plain = "".join(c for c in unicodedata.normalize("NFKD", x.replace(" ", " ")) if not unicodedata.combining(c))
@@ -61,8 +64,11 @@ class Layout:
 
     columns: tuple[str, ...]
     sources: dict[str, tuple[str, ...]]
+    #: Columns that are made from the source they are taken from.
+    made: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
+# Columns of the listing layout, and where they are taken from.
 LISTING = Layout(
     (
         "link_ficha", "make_clean", "modelo_base_x", "segmento", "year_bca", "mileage", "combustible_norm", "sale_name", "winning_bid",
@@ -78,13 +84,32 @@ LISTING = Layout(
 )
 
 
+# Columns of the query results' layout, and where they are taken from.
+RESULTS = Layout(
+    (
+        "link_ficha", "make_clean", "modelo_base_x", "segmento", "year", "mileage", "combustible_norm", "auction_name", "winning_bid",
+        "precio_final_eur", "precio_venta_ganvam", "margin_abs", "vat_type", "units_abs_bcn", "units_abs_cat", "units_abs_esp", "YoY_weighted_esp",
+    ),
+    {
+        "auction_name": ("sale_name",),
+        "year": ("anio", "Año", "year_bca"),
+        "mileage": ("km", "kilometros", "kilómetros", "odometro", "odómetro"),
+        "combustible_norm": ("fuel_type",),
+        "modelo_base_x": ("modelo_base", "modelo_base_y", "modelo_base_match", "modelo"),
+    },
+    {"combustible_norm": fuel_label},
+)
+
+
 def conform(df: DataFrame, layout: Layout = LISTING) -> DataFrame:
-    """The layout's columns in its order: as they are, from their sources, or null."""
+    """The layout's columns in its order: as they are, from the first of their sources that is there, or null."""
 
     def pick(name: str):
-        for c in (name, *layout.sources.get(name, ())):
+        if name in df.columns:
+            return F.col(f"`{name}`").alias(name)
+        for c in layout.sources.get(name, ()):
             if c in df.columns:
-                return F.col(f"`{c}`").alias(name)
+                return layout.made.get(name, lambda x: x)(F.col(f"`{c}`")).alias(name)
         return F.lit(None).cast("string").alias(name)
 
     return df.select(*(pick(c) for c in layout.columns))

@@ -738,6 +738,14 @@ def listing_layout(spark, sf_dir):
     return columns.conform(rows).select("link_ficha", "make_clean", F.col("year_bca").cast("string").alias("year_bca"), "combustible_norm", "margin_abs")
 
 
+@query(f"WITH {LOTS_SQL} SELECT lot_id AS link_ficha, modelo AS modelo_base_x, anio AS year, mileage, CASE combustible_norm WHEN 'A' THEN 'DIESEL' WHEN 'N' THEN 'BEV' ELSE 'R' END AS combustible_norm, sale_name AS auction_name, margin_abs, segmento IS NULL AS no_segment FROM lots")
+def results_layout(spark, sf_dir):
+    """All lots in the layout of query results: names of the columns they are taken from, the fuel's label made of its type."""
+    fuel = F.when(F.col("combustible_norm") == "A", "Diésel turbo").when(F.col("combustible_norm") == "N", "Eléctrico").otherwise(F.col("combustible_norm"))
+    rows = lots(spark, sf_dir).withColumn("fuel_type", fuel).drop("combustible_norm").withColumnsRenamed({"lot_id": "link_ficha", "mileage": "km"})
+    return columns.conform(rows, columns.RESULTS).select("link_ficha", "modelo_base_x", "year", F.col("mileage"), "combustible_norm", "auction_name", "margin_abs", F.col("segmento").isNull().alias("no_segment"))
+
+
 # --- canonical labels -----------------------------------------------------------------------------------------------
 
 # Labels as they come.

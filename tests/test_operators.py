@@ -21,6 +21,11 @@ def test_columns_resolve_in_each_mode(spark):
     df = frame(spark, "MARCA string, modelo string", ("a", "b"))
     assert columns.rename_synonyms(df, {"marca_x": ["marca"], "modelo": ["model"]}).columns == ["marca_x", "modelo"]
     assert columns.conform(df).columns == list(columns.LISTING.columns)
+    rows = frame(spark, "sale_name string, `Año` int, `kilómetros` int, fuel_type string, modelo string, other int", ("S", 2020, 7, "Híbrido enchufable", "m", 1))
+    shown = columns.conform(rows, columns.RESULTS)
+    assert shown.columns == list(columns.RESULTS.columns)
+    r = shown.collect()[0]
+    assert (r["auction_name"], r["year"], r["mileage"], r["combustible_norm"], r["modelo_base_x"], r["segmento"]) == ("S", 2020, 7, "PHEV", "m", None)
     with pytest.raises(ValueError):
         columns.require(df, ["nope"])
 
