@@ -116,3 +116,14 @@ def test_no_stage_joins_lots_and_prices_by_make_alone(spark):
     assert "Cartesian" not in plan and "Cross" not in plan
     with pytest.raises(ValueError):
         linkage.whole_make(left, right, linkage.Rules(least_tokens=0))
+
+
+def test_one_make_and_model_makes_few_pairs(spark, monkeypatch):
+    lots = spark.range(600).selectExpr("concat('l', id) AS lot_id", "'A' AS make", "'golf' AS model", "2000 AS year", "'d' AS fuel", "CAST(id % 7 AS DOUBLE) AS power", "element_at(array('gt line', 'gt', 'line x'), CAST(id % 3 + 1 AS INT)) AS text")
+    prices = spark.range(600).selectExpr("concat('p', lpad(CAST(id AS STRING), 4, '0')) AS price_id", "'A' AS make", "'golf' AS model", "2000 AS year", "'d' AS fuel", "CAST(id % 5 AS DOUBLE) AS power", "element_at(array('gt', 'line'), CAST(id % 2 + 1 AS INT)) AS text", "CAST(NULL AS INT) AS start", "CAST(NULL AS INT) AS end", "CAST(id AS DOUBLE) AS price")
+    sizes, stored = [], linkage.stored
+    monkeypatch.setattr(linkage, "stored", lambda df: sizes.append((t := stored(df)).count()) or t)
+    best, audit = linkage.match(lots, prices)
+    assert best.where("matched").count() == 600 and audit.where("decision != 'unmatched'").count() == 3000
+    # A row a lot and its candidates, not one for each of the 360 000 pairs.
+    assert max(sizes) <= 3000
