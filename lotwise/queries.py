@@ -12,7 +12,7 @@ from lotwise.functions import canon, nested, numbers, text, web
 from lotwise import model_queries
 from lotwise.operators import cascade, checks, columns, fees, filters, linkage, lookup, market, price, ranking, recommend, routes
 from lotwise.plans import runner
-from lotwise.session import shared_folder
+from lotwise.session import settled, shared_folder
 from lotwise.sources import profile, readers
 from lotwise.sources import transfers as transfer_files
 from lotwise.streaming import ingest, latest
@@ -1083,10 +1083,13 @@ _PROFILED = {"l_orderkey": True, "l_quantity": True, "l_extendedprice": True, "l
 def column_profile(spark, sf_dir):
     """Columns of all line items, sketched by month of shipping and merged; ``near`` says that the distinct count and the median hold their errors."""
     rows = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyyMM").alias("month"), *_PROFILED)
-    found = profile.merged(profile.sketched(rows, ["month"]))
+    found = settled(profile.merged(profile.sketched(rows, ["month"])))
     exact = rows.agg(*(F.count_distinct(c).alias(c) for c in _PROFILED)).unpivot([], list(_PROFILED), "column", "exact")
-    middle = rows.agg(*(F.percentile(c, F.array(F.lit(0.46), F.lit(0.54))).alias(c) for c, number in _PROFILED.items() if number)).unpivot([], [c for c, number in _PROFILED.items() if number], "column", "middle")
-    near = (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.04 * F.col("exact")) & F.coalesce(F.get("quantiles", F.lit(1)).between(F.get("middle", F.lit(0)), F.get("middle", F.lit(1))), F.col("quantiles").isNull())
+    middle = profile.ranks(rows, found.select("column", F.get("quantiles", F.lit(1)).alias("value")), [c for c, number in _PROFILED.items() if number])
+    last = F.col("n") - F.col("n_null") - 1
+    # The estimate is one of the values, so it lies between these two percentiles if its places do.
+    between = (F.col("not_above") > F.ceil(last * 0.46)) & (F.col("below") <= F.floor(last * 0.54))
+    near = (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.04 * F.col("exact")) & F.coalesce(between, F.col("quantiles").isNull())
     return found.join(exact, "column").join(middle, "column", "left").select(F.col("column").alias("column_name"), "n", "n_null", "low", "high", "low_text", "high_text", F.round("mean", 6).alias("mean"), near.alias("near"))
 
 

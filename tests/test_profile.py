@@ -1,9 +1,12 @@
 """Profiles: exact parts equal the data, sketches within their error, months added one by one."""
 
+import inspect
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from lotwise import queries
 from lotwise.sources import profile, readers
 
 SCHEMA = "month int, price double, model string, seats int, note array<int>"
@@ -49,3 +52,24 @@ def test_every_metric_is_described(spark):
     assert len(readers.DICTIONARY) == 29 and len(readers.RATIOS) == 2 and found.count() == 3 * 29 + 2
     assert found.where("formula is null or description is null").count() == 0
     assert found.where(F.col("column") == "ratio_bcn_cat_%").count() == 1
+
+
+def test_means_do_not_depend_on_the_order_of_addition(spark):
+    # The mean is 0.0499185 and rounds up; added up as doubles it falls below the tie in some orders.
+    values = [0.1 * (i % 3) + 0.01 for i in range(3)] + [0.3, 1e9, -1e9, 0.07, 1e-9]
+    for seed in range(4):
+        data = values * 20
+        random.Random(seed).shuffle(data)
+        frame = spark.createDataFrame([(i % 5, v) for i, v in enumerate(data)], "month int, x double")
+        got = profile.merged(profile.sketched(frame, ["month"])).first()
+        assert got["mean"] == float(sum(map(Decimal, map(str, data))) / len(data))
+    odd = spark.createDataFrame([(1, 1e300), (1, 1e300), (2, 2e-25)], "month int, x double")
+    assert profile.merged(profile.sketched(odd, ["month"])).first()["mean"] == 2e300 / 3
+
+
+def test_ranks_are_counted(spark):
+    frame = spark.createDataFrame([(float(v), None if v % 2 else v) for v in [3, 1, 2, 2, 5]], "a double, b int")
+    got = profile.ranks(frame, spark.createDataFrame([("a", 2.0), ("b", 2.0)], "column string, value double"), ["a", "b"])
+    assert {tuple(r) for r in got.collect()} == {("a", 1, 3), ("b", 0, 2)}
+    # No aggregate holds the values of a column.
+    assert "F.percentile(" not in inspect.getsource(queries.column_profile)
