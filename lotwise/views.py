@@ -60,8 +60,16 @@ REGIONAL_SQL = MARKET_SQL + """,
 """
 
 
+#: Rows of a task that drops repeated lots.
+LOTS_A_TASK = 250_000
+
+
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their line items as auction lots with final price, sale price and margin."""
+    """Orders with their line items as auction lots with final price, sale price and margin.
+
+    Lots are dealt out by their id before repeated ones drop out, and to more tasks the more line items there are: hardly one
+    is repeated, so a task that combined them before the shuffle would hold all that it reads.
+    """
     t = lambda n: table(spark, sf_dir, n)
     rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -69,12 +77,15 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), 6)
     sale = F.round(F.col("p_retailprice") * F.col("l_quantity"), 6)
     lot = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"), F.date_format("l_shipdate", "yyyyMMdd"), (F.round(F.col("l_extendedprice") * 100)).cast("long"), (F.round(F.col("l_discount") * 100)).cast("int"), (F.round(F.col("l_tax") * 100)).cast("int"))
-    return rows.select(
+    found = rows.select(
         lot.alias("lot_id"), F.col("p_brand").alias("marca"), F.col("p_type").alias("modelo"), F.year("l_shipdate").cast("long").alias("anio"), F.col("l_returnflag").alias("combustible_norm"),
         F.col("c_mktsegment").alias("segmento"), F.col("n_name").alias("sale_country"), F.col("o_orderpriority").alias("sale_name"), F.when(F.col("o_orderstatus") == "F", "Sold").otherwise("Not sold").alias("lot_status"),
         bid.alias("winning_bid"), final.alias("precio_final_eur"), sale.alias("precio_venta_ganvam"), F.round(sale - final, 6).alias("margin_abs"), (F.col("p_size") * 4000).cast("double").alias("mileage"),
         F.col("l_quantity").alias("units_abs_esp"), (F.col("p_size") / 50.0).alias("share_marca_%_esp"), (F.col("l_linenumber") * 10.0).alias("mix_0_3_%_esp"),
-    ).distinct()
+    )
+    tasks = t("lineitem").count() // LOTS_A_TASK
+    many = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (found.repartition(tasks, "lot_id") if many else found.repartition("lot_id")).distinct()
 
 
 LOTS_SQL = """

@@ -284,3 +284,16 @@ def test_flagship_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_lots_are_dealt_out_before_repeats_drop_out(spark, tmp_path, monkeypatch):
+    from lotwise import views
+
+    folder = "/root/testdata/sf0.001"
+    want = views.lots(spark, folder)
+    plan = want._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [") < plan.index("RepartitionByExpression [lot_id")
+    monkeypatch.setattr(views, "LOTS_A_TASK", 100)
+    got = views.lots(spark, folder)
+    assert "RepartitionByExpression [lot_id" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.rdd.getNumPartitions() == 60 and got.exceptAll(want).count() == 0 and got.count() == want.count()
