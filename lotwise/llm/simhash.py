@@ -260,14 +260,33 @@ def _near(a: str, b: str, least: float):
     return (rest * (1 + least) >= least * (n + m) - 1e-6) | ((n == 0) & (m == 0))
 
 
-def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
+def linked(docs: DataFrame, radius: int) -> DataFrame:
+    """(a, b), a below b: pairs of rows whose fingerprints link at ``radius`` or fewer differing bits.
+
+    Of each fingerprint the first row stands for it in links with others, and is linked to its other rows.
+    """
+    fps = stash(fingerprints(docs, 3).select("rid", "fp"))
+    heads = stash(fps.groupBy("fp").agg(F.min("rid").alias("head")))
+    same = fps.join(heads, "fp").where("rid > head").select(F.col("head").alias("a"), F.col("rid").alias("b"))
+    far = links(heads.select("fp"), radius).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    return same.unionByName(far.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+
+
+def _checked(pairs: DataFrame, text: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs (a, b) of rows whose texts have the similarity."""
+    full = pairs.join(text.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
+    return checkpoint(full.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(size, least), "a long, b long"))
+
+
+def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8, radius: int = 2) -> DataFrame:
     """(rid, id, component): documents in groups of near copies, each link checked on its texts.
 
     Two texts are near if their sets of ``size``-word shingles have a Jaccard similarity of
     at least ``least``; the groups are the components of all near pairs. Equal texts
     are one node; texts without words are near each other.
 
-    All near pairs share a key of ``candidates``. The members of a key are checked against
+    SimHash comes first: fingerprints within ``radius`` bits are linked, and each link is checked on two texts (``linked``). What it
+    doesn't join is found by shared shingles: all near pairs share a key of ``candidates``. The members of a key are checked against
     the first of them; then the pairs of members that no verified link has joined are checked, in
     keys of over FEW members one further member against the others at a time, for STARS turns.
     A pair is left out only if it is in one component already.
@@ -277,7 +296,8 @@ def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = candidates(docs, size, least)
     ids = checkpoint(rows.select("rid").distinct())
     text = stash(docs.select("rid", "text").join(small(ids), "rid", "left_semi"))
-    found, tried = same, None
+    tried = stash(linked(docs, radius))
+    found = same.unionByName(_checked(tried, docs, size, least))
     for turn in range(STARS + 1):
         if turn:
             root = components(found).withColumnRenamed("id", "rid")
@@ -294,10 +314,9 @@ def verified_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             whole = rows.where(every).select("key", F.struct("rid", "n", "place", "root").alias("x"))
             pairs = pairs.unionByName(whole.join(whole.withColumnRenamed("x", "y"), "key").where("x.rid < y.rid").select("key", "y", "x"))
         pairs = pairs.where(F.col("x.root") != F.col("y.root")).where(_near("x", "y", least)).select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
-        pairs = stash(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        full = pairs.join(text.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
-        found = found.unionByName(checkpoint(full.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(size, least), "a long, b long")))
+        pairs = stash(pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs)
+        found = found.unionByName(_checked(pairs, text, size, least))
         rest = rows.join(heads.select("key", F.col("x.rid").alias("rid")), ["key", "rid"], "left_anti")
         rows = stash(rest.where(~every) if turn else rest)
         if rows.isEmpty():

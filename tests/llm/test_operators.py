@@ -924,3 +924,16 @@ def test_top_k_of_few_and_of_repeated_rows(spark):
     assert _top(spark, []) == []
     big = [(20, [3.0e7, 1.0]), (21, [2.9e7, -1.0]), (22, [-3.0e7, 0.0])]
     assert _top(spark, big) == brute_top(big)
+
+
+def test_verified_groups_take_simhash_links_first(spark, monkeypatch):
+    rng = random.Random(77)
+    base = [prose(rng, 120) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(10 + i, t.replace(" ", "  ", 1)) for i, t in enumerate(base)]
+    docs = table(spark, rows)
+    links = {(r["a"], r["b"]) for r in simhash.linked(simhash.keyed(docs, "doc_id", "text"), 2).collect()}
+    assert {(i, 10 + i) for i in range(6)} <= links and all(a < b for a, b in links)
+    seen, linked = [], simhash.linked
+    monkeypatch.setattr(simhash, "linked", lambda *args: seen.append(1) or linked(*args))
+    found = {r["rid"]: r["component"] for r in simhash.verified_groups(docs).collect()}
+    assert seen and found == {k: i for i in range(6) for k in (i, 10 + i)}
