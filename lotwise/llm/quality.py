@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import slices, words_of
+from lotwise.llm.common import slices, stash, words_of
 
 BITS = 20
 #: Bound of the labelled rows that the model is fitted on, those with the smallest hashed ids.
@@ -85,15 +85,24 @@ class Sample:
         return Sample(np.array(grades, dtype=np.int64), np.repeat(np.arange(len(features), dtype=np.int32), sizes), flat)
 
 
-def _screened(s: Sample) -> np.ndarray:
-    """Features in whose documents the share of grades above some cut is far from that of all documents."""
-    by = np.stack([np.bincount(s.feature[s.grades[s.text] == g], minlength=1 << BITS) for g in range(GRADES)])
-    docs, z = by.sum(axis=0), np.zeros(1 << BITS)
+def _telling(by: np.ndarray, graded: np.ndarray) -> np.ndarray:
+    """Which features have documents whose share of grades above some cut is far from that of all documents.
+
+    by: for each grade the documents of each feature; graded: all documents of each grade.
+    """
+    docs, z = by.sum(axis=0), np.zeros(by.shape[1])
     for k in range(1, GRADES):
-        share = float((s.grades >= k).mean())
+        share = float(graded[k:].sum() / max(1, graded.sum()))
         spread = max(np.sqrt(share * (1 - share)), 1e-3)
         z = np.maximum(z, np.abs(by[k:].sum(axis=0) / np.maximum(docs, 1) - share) * np.sqrt(docs) / spread)
-    return np.nonzero((z >= LEAST_Z) & (docs >= LEAST_DOCS))[0]
+    return (z >= LEAST_Z) & (docs >= LEAST_DOCS)
+
+
+def _screened(s: Sample) -> np.ndarray:
+    """The features of a sample that tell its grades apart."""
+    names, at = np.unique(s.feature, return_inverse=True)
+    by = np.stack([np.bincount(at[s.grades[s.text] == g], minlength=len(names)) for g in range(GRADES)])
+    return names[_telling(by, np.bincount(s.grades, minlength=GRADES))]
 
 
 def _minimize(loss, x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
@@ -167,7 +176,7 @@ def fit(s: Sample, steps: int = 150, ridge: float = 1e-4) -> Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sample:
-    """Features and grade of a bounded sample of labelled documents.
+    """Grade and telling features of a bounded sample of labelled documents.
 
     Grade 0: quality 0; 1: toxic; 2: neither. Labels with a null are not used; a document with
     several takes the lowest grade. The sample is the ``sample`` smallest hashed ids.
@@ -179,10 +188,24 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sample
 
     def run(batches):
         for batch in batches:
-            out = [np.array(features(raw), dtype=np.int32).tobytes() for _, raws in slices(batch, "text") for raw in raws]
+            found = [np.array(features(raw), dtype=np.int32) for _, raws in slices(batch, "text") for raw in raws]
+            out = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)], dtype=np.int32), np.concatenate(found) if found else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), out, batch.column("grade")], names=["doc_id", "features", "grade"])
+
+    whole = stash(rows.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, features array<int>, grade int"))
+    # The driver gets counts of features, then of each text the features that tell grades apart; no others enter the model.
+    graded = dict(whole.groupBy("grade").count().collect())
+    of = [F.count_if(F.col("grade") == g).alias(f"g{g}") for g in range(GRADES)]
+    counts = whole.select("grade", F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"), *of).where(F.col("n") >= LEAST_DOCS).drop("n").toArrow()
+    by = np.stack([counts.column(f"g{g}").to_numpy() for g in range(GRADES)])
+    kept = np.sort(counts.column("feature").to_numpy()[_telling(by, np.array([graded.get(g, 0) for g in range(GRADES)]))])
+
+    def keep(batches):
+        for batch in batches:
+            out = [np.intersect1d(x, kept, assume_unique=True).astype(np.int32).tobytes() for x in (f.values.to_numpy() for f in batch.column("features"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary()), batch.column("grade")], names=["doc_id", "features", "grade"])
 
-    found = rows.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, features binary, grade int").toArrow().sort_by([("doc_id", "ascending"), ("features", "ascending")])
+    found = whole.mapInArrow(keep, "doc_id long, features binary, grade int").toArrow().sort_by([("doc_id", "ascending"), ("features", "ascending")])
     arrays = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in found.column("features")]
     return Sample.of(arrays, found.column("grade").to_pylist())
 

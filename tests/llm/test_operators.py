@@ -676,6 +676,17 @@ def test_cuts_are_ordered_and_tails_fall():
     assert (np.diff(tail, axis=0) >= 0).all() and (tail[:, 0] >= tail[:, 1]).all()
 
 
+def test_only_telling_features_reach_the_driver(spark):
+    """The model is that of all features, though the driver gets only those that tell grades apart."""
+    rng = random.Random(5)
+    rows = [(i, " ".join([["bad", "rude", "fine"][i % 3], "same"] + [f"w{rng.randrange(3000)}" for _ in range(30)])) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 1)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sample = quality.labelled(table(spark, rows), labels)
+    full = quality.Sample.of([np.array(quality.features(text.encode()), dtype=np.int32) for _, text in rows], [i % 3 for i, _ in rows])
+    assert set(sample.feature.tolist()) == set(quality._screened(full).tolist()) and len(sample.feature) < len(full.feature) / 10
+    assert quality.fit(sample) == quality.fit(full)
+
+
 # --- 7 --------------------------------------------------------------------------------------------------------------
 
 
