@@ -1116,8 +1116,9 @@ def transfer_records(spark, sf_dir):
         F.concat(F.lpad((F.col("l_suppkey") % 52 + 1).cast("string"), 2, "0"), F.lit("001")).alias("codigo_ine"), F.lit("LOCALIDAD").alias("localidad"),
     )
     root = f"{shared_folder(spark)}/transfers-{uuid.uuid4().hex}"
-    for month, is_masked in (("202412", False), ("202503", True)):
-        transfer_files.as_lines(rows.where(F.col("masked") == is_masked), is_masked).write.text(f"{root}/transmisiones_{month}")
+    month = F.when(F.col("masked"), "202503").otherwise("202412")
+    # One scan writes the folders of both months.
+    transfer_files.as_lines(rows, F.col("masked"), month.alias("transmisiones")).write.partitionBy("transmisiones").text(root)
     found = transfer_files.records(transfer_files.lines(spark, root, "folder"), 2025)
     keys = ["fecha_mat", "marca", "modelo", "submodelo", "vin", "combustible", "codigo_ine", "tipo_vehiculo", "transmision", "antiguedad_anios", "codigo_provincia"]
     return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

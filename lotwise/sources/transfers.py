@@ -62,23 +62,27 @@ def records(rows: DataFrame, as_of: int, value: str = "value", file_name: str =
     masked = F.coalesce(F.try_to_number(F.nullif(F.substring(month, 1, 4), F.lit("")), F.lit("9999")).cast("int") >= MASKED_FROM, F.lit(False))
     first = F.regexp_instr(c, F.lit("[A-Z]"))
     rest = F.substring(c, first, F.length(c))
-    at = F.when(masked, F.regexp_instr(c, F.lit(MASKED_VIN))).when(F.regexp_instr(rest, F.lit(VIN)) > 0, first + F.regexp_instr(rest, F.lit(VIN)) - 1).otherwise(0)
-    out = rows.where(first > 0).select(c.alias("line"), F.col(file_name).alias("nombre_archivo"), month.alias("month"), masked.alias("masked"), first.alias("first"), rest.alias("rest"), at.alias("at")).where("at > 0")
+    # What several fields read is a column of its own, and none of it stands in a lambda, so that a line goes through each pattern once.
+    inside = F.when(masked, F.regexp_instr(c, F.lit(MASKED_VIN))).otherwise(F.regexp_instr(rest, F.lit(VIN)))
+    out = rows.where(first > 0).select(c.alias("line"), F.col(file_name).alias("nombre_archivo"), month.alias("month"), masked.alias("masked"), first.alias("first"), inside.alias("inside")).where("inside > 0")
     line = F.col("line")
-    out = out.withColumn("vin", F.when(F.col("masked"), _found(line, MASKED_VIN)).otherwise(_found(F.col("rest"), VIN, 1)))
+    out = out.withColumn("at", F.when(F.col("masked"), F.col("inside")).otherwise(F.col("first") + F.col("inside") - 1))
+    out = out.withColumn("vin", F.when(F.col("masked"), F.regexp_extract(line, MASKED_VIN, 0)).otherwise(F.substring(line, F.col("at"), F.lit(18))))
     out = out.withColumn("behind", F.substring(line, F.col("at") + F.length("vin"), F.length(line)))
     out = out.withColumn("block", F.trim(F.substring(line, F.col("first"), F.greatest(F.col("at") - F.col("first"), F.lit(0)))))
     near = F.substring("behind", 1, 3)
     code = F.when(F.col("masked"), F.when(near.rlike(r"^\d.\d$"), F.substring(near, 3, 1))).otherwise(F.substring(F.regexp_extract("behind", BLOCK, 1), 3, 1))
-    written = F.regexp_extract("block", r"^[A-Z][A-Z0-9&\-]*", 0)
+    out = out.withColumn("written", F.regexp_extract("block", r"^[A-Z][A-Z0-9&\-]*", 0))
+    written = F.col("written")
     make = F.when(written == "MERCEDES", "MERCEDES-BENZ").when((written == "LAND") & F.contains("block", F.lit("ROVER")), "LAND ROVER").otherwise(F.nullif(written, F.lit("")))
     # What follows the make as it is written, Mercedes with or without Benz.
     after = F.regexp_replace("block", r"^(?:MERCEDES[ \-]+BENZ\b|LAND\s+ROVER\b|[A-Z][A-Z0-9&\-]*)", "")
-    words = F.filter(F.split(after, r"\s+"), lambda w: (w != "") & (~F.coalesce(F.upper(w) == make, F.lit(False))))
+    words = F.filter(F.split(after, r"\s+"), lambda w: (w != "") & (~F.coalesce(F.upper(w) == F.col("marca"), F.lit(False))))
     out = out.withColumn("marca", make).withColumn("words", words).withColumn("combustible", lookup(code, FUELS))
     head, second = F.get("words", F.lit(0)), F.get("words", F.lit(1))
     model = F.coalesce(F.when((F.length(head) == 1) & second.rlike(r"^\d"), F.concat(head, second)).otherwise(head), F.lit(""))
-    date = F.try_to_date(F.when(line.rlike(r"^\d{8}"), F.substring(line, 1, 8)), "ddMMyyyy")
+    out = out.withColumn("date", F.try_to_date(F.when(line.rlike(r"^\d{8}"), F.substring(line, 1, 8)), "ddMMyyyy"))
+    date = F.col("date")
     kind = F.regexp_replace("behind", "[^A-Z0-9]", "")
     out = out.withColumn("codigo_ine", F.nullif(F.right(F.regexp_extract(line, PLACE, 1), F.lit(5)), F.lit("")))
     names = {f"{i:02d}": p for i, p in enumerate(PROVINCES, 1)}
@@ -91,16 +95,17 @@ def records(rows: DataFrame, as_of: int, value: str = "value", file_name: str =
     )
 
 
-def as_lines(rows: DataFrame, masked: bool) -> DataFrame:
-    """(value) of records (fecha_mat, marca, submodelo, vin, tipo_vehiculo, combustible, codigo_ine, localidad) in one of the layouts.
+def as_lines(rows: DataFrame, masked: bool | Column, *kept: Column) -> DataFrame:
+    """(value, and the columns ``kept``) of records (fecha_mat, marca, submodelo, vin, tipo_vehiculo, combustible, codigo_ine, localidad) in one of the layouts, which a column can decide row by row.
 
     ``records`` reads them back. An open vehicle number has 18 characters and begins with a digit; of a masked one the first eleven are written.
     """
     digit = lookup(F.col("combustible"), {v: k for k, v in FUELS.items() if k.isdigit()}, F.lit("3"))
     kind = lookup(F.col("tipo_vehiculo"), {v: k for k, v in reversed(TYPES.items()) if k.isdigit()}, F.lit("70"))
-    vin = F.rpad(F.substring("vin", 1, 11), 22, "*") if masked else F.concat(F.col("vin"), F.lit(" "))
+    masked = F.lit(masked) if isinstance(masked, bool) else masked
+    vin = F.when(masked, F.rpad(F.substring("vin", 1, 11), 22, "*")).otherwise(F.concat(F.col("vin"), F.lit(" ")))
     place = F.when(F.col("codigo_ine").isNotNull(), F.concat(F.lit("  B00"), F.lpad("codigo_ine", 5, "0"), F.rpad(F.coalesce("localidad", F.lit("")), 24, " "))).otherwise(F.lit(""))
-    return rows.select(F.concat(F.coalesce(F.date_format(F.try_to_date("fecha_mat", "dd/MM/yyyy"), "ddMMyyyy"), F.lit("00000000")), F.lit(" "), F.concat_ws(" ", "marca", "submodelo"), F.lit(" "), vin, kind, digit, place).alias("value"))
+    return rows.select(F.concat(F.coalesce(F.date_format(F.try_to_date("fecha_mat", "dd/MM/yyyy"), "ddMMyyyy"), F.lit("00000000")), F.lit(" "), F.concat_ws(" ", "marca", "submodelo"), F.lit(" "), vin, kind, digit, place).alias("value"), *kept)
 
 
 def to_parquet(spark: SparkSession, folder: str, path: str, as_of: int, names: str = "file") -> DataFrame:

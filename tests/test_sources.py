@@ -109,6 +109,16 @@ def test_transfer_records_are_written_and_read_back(spark, tmp_path):
     assert empty.count() == 0 and spark.read.parquet(str(tmp_path / "empty")).columns == empty.columns
 
 
+def test_transfer_lines_of_both_layouts_in_one_pass(spark, tmp_path):
+    """A column decides the layout of each row, and one job writes the folders of both months."""
+    rows = spark.createDataFrame([("01/02/2020", "SEAT", "SEAT IBIZA", v, "TURISMO", "DIESEL", "08019", "SITIO", m) for v, m in (("1V" + "0" * 15 + "7", False), ("V0000000007", True))], "fecha_mat string, marca string, submodelo string, vin string, tipo_vehiculo string, combustible string, codigo_ine string, localidad string, masked boolean")
+    transfers.as_lines(rows, F.col("masked"), F.when(F.col("masked"), "202503").otherwise("202412").alias("transmisiones")).write.partitionBy("transmisiones").text(str(tmp_path / "in"))
+    found = {r["transmision"]: r for r in transfers.records(transfers.lines(spark, str(tmp_path / "in"), "folder"), 2025).collect()}
+    assert {k: (r["vin"][:11], len(r["vin"]), r["submodelo"], r["fecha_mat"], r["codigo_ine"]) for k, r in found.items()} == {
+        "2024-12": ("1V000000000", 18, "IBIZA", "01/02/2020", "08019"), "2025-03": ("V0000000007", 22, "IBIZA", "01/02/2020", "08019"),
+    }
+
+
 def test_preamble_and_tree(spark, tmp_path):
     p = tmp_path / "p.csv"
     p.write_text('Report of today\n\nLot number,Link,Note\n1,http://a,"x, y"\n2,,z\n')
