@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.canon import lookup
 from lotwise.functions.text import fold, jaccard, squeeze
-from lotwise.session import settled
+from lotwise.session import settled, spread
 
 MERCEDES = "MERCEDES BENZ"
 
@@ -273,6 +273,7 @@ def prefixes(w: Column) -> Column:
 def known(whitelist: DataFrame) -> DataFrame:
     """(b, cand, points, shown, ct): one row for each make and spelled model; without its words a model is unknown."""
     shown = F.nullif(F.trim(F.col("DISPLAY")), F.lit("")) if "DISPLAY" in whitelist.columns else F.lit(None).cast("string")
+    whitelist = spread(whitelist.select("MARCA", "MODELO", *["DISPLAY"] * ("DISPLAY" in whitelist.columns)).distinct())
     rows = whitelist.select(brand(F.col("MARCA")).alias("b"), spelled(F.col("MODELO")).alias("cand"), pointed(F.col("MODELO")).alias("points"), F.coalesce(shown, F.upper(F.trim("MODELO"))).alias("shown"))
     rows = rows.where("b <> ''").groupBy("b", "cand").agg(F.min("points").alias("points"), F.min("shown").alias("shown"))
     other = lookup(F.concat_ws("|", "b", F.upper("shown")), {f"{b}|{k}": v for b, names in SHOWN.items() for k, v in names.items()}, F.col("shown"))
@@ -422,8 +423,8 @@ def candidates(df: DataFrame, brand_col: str, model_col: str, models: DataFrame,
     b, text = brand(F.col(brand_col)), spelled(F.col(model_col))
     text = F.when(b == MERCEDES, F.regexp_replace(text, r"\bE[- ]?(VITO|SPRINTER|CITAN)\b", "$1")).otherwise(text)
     # Texts that are told apart by noise alone are one; the scorer by points reads the first of their spellings.
-    texts = df.select(b.alias("b"), text.alias("u"), pointed(F.col(model_col)).alias("p")).where("b <> ''").withColumn("tt", told(F.col("u"), F.col("b"))).where(F.size("tt") > 0)
-    texts = texts.select("b", F.concat_ws(" ", "tt").alias("t"), "tt", "p").distinct()
+    texts = spread(df.select(brand_col, model_col).distinct()).select(b.alias("b"), text.alias("u"), pointed(F.col(model_col)).alias("p")).where("b <> ''").withColumn("tt", told(F.col("u"), F.col("b"))).where(F.size("tt") > 0)
+    texts = spread(texts.select("b", F.concat_ws(" ", "tt").alias("t"), "tt", "p").distinct())
     texts = texts.withColumn("t2", F.concat_ws("\n", "t", "p")).withColumns({
         "hards": targets(what.hard, F.col("b"), F.col("t")), "guards": targets(what.guards, F.col("b"), F.col("t")), "family": F.get(targets(what.families, F.col("b"), F.col("t")), F.lit(0)), "pool": F.get(targets(what.pools, F.col("b"), F.col("t")), F.lit(0)),
     })
@@ -468,8 +469,10 @@ def fused(df: DataFrame, key: str, brand_col: str, model_col: str, whitelist: Da
     confidence 0. ``family`` is the shortest known model that the found one begins with. Equal
     texts are decided once; null keys and repeated rows stay.
     """
-    models = settled(known(whitelist))
-    ranked = candidates(df, brand_col, model_col, models, what, rare).where("rank <= 2")
+    models = settled(spread(known(whitelist)))
+    # Rows that are written alike are read once.
+    written = settled(df.select(F.col(brand_col).alias("make_text"), F.col(model_col).alias("model_text")).distinct())
+    ranked = candidates(written.select(F.col("make_text").alias(brand_col), F.col("model_text").alias(model_col)), brand_col, model_col, models, what, rare).where("rank <= 2")
     top = ranked.groupBy("b", "key").agg(
         F.max(F.when(F.col("rank") == 1, F.struct("cand", "shown", "score", "hard"))).alias("one"), F.max(F.when(F.col("rank") == 2, F.struct("shown", "score"))).alias("two")
     )
@@ -477,5 +480,8 @@ def fused(df: DataFrame, key: str, brand_col: str, model_col: str, whitelist: Da
     top = top.join(families(models).select("b", "cand", F.col("root").alias("family")), ["b", "cand"], "left")
     b, text = brand(F.col(brand_col)), spelled(F.col(model_col))
     text = F.when(b == MERCEDES, F.regexp_replace(text, r"\bE[- ]?(VITO|SPRINTER|CITAN)\b", "$1")).otherwise(text)
-    rows = df.select(F.col(key).alias("id"), b.alias("b"), F.concat_ws("\n", F.concat_ws(" ", told(text, b)), pointed(F.col(model_col))).alias("key"))
-    return rows.join(top, ["b", "key"], "left").select(F.col("id").alias(key), F.nullif("b", F.lit("")).alias("make"), "model", "second", F.round(F.coalesce("confidence", F.lit(0.0)), 6).alias("confidence"), "family")
+    keys = spread(written).withColumns({brand_col: F.col("make_text"), model_col: F.col("model_text")}).select("make_text", "model_text", b.alias("b"), F.concat_ws("\n", F.concat_ws(" ", told(text, b)), pointed(F.col(model_col))).alias("key"))
+    decided = keys.join(top, ["b", "key"], "left").select("make_text", "model_text", F.nullif("b", F.lit("")).alias("make"), "model", "second", F.round(F.coalesce("confidence", F.lit(0.0)), 6).alias("confidence"), "family")
+    rows = df.select(F.col(key).alias("id"), F.col(brand_col).alias("own_make"), F.col(model_col).alias("own_model"))
+    same = F.col("own_make").eqNullSafe(F.col("make_text")) & F.col("own_model").eqNullSafe(F.col("model_text"))
+    return rows.join(decided, same, "left").select(F.col("id").alias(key), "make", "model", "second", "confidence", "family")

@@ -36,6 +36,11 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out over all cores: for few bytes with much work a row, which would else stay in one task."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` as a reliable checkpoint, for what several parts of a plan read."""
     shared_folder(df.sparkSession)

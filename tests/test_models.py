@@ -114,3 +114,15 @@ def test_sub_models_of_mercedes_come_first(spark):
     rows = [("Mercedes-Benz", "Clase C", "C 220"), ("MERCEDES", "Clase C", " "), ("BMW", "Serie 3", "320")]
     df = spark.createDataFrame(rows, "m string, model string, sub string")
     assert [r[0] for r in df.select(models.choose_text(F.col("model"), F.col("sub"), F.col("m"))).collect()] == ["C 220", "Clase C", "Serie 3"]
+
+
+def test_rows_that_are_written_alike_are_read_once(spark, monkeypatch):
+    """The work on texts grows with the distinct ones, and is dealt out; null texts and repeats keep their rows."""
+    dealt, spread = [], models.spread
+    monkeypatch.setattr(models, "spread", lambda df: dealt.append(df.count()) or spread(df))
+    rows = spark.createDataFrame([(i, "Mini", "cooper SE" if i % 2 else None) for i in range(200)], "id int, make string, text string")
+    white = spark.createDataFrame([("MINI", "Cooper"), ("MINI", "Mini Electric")] * 100, "MARCA string, MODELO string")
+    found = models.fused(rows, "id", "make", "text", white).collect()
+    assert sorted(r["id"] for r in found) == list(range(200)) and {(r["id"] % 2, r["make"], r["model"] is None) for r in found} == {(0, "MINI", True), (1, "MINI", False)}
+    assert max(dealt) == 2
+    assert spread(rows).rdd.getNumPartitions() > 1
