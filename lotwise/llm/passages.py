@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import BROADCAST_ROWS, CHUNK_BYTES, checkpoint, components, keyed, mix, slices, split_copies, stash
-from lotwise.llm.windows import Prefixes, argmin, repeated, runs
+from lotwise.llm.windows import Prefixes, argmin, frequent_keys, repeated, runs
 
 #: Words of a shingle, the token that is hashed.
 SIZE = 5
@@ -73,28 +73,29 @@ def tokens(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[places], many, np.cumsum(many) - many
 
 
-#: The order of the shingles: of one text in SAMPLE, up to FREQUENT shingles that occur often come after all others.
-SAMPLE, FREQUENT = 16, 200_000
+#: The order of the shingles: up to FREQUENT shingles that occur in many texts come after all others.
+FREQUENT = 200_000
 #: Bits of the table of frequent shingles; another shingle that falls on the same bit comes late, too.
 BITS = 22
 
 
-def _sampled(batches):
-    for batch in batches:
-        for _, raws in slices(batch, "text"):
-            for raw in raws:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(tokens([raw])[0]).view(np.int64))], names=["key"])
+def _distinct(raws: list[bytes]) -> np.ndarray:
+    """The distinct shingles of each text, one text after the other."""
+    h, many, _ = tokens(raws)
+    doc = np.repeat(np.arange(len(many)), many)
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    return h[np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))] if len(h) else h
 
 
 def frequent(text: DataFrame) -> bytes:
     """A table of the shingles that come last in every order of the hash functions, so that a common line gives no least values.
 
-    Passages near each other have least values in common under any order.
+    They are counted over all texts. Passages near each other have least values in common under any order.
     """
-    picked = text.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_sampled, "key long")
-    often = picked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 4").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    keys, _ = frequent_keys(text, _distinct, FREQUENT)
     table = np.zeros(1 << BITS, dtype=np.uint8)
-    table[often.column("key").to_numpy().view(np.uint64) & np.uint64((1 << BITS) - 1)] = 1
+    table[keys & np.uint64((1 << BITS) - 1)] = 1
     return np.packbits(table).tobytes()
 
 

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.common import checkpoint, components, keyed, mix, raw_bytes, slices, small, split_copies, stash, words_of
 from lotwise.llm.passages import word_hashes
+from lotwise.llm.windows import frequent_keys
 
 #: Members of a bucket that one task compares; larger buckets are split by further masks.
 BUCKET = 4096
 SEED = 42
-#: The order of near_dedup's shingles: of one text in SAMPLE, up to COMMON shingles that occur often come last.
-SAMPLE, COMMON = 16, 200_000
+#: The order of near_dedup's shingles: up to COMMON shingles that occur in many texts come last.
+COMMON = 200_000
 #: Members of a key whose pairs are checked at once, and turns in which larger keys are checked against one member.
 FEW, STARS = 16, 4
 
@@ -203,15 +204,6 @@ def shingle_set(raw: bytes, size: int) -> np.ndarray:
     return np.unique(mix(h))
 
 
-def _sampled(size: int):
-    def run(batches):
-        for batch in batches:
-            for _, raws in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(raw, size) for raw in raws]).view(np.int64))], names=["key"])
-
-    return run
-
-
 def _prefixes(size: int, least: float, common: np.ndarray, counts: np.ndarray):
     """The first shingles of each text in one order of all shingles, the common ones last: two sets of that
     similarity share one of their first n - ceil(least * n) + 1."""
@@ -241,12 +233,10 @@ def candidates(docs: DataFrame, size: int, least: float) -> DataFrame:
     """(key, rid, n, place): shared shingles among the first ones of texts; all pairs of texts whose sets of
     shingles have the similarity share a key. n: shingles of the text.
 
-    Any order of the shingles gives all pairs. Those that occur often in one of SAMPLE texts come last,
+    Any order of the shingles gives all pairs. Those that occur in many texts, counted over all of them, come last,
     so that a common line is no key of the texts that hold it.
     """
-    picked = docs.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_sampled(size), "key long")
-    often = picked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 4").orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
-    common, counts = often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    common, counts = frequent_keys(docs, lambda raws: np.concatenate([shingle_set(raw, size) for raw in raws]), COMMON)
     order = np.argsort(common)
     keys = stash(docs.select("rid", "text").mapInArrow(_prefixes(size, least, common[order], counts[order]), "key long, rid long, n int, place int"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import mix
+from lotwise.llm.common import mix, slices
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -80,3 +83,42 @@ def repeated(keys: DataFrame) -> DataFrame:
     """
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return keys.join(often, "key").groupBy("rid").agg(F.collect_set(F.struct("key", "n")).alias("keys"))
+
+
+#: Counts that a task holds at a time, and the least number of texts of a frequent key.
+ENTRIES, OFTEN = 1 << 19, 16
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of several such pairs; of more than ENTRIES the next largest count is taken off all (Misra and Gries)."""
+    names, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    n = np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+    if len(n) > ENTRIES:
+        n = n - np.partition(n, len(n) - ENTRIES - 1)[len(n) - ENTRIES - 1]
+    return names[n > 0], n[n > 0]
+
+
+def _counted(distinct: Callable[[list[bytes]], np.ndarray]):
+    def run(batches):
+        held, waiting, size = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
+        for batch in batches:
+            for _, raws in slices(batch, "text"):
+                waiting.append(np.unique(distinct(raws), return_counts=True))
+                size += len(waiting[-1][0])
+                if size > ENTRIES:
+                    held, waiting, size = added([held, *waiting]), [], 0
+        keys, n = added([held, *waiting])
+        yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["key", "n"])
+
+    return run
+
+
+def frequent_keys(text: DataFrame, distinct: Callable[[list[bytes]], np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``most`` keys of the most texts, and of how many, OFTEN at least, counted over all texts.
+
+    ``distinct`` gives the distinct keys of each of some texts, one after the other. A task that meets N of them counts a
+    key short by N / ENTRIES at most, and leaves out those of a single text.
+    """
+    counts = text.select("text").mapInArrow(_counted(distinct), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    often = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "key").limit(most).toArrow()
+    return often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()

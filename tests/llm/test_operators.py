@@ -687,6 +687,23 @@ def test_only_telling_features_reach_the_driver(spark):
     assert quality.fit(sample) == quality.fit(full)
 
 
+def test_frequent_shingles_are_counted_over_all_texts(spark, monkeypatch):
+    """A line of 70 texts is found wherever those stand; a task that holds few counts is short by a bound."""
+    line = " ".join(f"c{k}" for k in range(5))
+    rows = [(i, f"{line} " * (1 + i % 2) + " ".join(f"w{i}x{k}" for k in range(20))) for i in range(70)]
+    key = passages._distinct([line.encode()])
+    found, n = windows.frequent_keys(table(spark, rows), passages._distinct, 10)
+    # Every second text has the line twice, and so the four shingles across its ends.
+    assert found[0] == key[0] and n.tolist() == [70, 35, 35, 35, 35]
+    assert len(windows.frequent_keys(table(spark, rows[:12]), passages._distinct, 10)[0]) == 0
+    monkeypatch.setattr(windows, "ENTRIES", 4)
+    parts = [(np.array([7, 10 * k + 1, 10 * k + 2, 10 * k + 3], dtype=np.uint64), np.ones(4, dtype=np.int64)) for k in range(1, 30)]
+    held = parts[0]
+    for part in parts[1:]:
+        held = windows.added([held, part])
+    assert len(held[0]) <= 4 and held[1][held[0] == 7].item() >= 29 - 29 * 4 / 5
+
+
 # --- 7 --------------------------------------------------------------------------------------------------------------
 
 
