@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import BROADCAST_ROWS, CHUNK_BYTES, checkpoint, components, keyed, mix, slices, split_copies, stash
+from lotwise.llm.common import BROADCAST_ROWS, CHUNK_BYTES, checkpoint, components, discard, keyed, mix, slices, small, split_copies, stash
 from lotwise.llm.windows import Prefixes, argmin, frequent_keys, repeated, runs
 
 #: Words of a shingle, the token that is hashed.
@@ -25,7 +25,9 @@ HASHES = 3
 #: Least reach of a check, in shingles on each side of an agreeing place; it doubles up to what the shorter text can need.
 REACH = 64
 #: Members of a cell whose open pairs are all checked at once, and turns in which larger ones are checked against one member.
-FEW, TURNS = 16, 4
+FEW, TURNS = 128, 4
+#: Places that stay at either end of a stretch that repeats itself.
+ENDS = 2
 #: Shingles on each side of a place by which large cells are split, and how many two passages around it have in common at least.
 NEAR, COMMON = LEAST - 1, 41
 SPACE = np.zeros(256, dtype=bool)
@@ -79,13 +81,25 @@ FREQUENT = 200_000
 BITS = 22
 
 
+#: Lower bits of a shingle that are not counted; the number of its text stands there while the shingles are sorted.
+TEXT_BITS = np.uint64(16)
+
+
+def _counted_as(h: np.ndarray) -> np.ndarray:
+    return h >> TEXT_BITS << TEXT_BITS
+
+
 def _distinct(raws: list[bytes]) -> np.ndarray:
-    """The distinct shingles of each text, one text after the other."""
+    """The distinct shingles of each text, ascending."""
     h, many, _ = tokens(raws)
-    doc = np.repeat(np.arange(len(many)), many)
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    return h[np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))] if len(h) else h
+    doc = np.repeat(np.arange(len(many)).astype(np.uint16).astype(np.uint64), many)
+    h = np.sort(_counted_as(h) | doc)
+    return _counted_as(h[np.append(True, h[1:] != h[:-1])]) if len(h) else h
+
+
+def _bit(h: np.ndarray) -> np.ndarray:
+    """The bit of each shingle in the table of frequent ones."""
+    return (h >> TEXT_BITS) & np.uint64((1 << BITS) - 1)
 
 
 def frequent(text: DataFrame) -> bytes:
@@ -95,7 +109,7 @@ def frequent(text: DataFrame) -> bytes:
     """
     keys, _ = frequent_keys(text, _distinct, FREQUENT)
     table = np.zeros(1 << BITS, dtype=np.uint8)
-    table[keys & np.uint64((1 << BITS) - 1)] = 1
+    table[_bit(keys)] = 1
     return np.packbits(table).tobytes()
 
 
@@ -111,7 +125,7 @@ def _ordered(h: np.ndarray, many: np.ndarray, start: np.ndarray, late: np.ndarra
     np.add.at(inside, start[long], 1)
     np.add.at(inside, start[long] + many[long] - LEAST + 1, -1)
     valid = np.nonzero(np.cumsum(inside[:-1]) > 0)[0]
-    last = late[h & np.uint64((1 << BITS) - 1)]
+    last = late[_bit(h)]
     values = [(mix(h ^ s) >> np.uint64(1)) | last for s in SEEDS]
     return values, [argmin(v, LEAST) for v in values], valid
 
@@ -147,6 +161,11 @@ def compact(v: np.ndarray, least: np.ndarray, valid: np.ndarray) -> tuple[np.nda
     return left, centre, right
 
 
+def _named(v: np.ndarray, f: int) -> np.ndarray:
+    """Least values of the function ``f`` as keys that tell it."""
+    return (v & ~np.uint64(3) | np.uint64(f)).view(np.int64)
+
+
 def _keys(batches, packed):
     late = _table(packed)
     for batch in batches:
@@ -154,16 +173,43 @@ def _keys(batches, packed):
             rid = part.column("rid").to_numpy()
             h, many, start = tokens(raws)
             values, leasts, valid = _ordered(h, many, start, late)
-            for v, least in zip(values, leasts):
+            for f, (v, least) in enumerate(zip(values, leasts)):
                 if not len(valid):
                     continue
-                centre = np.unique(least[valid])
+                centre = least[runs(valid, least)[0]]
                 doc = np.searchsorted(start + many, centre, side="right")
-                key = np.unique(np.stack([doc, v[centre].view(np.int64)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(key[1]), pa.array(rid[key[0]])], names=["key", "rid"])
+                key = _named(v[centre], f)
+                order = np.argsort(key, kind="stable")
+                key, doc = key[order], doc[order]
+                # Texts follow each other, so equal keys of one text do, too.
+                new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(rid[doc[new]])], names=["key", "rid"])
 
 
-CELLS = "cell long, rid long, place long, n long"
+CELLS = "cell long, rid long, place long, n long, stretch long, inner boolean"
+
+
+def _stretches(h: np.ndarray, group: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of a group (of the same text and cell, ascending): the first place of its stretch, and whether it is inside.
+
+    A stretch repeats itself from place to place. ENDS places at either end are not inside.
+    """
+    if len(place) < 3:
+        return place, np.zeros(len(place), dtype=bool)
+    gap = np.where(group[1:] == group[:-1], np.diff(place), 0)
+    # again[i]: what reaches from place i to the next is repeated from there to the one after.
+    again = np.append((gap[1:] == gap[:-1]) & (gap[1:] > 0), [False, False])
+    for i in np.nonzero(again[:-2] & (gap[:-1] > 1))[0].tolist():
+        a, b, c = place[i], place[i + 1], place[i + 2]
+        again[i] = (h[a:b] == h[b:c]).all()
+    linked = again.copy()  # with the next place
+    linked[1:] |= again[:-1]
+    first = np.append(True, ~linked[:-1])
+    inner = np.zeros(len(place), dtype=bool)
+    inner[ENDS:] = True
+    for k in range(ENDS + 1):
+        inner[ENDS:] &= again[k : len(again) - ENDS + k]
+    return place[np.nonzero(first)[0][np.cumsum(first) - 1]], inner
 
 
 def _cells(batches, packed):
@@ -182,13 +228,14 @@ def _cells(batches, packed):
             values, leasts, valid = _ordered(h, many, start, late)
             if not len(valid):
                 continue
-            again = [np.isin(v.view(np.int64), own) for v in values]
+            again = [np.isin(_named(v, f), own) for f, v in enumerate(values)]
             windows = []
             for v, least in zip(values, leasts):
                 left, centre, right = compact(v, least, valid)
                 a, b = np.zeros(len(h), dtype=np.int64), np.zeros(len(h), dtype=np.int64)
                 a[centre], b[centre] = left, right
                 windows.append((a, b))
+            found = []
             for f, g in combinations(range(HASHES), 2):
                 both = valid[again[f][leasts[f][valid]] & again[g][leasts[g][valid]]]
                 lo, hi = runs(both, leasts[f], leasts[g])
@@ -199,10 +246,20 @@ def _cells(batches, packed):
                 right = np.minimum(windows[f][1][cf], windows[g][1][cg])
                 with np.errstate(over="ignore"):
                     cell = mix(values[f][cf] * np.uint64(2 * f + 3) + mix(values[g][cg]) + np.uint64(g))
-                doc = np.searchsorted(start + many, cf, side="right")
-                base = start[doc]
-                long = np.nonzero(right - left + 1 >= LEAST)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(x[long]) for x in (cell.view(np.int64), rid[doc], cf - base, many[doc])], names=["cell", "rid", "place", "n"])
+                long = right - left + 1 >= LEAST
+                found.append((cell[long].view(np.int64), cf[long]))
+            if not found:
+                continue
+            cell, place = (np.concatenate(x) for x in zip(*found))
+            doc = np.searchsorted(start + many, place, side="right")
+            order = np.lexsort((place, doc, cell))
+            cell, doc, place = cell[order], doc[order], place[order]
+            other = np.append(True, (cell[1:] != cell[:-1]) | (doc[1:] != doc[:-1]))
+            new = other | np.append(True, place[1:] != place[:-1])
+            group, cell, doc, place = np.cumsum(other)[new], cell[new], doc[new], place[new]
+            stretch, inner = _stretches(h, group, place)
+            base = start[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cell, rid[doc], place - base, many[doc], stretch - base, inner)], names=["cell", "rid", "place", "n", "stretch", "inner"])
 
 
 def _short(h: np.ndarray) -> np.ndarray:
@@ -328,11 +385,31 @@ def best_passage(x: np.ndarray, y: np.ndarray, p: int, q: int, least: int = LEAS
     return None
 
 
+def _dense(x: np.ndarray, y: np.ndarray, least: int = LEAST, similarity: float = SIMILARITY) -> np.ndarray:
+    """The places of x that lie in some ``least`` or more following shingles of which the share ``similarity`` is in y.
+
+    Passages near each other have it: with e equal pairs (1 + similarity) e >= similarity (m + n), and the other passage has n >= e shingles.
+    """
+    at = np.searchsorted(y, x)
+    there = y[np.minimum(at, len(y) - 1)] == x
+    worth = np.append(0.0, np.cumsum(there - similarity))
+    mark = np.zeros(len(x) + 1, dtype=np.int64)
+    if len(x) >= least:
+        # The farthest end that is worth no less than the beginning.
+        farthest = np.maximum.accumulate(worth[::-1])[::-1]
+        begin = np.nonzero(farthest[least:] >= worth[: len(worth) - least] - 1e-6)[0]
+        end = len(worth) - np.searchsorted(farthest[::-1], worth[begin] - 1e-6, side="left") - 1
+        mark[begin] += 1
+        np.subtract.at(mark, end, 1)
+    return np.cumsum(mark[:-1]) > 0
+
+
 CHECKED = "rid long, other long, lo long, hi long, other_lo long, other_hi long, similarity double, edge boolean"
 
 
 def _verify(batches):
-    """The passages of each pair of texts around its places; a place within one that is found needs no check.
+    """The passages of each pair of texts around its places; a place within one that is found needs no check,
+    nor does one that equal shingles join to a place that failed: any passages around it could be grown to hold that place.
 
     edge: a passage that ends where the context does, though the text goes on.
     """
@@ -341,26 +418,40 @@ def _verify(batches):
     last, own = None, None
     for batch in batches:
         out = []
-        columns = [batch.column(n).to_pylist() for n in ("rid", "other", "other_n", "width", "base", "context", "anchors")]
-        for i, (rid, other, other_n, width, base, context, anchors) in enumerate(zip(*columns)):
+        lists = batch.column("anchors")
+        flat, ends = lists.flatten(), np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
+        places, other_places = flat.field("place").to_numpy(), flat.field("other_place").to_numpy()
+        columns = [batch.column(n).to_pylist() for n in ("rid", "other", "other_n", "width", "base", "context")]
+        for i, (rid, other, other_n, width, base, context) in enumerate(zip(*columns)):
             if rid != last:
                 last, own = rid, _short(tokens([batch.column("text")[i].as_py().encode()])[0])
-            y, found = np.frombuffer(context, dtype=np.uint32), []
-            places = sorted((a["place"], a["other_place"]) for a in anchors)
-            first, until, near = 0, 0, None
-            for place, other_place in places:
-                if any(a <= place < b and c <= other_place < d for a, b, c, d in found):
-                    continue
-                if near is None or place + width > until:
+            y = np.frombuffer(context, dtype=np.uint32)
+            p, q = places[ends[i] : ends[i + 1]], other_places[ends[i] : ends[i + 1]]
+            order = np.lexsort((q, p))
+            p, q = p[order], q[order]
+            wanted, k, until = np.ones(len(p), dtype=bool), 0, -1
+            while wanted[k:].any():
+                k += int(wanted[k:].argmax())
+                place, other_place = int(p[k]), int(q[k])
+                if place + width > until:
                     first, until = max(0, place - 2 * width), place + 6 * width
                     x = own[first:until]
                     near = _matches(x, y)
+                    reached = np.arange(k, np.searchsorted(p, until - width, side="right"))
+                    wanted[reached] &= _dense(x, np.sort(y))[p[reached] - first] & _dense(y, np.sort(x))[q[reached] - base]
+                    continue
+                wanted[k] = False
                 best = best_passage(x, y, place - first, other_place - base, matches=near)
                 if best:
                     a, b, c, d, similarity = best
-                    found.append((a + first, b + first, base + c, base + d))
+                    wanted &= (p < a + first) | (p >= b + first) | (q < base + c) | (q >= base + d)
                     edge = (c == 0 and base > 0) or (d == len(y) and base + d < other_n) or (a == 0 and first > 0) or (b == len(x) and first + b < len(own))
                     out.append((rid, other, a + first, b + first + SIZE - 1, base + c, base + d + SIZE - 1, similarity, edge))
+                else:
+                    ahead, other_ahead = x[place - first :], y[other_place - base :]
+                    size = min(len(ahead), len(other_ahead))
+                    unlike = np.nonzero(ahead[:size] != other_ahead[:size])[0]
+                    wanted &= (q - p != other_place - place) | (p < place) | (p >= place + (int(unlike[0]) if len(unlike) else size))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 8, kinds)], names=names)
 
 
@@ -450,24 +541,27 @@ def _groups(text: DataFrame, cells: DataFrame) -> DataFrame:
     with another text holds it and links of passages join the pair already. Open members are checked
     against all other members: at once where a cell has up to FEW members; larger cells
     are split first, and what is still larger is checked against one open member at a
-    time for TURNS turns, then at once. No open member is dropped unchecked.
+    time for TURNS turns, then at once. Of a stretch that repeats itself only the ends are members here: passages around a place inside
+    could be grown to hold an end. The places inside follow (``_inside``). No open member is dropped unchecked.
     """
-    members = cells.groupBy("cell").agg(F.min(F.struct("rid", "place", "n")).alias("head"), F.count(F.lit(1)).alias("members"), F.max("rid").alias("last")).where("last > head.rid")
-    rows = stash(cells.join(members, "cell").select("cell", "rid", "place", "n", "members", "head"))
+    members = cells.groupBy("cell").agg(F.min(F.struct("rid", "place", "n")).alias("head"), F.max("rid").alias("last")).where("last > head.rid")
+    rows = stash(cells.join(members, "cell").select("cell", "rid", "place", "n", "stretch", "inner", "head"))
     against = lambda df, head: df.where(F.col("rid") != F.col(f"{head}.rid")).select("cell", "rid", "place", "n", F.col(f"{head}.rid").alias("other"), F.col(f"{head}.place").alias("other_place"), F.col(f"{head}.n").alias("other_n"))
     found = _checked(text, against(rows, "head"))
     open_ = _settled(_open(against(rows, "head"), found), found)
-    hold = rows.drop("head").join(open_.select("cell", "rid", "place", F.lit(True).alias("open")), ["cell", "rid", "place"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    rest = stash(hold.join(open_.select("cell").distinct(), "cell", "left_semi"))
-    if rest.isEmpty():
+    # Places inside a stretch that repeats itself come last, where a passage has been found for its ends.
+    hold = rows.where(~F.col("inner")).select("cell", "rid", "place", "n", "stretch").join(open_.select("cell", "rid", "place", F.lit(True).alias("open")), ["cell", "rid", "place"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    ends = stash(hold.join(open_.select("cell").distinct(), "cell", "left_semi"))
+    if ends.isEmpty():
         return found
-    large = rest.where(F.col("members") > FEW).drop("members")
+    sized = ends.drop("stretch").join(ends.groupBy("cell").agg(F.count(F.lit(1)).alias("members")), "cell")
+    large = sized.where(F.col("members") > FEW).drop("members")
     # The first member has been checked against all.
     firsts = members.select("cell", F.col("head.rid").alias("rid"), F.col("head.place").alias("place"))
-    rest = rest.where(F.col("members") <= FEW).drop("members").join(firsts, ["cell", "rid", "place"], "left_anti")
+    rest = sized.where(F.col("members") <= FEW).drop("members").join(firsts, ["cell", "rid", "place"], "left_anti")
     if not large.isEmpty():
         rest = rest.unionByName(_split(text, large))
-    tried = found.select("rid", "other").limit(0)
+    late = found.limit(0)
     for turn in range(TURNS + 1):
         sized = rest.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min(F.when(F.col("open"), F.struct("rid", "place", "n"))).alias("head")).where("members > 1 and head is not null")
         rest = stash(rest.join(sized, "cell"))
@@ -481,13 +575,26 @@ def _groups(text: DataFrame, cells: DataFrame) -> DataFrame:
         more = rest.where((F.col("members") > FEW) & F.lit(turn < TURNS)).drop("members")
         stars = against(more, "head")
         good = _checked(text, pairs.unionByName(stars.drop("cell")).distinct())
-        found = found.unionByName(good)
+        late = late.unionByName(good)
         if turn == TURNS or more.isEmpty():
             break
         still = _open(stars, good).select("cell", "rid", "place", F.lit(True).alias("still"))
         rest = more.where((F.col("rid") != F.col("head.rid")) | (F.col("place") != F.col("head.place"))).drop("head").join(still, ["cell", "rid", "place"], "left")
         rest = rest.withColumn("open", F.col("open") & F.coalesce("still", F.lit(False))).drop("still")
-    return found
+    return found.unionByName(late).unionByName(_inside(text, rows, open_, ends, late))
+
+
+def _inside(text: DataFrame, rows: DataFrame, open_: DataFrame, ends: DataFrame, late: DataFrame) -> DataFrame:
+    """The passages around open places inside stretches, checked against the text that has the longest passage with an end of the stretch."""
+    inner = rows.where("inner").select("cell", "rid", "place", "n", "stretch").join(open_.select("cell", "rid", "place"), ["cell", "rid", "place"], "left_semi")
+    mirrored = late.select(F.col("other").alias("rid"), F.col("rid").alias("other"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"))
+    passages = late.select(*mirrored.columns).unionByName(mirrored)
+    mine = ends.select("cell", "rid", "place", "stretch").join(inner.select("cell", "rid", "stretch").distinct(), ["cell", "rid", "stretch"], "left_semi")
+    held = mine.join(passages, "rid").where("place >= lo and place < hi").select("cell", "rid", "stretch", "other", (F.col("hi") - F.col("lo")).alias("size"), "other_lo", "other_hi")
+    theirs = ends.select("cell", F.col("rid").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("other_n"))
+    best = held.join(theirs, ["cell", "other"]).where("other_place >= other_lo and other_place < other_hi").groupBy("cell", "rid", "stretch").agg(F.min(F.struct(-F.col("size"), "other", "other_place", "other_n")).alias("to"))
+    pairs = inner.join(best, ["cell", "rid", "stretch"]).select("rid", "place", "n", "to.other", "to.other_place", "to.other_n")
+    return _checked(text, pairs.distinct())
 
 
 def _open(tied: DataFrame, found: DataFrame) -> DataFrame:
@@ -529,9 +636,14 @@ def near_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = checkpoint(_whole(docs, copies))
     text = fresh.select("rid", "text")
     packed = frequent(text)
-    keys = text.mapInArrow(partial(_keys, packed=packed), "key long, rid long")
-    cells = text.join(repeated(keys), "rid").select("rid", "text", "keys").mapInArrow(partial(_cells, packed=packed), CELLS)
-    found = whole.unionByName(_groups(text, stash(cells)))
+    keys = stash(text.mapInArrow(partial(_keys, packed=packed), "key long, rid long"))
+    # A cell takes keys of two functions.
+    lists = stash(repeated(keys).where(F.size(F.array_distinct(F.transform("keys", lambda k: k["key"].bitwiseAND(F.lit(3))))) > 1))
+    discard(keys)
+    again = stash(text.join(small(lists.select("rid")), "rid", "left_semi"))
+    cells = stash(again.join(lists, "rid").select("rid", "text", "keys").mapInArrow(partial(_cells, packed=packed), CELLS))
+    discard(lists)
+    found = whole.unionByName(_groups(again, cells))
     classes = components(found.select(F.col("rid").alias("a"), F.col("other").alias("b")))
     mine = found.select("rid", F.col("lo").alias("start"), F.col("hi").alias("end"), "other", "similarity")
     theirs = found.select(F.col("other").alias("rid"), F.col("other_lo").alias("start"), F.col("other_hi").alias("end"), F.col("rid").alias("other"), "similarity")

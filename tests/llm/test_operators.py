@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -405,6 +406,58 @@ def test_longest_passage_equals_all_pairs_of_windows():
         assert min(found[1] - found[0], found[3] - found[2]) == best and found[4] >= 0.8
 
 
+def test_stretches_of_one_word_give_few_pairs_of_places(spark, monkeypatch):
+    rng = random.Random(25)
+    # Too short with their surroundings to be passages: 30 places of each text would meet 30 of each other one.
+    rows = [random_words(rng, 60) + ["tion"] * (30 + k) + random_words(rng, 60) for k in range(8)]
+    rows += [random_words(rng, 40) + ["tion"] * 300 + random_words(rng, 40) for _ in range(2)]
+    met, checked = [], passages._checked
+    monkeypatch.setattr(passages, "_checked", lambda text, pairs: met.append(pairs.distinct().count()) or checked(text, pairs))
+    found = passages.near_passages(table(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])).collect()
+    assert {r["id"]: r["class_id"] for r in found} == {8: 8, 9: 8}
+    for i in (8, 9):
+        assert set(range(40, 340)) <= set().union(*(range(r["start"], r["end"]) for r in found if r["id"] == i))
+    places = sum(max(0, w.count("tion") - passages.SIZE + 1) for w in rows)
+    assert sum(met[1:]) <= 16 * 45 + places
+
+
+def test_places_inside_stretches():
+    unit = np.arange(1, 8, dtype=np.uint64)
+    h = np.concatenate([np.full(6, 99, np.uint64), np.tile(unit, 7), np.arange(50, 60, dtype=np.uint64), unit, np.arange(70, 75, dtype=np.uint64), unit])
+    place = np.array([*range(6), *range(6, 55, 7), 65, 77])
+    stretch, inner = passages._stretches(h, np.repeat([1, 2], [6, 9]), place)
+    assert stretch.tolist() == [0] * 6 + [6] * 7 + [65, 77]
+    assert place[inner].tolist() == [2, 3, 20, 27, 34]
+
+
+def test_places_that_are_not_dense_have_no_passage():
+    rng, seen = random.Random(26), set()
+    for turn in range(150):
+        x = [rng.randint(0, 30 if turn % 3 else 10**6) for _ in range(60)]
+        y = np.array([int(re.sub("[xy]", "", v)) + (v[-1] in "xy") for v in edited(rng, [str(v) for v in x], rng.choice((3, 6, 12)))])
+        x = np.array(x)
+        dense, other = passages._dense(x, np.sort(y), least=20), passages._dense(y, np.sort(x), least=20)
+        for p in range(0, len(x), 4):
+            for q in np.nonzero(y == x[p])[0].tolist()[:2]:
+                found = passages.best_passage(x, y, p, q, least=20)
+                assert not found or (dense[p] and other[q])
+                seen.add((bool(found), bool(dense[p] and other[q])))
+    assert {(True, True), (False, False)} <= seen
+
+
+def test_places_around_a_failed_one_need_no_check(monkeypatch):
+    rng = random.Random(27)
+    line = random_words(rng, 30)
+    one, two = (random_words(rng, 40) + line + random_words(rng, 40) for _ in range(2))
+    calls, best = [], passages.best_passage
+    monkeypatch.setattr(passages, "best_passage", lambda *a, **k: calls.append(a) or best(*a, **k))
+    monkeypatch.setattr(passages, "_dense", lambda x, y: np.ones(len(x), dtype=bool))
+    context = passages._short(passages.tokens([" ".join(two).encode()])[0])
+    columns = {"rid": [1], "text": [" ".join(one)], "other": [0], "other_n": [len(context)], "width": [256], "base": [0], "context": [context.tobytes()]}
+    batch = pa.RecordBatch.from_pydict(columns | {"anchors": [[{"place": p, "other_place": p} for p in range(40, 66)]]})
+    assert sum(b.num_rows for b in passages._verify([batch])) == 0 and len(calls) == 1
+
+
 def test_near_passages_with_repeated_rows(spark, corpus):
     rows = with_repeats(corpus)
     found = passages.near_passages(table(spark, rows)).collect()
