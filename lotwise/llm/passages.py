@@ -81,25 +81,16 @@ FREQUENT = 200_000
 BITS = 22
 
 
-#: Lower bits of a shingle that are not counted; the number of its text stands there while the shingles are sorted.
+#: Upper bits of a shingle that are not counted; while the shingles are sorted the number of the text takes their room.
 TEXT_BITS = np.uint64(16)
 
 
-def _counted_as(h: np.ndarray) -> np.ndarray:
-    return h >> TEXT_BITS << TEXT_BITS
-
-
 def _distinct(raws: list[bytes]) -> np.ndarray:
     """The distinct shingles of each text, ascending."""
     h, many, _ = tokens(raws)
     doc = np.repeat(np.arange(len(many)).astype(np.uint16).astype(np.uint64), many)
-    h = np.sort(_counted_as(h) | doc)
-    return _counted_as(h[np.append(True, h[1:] != h[:-1])]) if len(h) else h
-
-
-def _bit(h: np.ndarray) -> np.ndarray:
-    """The bit of each shingle in the table of frequent ones."""
-    return (h >> TEXT_BITS) & np.uint64((1 << BITS) - 1)
+    h = np.sort(h << TEXT_BITS | doc)
+    return h[np.append(True, h[1:] != h[:-1])] >> TEXT_BITS if len(h) else h
 
 
 def frequent(text: DataFrame) -> bytes:
@@ -109,7 +100,7 @@ def frequent(text: DataFrame) -> bytes:
     """
     keys, _ = frequent_keys(text, _distinct, FREQUENT)
     table = np.zeros(1 << BITS, dtype=np.uint8)
-    table[_bit(keys)] = 1
+    table[keys & np.uint64((1 << BITS) - 1)] = 1
     return np.packbits(table).tobytes()
 
 
@@ -125,7 +116,7 @@ def _ordered(h: np.ndarray, many: np.ndarray, start: np.ndarray, late: np.ndarra
     np.add.at(inside, start[long], 1)
     np.add.at(inside, start[long] + many[long] - LEAST + 1, -1)
     valid = np.nonzero(np.cumsum(inside[:-1]) > 0)[0]
-    last = late[_bit(h)]
+    last = late[h & np.uint64((1 << BITS) - 1)]
     values = [(mix(h ^ s) >> np.uint64(1)) | last for s in SEEDS]
     return values, [argmin(v, LEAST) for v in values], valid
 
